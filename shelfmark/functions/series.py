@@ -6,15 +6,13 @@ size: see `shelfmark.functions.skew` for how a heavy key is cut and stitched.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import decay_depth, growth
-from shelfmark.functions.skew import (
-    HALO, MAX_ROWS, POS, blocks, routed, running, time_cells, whole,
-)
+from shelfmark.functions.skew import MAX_ROWS, POS, blocks, routed, running, time_cells, whole
 
 SPAN = 256  # rows per stretch in which an exponential weight is kept relative
 
@@ -94,14 +92,7 @@ def _lookback(decay: float) -> int:
 def sma(df: DataFrame, rows: int = 7, by: Sequence[str] = ("item_id",), value: str = "price",
         alias: str = "sma_7", max_rows: int = MAX_ROWS) -> DataFrame:
     """Simple moving average over the last `rows` samples."""
-    order = order_of(df)
-
-    def plan(rows_in: DataFrame, heavy: bool) -> DataFrame:
-        d, part = blocks(rows_in, by, order, rows - 1, max_rows, heavy)
-        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-(rows - 1), 0)
-        return whole(d.withColumn(alias, F.avg(value).over(w)))
-
-    return routed(df, by, max_rows, plan)
+    return indicators(df, by=by, value=value, sma_rows=rows, names={"sma": alias}, max_rows=max_rows)
 
 
 def sma_days(df: DataFrame, days: int = 7, by: Sequence[str] = ("item_id",), value: str = "price",
@@ -112,9 +103,9 @@ def sma_days(df: DataFrame, days: int = 7, by: Sequence[str] = ("item_id",), val
     def plan(rows_in: DataFrame, heavy: bool) -> DataFrame:
         d, part = time_cells(rows_in, by, "timestamp", span, heavy)
         w = Window.partitionBy(*part).orderBy(F.unix_micros("timestamp")).rangeBetween(-span + 1, 0)
-        return whole(d.withColumn(alias, F.avg(value).over(w)))
+        return whole(d.withColumn(alias, F.avg(value).over(w)), heavy)
 
-    return routed(df, by, max_rows, plan)
+    return routed(df, by, order_of(df), max_rows, plan, number=False)
 
 
 def ema(df: DataFrame, n: int = 14, by: Sequence[str] = ("item_id",), value: str = "price",
@@ -144,21 +135,27 @@ def indicators(df: DataFrame, names: dict[str, str], by: Sequence[str] = ("item_
                value: str = "price", sma_rows: int = 7, ema_n: int = 14, rsi_n: int = 14,
                method: str = "wilder", max_rows: int = MAX_ROWS) -> DataFrame:
     """Any of `sma`, `ema`, `rsi`, `changes` (keys of `names`) over one shuffle of the samples."""
+    step = indicator_step(order_of(df), names, by, value, sma_rows, ema_n, rsi_n, method, max_rows)
+    return routed(df, by, order_of(df), max_rows, step)
+
+
+def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str], value: str = "price",
+                   sma_rows: int = 7, ema_n: int = 14, rsi_n: int = 14, method: str = "wilder",
+                   max_rows: int = MAX_ROWS) -> Callable[[DataFrame, bool], DataFrame]:
     if min(ema_n, rsi_n) < 2:
         raise ValueError("periods must be at least 2")
     if method not in ("wilder", "cutler"):
         raise ValueError("method must be 'wilder' or 'cutler'")
-    order = order_of(df)
     ema_decay, rsi_decay = 1 - 2 / (ema_n + 1), 1 - 1 / rsi_n
-    before = max([
+    before = max(
         sma_rows - 1 if "sma" in names else 0,
         _lookback(ema_decay) if "ema" in names else 0,
         (_lookback(rsi_decay) if method == "wilder" else rsi_n) if "rsi" in names else 0,
         1,
-    ])
+    )
 
-    def plan(rows: DataFrame, heavy: bool) -> DataFrame:
-        d, part = blocks(rows, by, order, before, max_rows, heavy)
+    def step(rows: DataFrame, heavy: bool) -> DataFrame:
+        d, part = blocks(rows, by, before, max_rows, heavy)
         ordered = Window.partitionBy(*part).orderBy(*order)
         d = _position(d, part, order, heavy)
         x = F.col(value).cast("double")
@@ -204,9 +201,10 @@ def indicators(df: DataFrame, names: dict[str, str], by: Sequence[str] = ("item_
             totals[names["changes"]] = "_changed"
         if totals or fills:
             d = running(d, by, order, heavy, totals, fills)
-        return whole(d).drop("_move", "_gain", "_loss", "_up", "_down", "_level", "_changed")
+        d = whole(d, heavy).drop("_move", "_gain", "_loss", "_up", "_down", "_level", "_changed")
+        return d if heavy else d.drop(POS)
 
-    return routed(df, by, max_rows, plan)
+    return step
 
 
 # --- range windows over samples -----------------------------------------------------------------
@@ -221,10 +219,15 @@ def in_window(df: DataFrame, window: str, measures: Sequence[str], by: Sequence[
     predecessor there. A drop counts as a reset for the rate, adding the new value; the rate is NULL
     when the window holds one sample.
     """
-    span = micros_of(df, window)
+    step = window_step(micros_of(df, window), measures, by, value, names)
+    return routed(df, by, order_of(df), max_rows, step, number=False)
+
+
+def window_step(span: int, measures: Sequence[str], by: Sequence[str], value: str = "price",
+                names: dict[str, str] | None = None) -> Callable[[DataFrame, bool], DataFrame]:
     names = {m: m for m in measures} | (names or {})
 
-    def plan(rows: DataFrame, heavy: bool) -> DataFrame:
+    def step(rows: DataFrame, heavy: bool) -> DataFrame:
         d, part = time_cells(rows, by, "timestamp", span, heavy)
         d = d.withColumns({"_us": F.unix_micros("timestamp"), "_x": F.col(value).cast("double")})
         ordered = Window.partitionBy(*part).orderBy("_us")
@@ -245,9 +248,9 @@ def in_window(df: DataFrame, window: str, measures: Sequence[str], by: Sequence[
         if "pct_change" in measures:
             start = F.first("_x").over(frame)
             out[names["pct_change"]] = (F.col("_x") - start) / F.nullif(start, F.lit(0.0)) * 100
-        return whole(d.withColumns(out)).drop("_us", "_x", "_last_x", "_diff", "_rise")
+        return whole(d.withColumns(out), heavy).drop("_us", "_x", "_last_x", "_diff", "_rise")
 
-    return routed(df, by, max_rows, plan)
+    return step
 
 
 def changes_in(df: DataFrame, window: str = "1 hour", alias: str = "changes", **kw) -> DataFrame:
@@ -268,10 +271,14 @@ def pct_change_in(df: DataFrame, window: str = "5 minutes", alias: str = "pct_ch
 def held_since(df: DataFrame, conditions: dict[str, Column], by: Sequence[str] = ("item_id",),
                max_rows: int = MAX_ROWS) -> DataFrame:
     """For each condition the instant since which it has been true without a break, else NULL."""
-    order = order_of(df)
+    step = hold_step(order_of(df), conditions, by, max_rows)
+    return routed(df, by, order_of(df), max_rows, step)
+
 
-    def plan(rows: DataFrame, heavy: bool) -> DataFrame:
-        d, part = blocks(rows, by, order, 1, max_rows, heavy)
+def hold_step(order: Sequence[str], conditions: dict[str, Column], by: Sequence[str],
+              max_rows: int = MAX_ROWS) -> Callable[[DataFrame, bool], DataFrame]:
+    def step(rows: DataFrame, heavy: bool) -> DataFrame:
+        d, part = blocks(rows, by, 1, max_rows, heavy)
         d = d.withColumns({f"_is_{k}": F.coalesce(c, F.lit(False)) for k, c in conditions.items()})
         w = Window.partitionBy(*part).orderBy(*order)
         d = d.withColumns({
@@ -280,9 +287,9 @@ def held_since(df: DataFrame, conditions: dict[str, Column], by: Sequence[str] =
         })
         d = running(d, by, order, heavy, fills={k: f"_from_{k}" for k in conditions})
         d = d.withColumns({k: F.when(F.col(f"_is_{k}"), F.col(k)) for k in conditions})
-        return whole(d).drop(*[f"{p}{k}" for k in conditions for p in ("_is_", "_from_")])
+        return whole(d, heavy).drop(*[f"{p}{k}" for k in conditions for p in ("_is_", "_from_")])
 
-    return routed(df, by, max_rows, plan)
+    return step
 
 
 def held_for(df: DataFrame, condition: Column, hold: str, by: Sequence[str] = ("item_id",),

@@ -2,8 +2,9 @@
 
 A key is heavy when it has more than `max_rows` rows. At most `rows / max_rows` keys can be heavy,
 which bounds every frame that is broadcast here (about 10^13 rows at the default limit give at most
-2.5 million keys of a few bytes). Light keys take the ordinary plan untouched; when no key is heavy,
-AQE sees the empty set and drops the branch for heavy keys.
+2.5 million keys of a few bytes). One narrow counting job tells whether there are any; without them
+the ordinary plan is used as it is. Small frames that steer the plan for heavy keys are checkpointed,
+so the plan stays linear and a recomputed partition sees the same cuts.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.session import checkpointed
+
 MAX_ROWS = 4_000_000
 
 # Working columns of an ordered series.
@@ -43,30 +46,32 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) ->
     return counts.select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_pieces"))
 
 
+def find_heavy(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
+    """The heavy keys, or None when one counting job finds none. NULL keys are left out."""
+    hot = checkpointed(heavy_keys(df.select(*keys).dropna(), keys, max_rows))
+    return None if hot.isEmpty() else hot
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                max_rows: int = MAX_ROWS, unique: str | None = None) -> DataFrame:
+                left_heavy: DataFrame | None = None, right_heavy: DataFrame | None = None) -> DataFrame:
     """Inner or left join in which a heavy key is spread over many tasks.
 
-    Rows of a heavy key get a salt from their own content; the other side is repeated once per
-    salt. `unique` names a side ("left" or "right") whose keys do not repeat. A left row whose key
-    is heavy on the right has a partner under some salt, so its unmatched repeats are removed.
+    `left_heavy` and `right_heavy` come from `find_heavy`. Rows of a heavy key get a salt from their
+    own content; the other side is repeated once per salt. A left row whose key is heavy on the
+    right has a partner under some salt, so its unmatched repeats are removed.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-
-    # A NULL key never matches, so on the right it must not count as a sure partner.
-    pieces = {
-        "_lp": None if unique == "left" else heavy_keys(left, keys, max_rows),
-        "_rp": None if unique == "right" else heavy_keys(right.dropna(subset=list(keys)), keys, max_rows),
-    }
+    if left_heavy is None and right_heavy is None:
+        return left.join(right, list(keys), how)
 
     def prepare(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
         content = F.xxhash64(*df.columns)
-        for name, frame in pieces.items():
-            if frame is None:
+        for name, heavy in (("_lp", left_heavy), ("_rp", right_heavy)):
+            if heavy is None:
                 df = df.withColumn(name, F.lit(None).cast("int"))
             else:
-                df = attach(df, frame.withColumnRenamed("_pieces", name), keys, [name])
+                df = attach(df, heavy.withColumnRenamed("_pieces", name), keys, [name])
         repeats = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
         return (
             df.withColumn(own_salt, F.coalesce(F.pmod(content, F.col(own)).cast("int"), F.lit(0)))
@@ -82,13 +87,23 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return joined.drop("_ls", "_rs", "_rp", "_hit")
 
 
-def routed(df: DataFrame, keys: Sequence[str], max_rows: int,
-           plan: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
-    """Run `plan(rows, heavy)` once for the light and once for the heavy keys."""
-    marked = attach(df, heavy_keys(df, keys, max_rows), keys, ["_pieces"])
+def routed(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int,
+           plan: Callable[[DataFrame, bool], DataFrame], number: bool = True,
+           counted: DataFrame | None = None) -> DataFrame:
+    """Run `plan(rows, heavy)` for the light keys and, where there are any, for the heavy keys.
+
+    With `number` the heavy rows carry their position in the key (`_pos`). `counted` is a cheaper
+    frame with at least as many rows per key, used to look for heavy keys.
+    """
+    hot = checkpointed(heavy_keys(df if counted is None else counted, keys, max_rows))
+    if hot.isEmpty():
+        return plan(df, False).drop(POS)
+    marked = attach(df, hot, keys, ["_pieces"])
     light = marked.filter(F.col("_pieces").isNull()).drop("_pieces")
     heavy = marked.filter(F.col("_pieces").isNotNull()).drop("_pieces")
-    return plan(light, False).unionByName(plan(heavy, True))
+    if number:
+        heavy = numbered(heavy, keys, order, max_rows)
+    return plan(light, False).drop(POS).unionByName(plan(heavy, True).drop(POS))
 
 
 def _axis(df: DataFrame, name: str) -> Column:
@@ -120,7 +135,10 @@ def cut_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_ro
         low = F.coalesce(*[F.when(which == j, F.col(f"_lo{j}")) for j in range(len(order))])
         high = F.coalesce(*[F.when(which == j, F.col(f"_hi{j}")) for j in range(len(order))])
         width = (high - low) / F.ceil(F.col("_n") * 4 / max_rows)
-        grid = stats.select(*groups, which.alias("_which"), low.alias("_low"), width.alias("_width"))
+        grid = checkpointed(
+            stats.select(*groups, which.alias("_which"), low.alias("_low"), width.alias("_width")))
+        if grid.isEmpty():
+            break
         df = attach(df, grid, groups, ["_which", "_low", "_width"])
         value = F.coalesce(*[F.when(F.col("_which") == j, _axis(df, c)) for j, c in enumerate(order)])
         cell = F.floor((value - F.col("_low")) / F.col("_width"))
@@ -135,33 +153,33 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows:
     groups = [*keys, *cells]
     counts = df.groupBy(*groups).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = checkpointed(
+        counts.select(*groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
     local = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
     df = attach(df.withColumn("_rn", local), starts, groups, ["_start"], bounded=False)
     return df.withColumn(POS, F.col("_start") + F.col("_rn") - 1).drop("_start", "_rn", *cells)
 
 
-def blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int, max_rows: int,
+def blocks(df: DataFrame, keys: Sequence[str], before: int, max_rows: int,
            heavy: bool) -> tuple[DataFrame, list[str]]:
     """Split ordered keys into blocks of rows for window functions.
 
-    Returns the frame and the columns to partition windows by. For heavy keys every block also
-    holds the `before` rows that precede it, marked in `_halo`; windows may look back that far, and
-    `whole` drops the copies afterwards. Light keys stay one block.
+    Returns the frame and the columns to partition windows by. For heavy keys, whose rows are
+    numbered, every block also holds the `before` rows that precede it, marked in `_halo`; windows
+    may look back that far, and `whole` drops the copies afterwards. Light keys stay one block.
     """
     if not heavy:
-        return df.withColumn(HALO, F.lit(False)), list(keys)
+        return df, list(keys)
     size = max(max_rows, before + 1)
-    df = numbered(df, keys, order, max_rows)
     home = F.floor(F.col(POS) / size)
     copies = F.when(F.col(POS) % size >= size - before, F.array(home, home + 1)).otherwise(F.array(home))
     df = df.withColumn(BLOCK, F.explode(copies)).withColumn(HALO, F.col(BLOCK) != home)
     return df, [*keys, BLOCK]
 
 
-def whole(df: DataFrame) -> DataFrame:
-    """Drop the halo copies and the working columns."""
-    return df.filter(~F.col(HALO)).drop(HALO, POS, BLOCK)
+def whole(df: DataFrame, heavy: bool) -> DataFrame:
+    """Drop the halo copies."""
+    return df.filter(~F.col(HALO)).drop(HALO, BLOCK) if heavy else df
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], heavy: bool,
@@ -190,11 +208,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], heavy: boo
           for k, c in fills.items()],
     )
     past = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = state.select(
+    carry = checkpointed(state.select(
         *part,
         *[F.sum(f"_in_{k}").over(past).alias(f"_in_{k}") for k in totals],
         *[F.last(f"_in_{k}", ignorenulls=True).over(past).alias(f"_in_{k}") for k in fills],
-    )
+    ))
     names = [f"_in_{k}" for k in (*totals, *fills)]
     out = attach(out, carry, part, names)
     return out.withColumns({
@@ -207,7 +225,7 @@ def time_cells(df: DataFrame, keys: Sequence[str], ts: str, micros: int,
                heavy: bool) -> tuple[DataFrame, list[str]]:
     """Cells of one window length for range frames of heavy keys; each row also serves the next cell."""
     if not heavy:
-        return df.withColumn(HALO, F.lit(False)), list(keys)
+        return df, list(keys)
     home = F.floor(F.unix_micros(ts) / F.lit(micros))
     df = df.withColumn(BLOCK, F.explode(F.array(home, home + 1))).withColumn(HALO, F.col(BLOCK) != home)
     return df, [*keys, BLOCK]

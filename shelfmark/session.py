@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,3 +33,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A frame cut from its lineage and kept in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_root(df.sparkSession))
+    return df.checkpoint()
