@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,19 +24,49 @@ def column(c: Column | str) -> Column:
 def bucket(value: Column | str, bounds: Sequence, labels: Sequence[str]) -> Column:
     """Label of the first bound that holds the value; NULL falls to the last label."""
     value = column(value)
-    ladder = F
-    for bound, label in zip(bounds, labels):
+    ladder = F.when(value <= F.lit(bounds[0]), F.lit(labels[0]))
+    for bound, label in zip(bounds[1:], labels[1:]):
         ladder = ladder.when(value <= F.lit(bound), F.lit(label))
     return ladder.otherwise(F.lit(labels[len(bounds)]))
 
 
-def discount_bucket(pct: Column | str) -> Column:
+def discount_bucket(pct: Column | str, labels: Sequence = DISCOUNT_LABELS) -> Column:
     """The first discount bucket is equality with zero, the others are upper bounds."""
     pct = column(pct)
-    ladder = F.when(pct == 0, F.lit(DISCOUNT_LABELS[0]))
-    for bound, label in zip(DISCOUNT_BOUNDS[1:], DISCOUNT_LABELS[1:]):
-        ladder = ladder.when(pct <= F.lit(bound), F.lit(label))
-    return ladder.otherwise(F.lit(DISCOUNT_LABELS[-1]))
+    return discount_ladder(pct == 0, lambda bound: pct <= F.lit(bound), labels)
+
+
+def discount_ladder(none: Column, at_most: Callable[[int], Column], labels: Sequence) -> Column:
+    ladder = F.when(none, F.lit(labels[0]))
+    for bound, label in zip(DISCOUNT_BOUNDS[1:], labels[1:]):
+        ladder = ladder.when(at_most(bound), F.lit(label))
+    return ladder.otherwise(F.lit(labels[-1]))
+
+
+def discount_pct(price: str = "price", special: str = "special_price") -> Column:
+    """Percent off the list price for a SKU on sale, else 0."""
+    return F.when(on_sale(special), pct(F.col(price) - F.col(special), price)).otherwise(0)
+
+
+def discount_range(price: str = "price", special: str = "special_price",
+                   labels: Sequence = DISCOUNT_LABELS) -> Column:
+    """`discount_bucket(discount_pct())` without a division per row.
+
+    A percentage rounded to two digits is at most `b` when it is below `b + 0.005` before rounding.
+    """
+    p = F.col(price)
+    off = (p - F.col(special)) * 20000
+    ladder = discount_ladder(F.abs(off) < p, lambda bound: off < p * (200 * bound + 1), labels)
+    return (
+        F.when(~on_sale(special), F.lit(labels[0]))
+        .when(p > 0, ladder)
+        .otherwise(discount_bucket(discount_pct(price, special), labels))
+    )
+
+
+def label_of(number: Column | str, labels: Sequence[str]) -> Column:
+    """Label of a bucket number (from 0)."""
+    return F.get(F.array(*[F.lit(x) for x in labels]), column(number))
 
 
 def on_sale(special: Column | str = "special_price") -> Column:

@@ -51,11 +51,19 @@ def growth_pct(now: str, before: str, first: int | None = 0, integer: bool = Fal
     return F.when(F.col(before).isNotNull(), change).otherwise(F.lit(first).cast("decimal(20,2)"))
 
 
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key.
+
+    Spark keeps only the leading row per key and task before the shuffle (`WindowGroupLimit`), so a
+    hot key, however often it repeats, reaches its task as one row from each task before.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+
+
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key. Partial aggregation keeps a hot key at one row per task."""
-    rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-    return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+    """The last row of each key."""
+    return first_by(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
 # --- indicators ---------------------------------------------------------------------------------

@@ -88,14 +88,12 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def routed(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int,
-           plan: Callable[[DataFrame, bool], DataFrame], number: bool = True,
-           counted: DataFrame | None = None) -> DataFrame:
+           plan: Callable[[DataFrame, bool], DataFrame], number: bool = True) -> DataFrame:
     """Run `plan(rows, heavy)` for the light keys and, where there are any, for the heavy keys.
 
-    With `number` the heavy rows carry their position in the key (`_pos`). `counted` is a cheaper
-    frame with at least as many rows per key, used to look for heavy keys.
+    With `number` the heavy rows carry their position in the key (`_pos`).
     """
-    hot = checkpointed(heavy_keys(df if counted is None else counted, keys, max_rows))
+    hot = checkpointed(heavy_keys(df, keys, max_rows))
     if hot.isEmpty():
         return plan(df, False).drop(POS)
     marked = attach(df, hot, keys, ["_pieces"])

@@ -11,15 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.series import latest_by
+from shelfmark.functions.series import first_by, latest_by
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            order_by: Sequence[str]) -> DataFrame:
     """Rows of `updates` replace target rows of the same key; the last update of a key wins.
 
-    `order_by` may name columns that only `updates` has. Updates of one key are reduced by partial
-    aggregation, so a batch made of copies of one key does not meet in one task unreduced.
+    `order_by` may name columns that only `updates` has. Updates of one key are reduced before
+    the shuffle, so a batch made of copies of one key does not meet in one task.
     """
     last = latest_by(updates, keys, order_by).select(*target.columns)
     return target.join(last.select(*keys), list(keys), "left_anti").unionByName(last)
@@ -29,9 +29,7 @@ def insert_missing(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                    order_by: Sequence[str] | None = None) -> DataFrame:
     """Adds update rows whose key is absent; existing rows stay as they are, the first update wins."""
     if order_by:
-        rest = [c for c in target.columns if c not in keys]
-        first = F.min_by(F.struct(*rest), F.struct(*order_by)).alias("_first")
-        rows = updates.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_first.{c}") for c in rest])
+        rows = first_by(updates, keys, [F.col(c).asc_nulls_last() for c in order_by])
     else:
         rows = updates.dropDuplicates(list(keys))
     new = rows.join(target.select(*keys), list(keys), "left_anti")

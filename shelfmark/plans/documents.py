@@ -29,28 +29,32 @@ def full_products(catalog: Catalog, max_rows: int = MAX_ROWS) -> DataFrame:
     return with_images.select(*FULL_PRODUCTS)
 
 
-def _parts(children: DataFrame, order: list[str], value: Column, name: str, limit: int,
+def _lists(children: DataFrame, order: list[Column], value: Column, name: str, limit: int,
            first: str | None = None) -> DataFrame:
-    """Sorted lists of about `limit` children per item, in numbered parts.
+    """Sorted distinct children per item; with a `part` column where an item is over `limit`.
 
-    An item with more children than that is numbered along `order` without one sort over all of it.
-    `first` is a column whose smallest value belongs to part 0 although `order` does not follow it.
+    Items up to the limit take one shuffle. A larger one is made distinct first, numbered along
+    `order` without one sort over all of it, and cut into parts. `first` is a column whose smallest
+    value belongs to part 0 although `order` does not follow it.
     """
+    rows = children.select("item_id", value.alias("_value"))
+    found = F.array_sort(F.collect_set("_value")).alias(name)
     hot = find_heavy(children, ["item_id"], limit)
-    rows = children.withColumn("part", F.lit(0).cast("bigint"))
-    if hot is not None:
-        marked = attach(children, hot, ["item_id"], ["_pieces"])
-        light = marked.filter(F.col("_pieces").isNull()).withColumn("part", F.lit(0).cast("bigint"))
-        heavy = numbered(marked.filter(F.col("_pieces").isNotNull()), ["item_id"], order, limit)
-        part = F.floor(F.col("_pos") / limit)
-        if first:
-            lead = children.groupBy("item_id").agg(F.min(first).alias("_lead"))
-            lead = lead.join(F.broadcast(hot.select("item_id")), "item_id")
-            heavy = attach(heavy, lead, ["item_id"], ["_lead"])
-            part = F.when(F.col(first) == F.col("_lead"), F.lit(0)).otherwise(part)
-        heavy = heavy.withColumn("part", part).drop("_pos", "_lead")
-        rows = light.unionByName(heavy)
-    return rows.groupBy("item_id", "part").agg(F.array_sort(F.collect_list(value)).alias(name))
+    if hot is None:
+        return rows.groupBy("item_id").agg(found)
+    light = rows.join(F.broadcast(hot.select("item_id")), "item_id", "left_anti")
+    light = light.groupBy("item_id").agg(found).withColumn("part", F.lit(0).cast("bigint"))
+    heavy = children.join(F.broadcast(hot.select("item_id")), "item_id").distinct()
+    axes = [f"_o{i}" for i in range(len(order))]
+    heavy = numbered(heavy.withColumns(dict(zip(axes, order))), ["item_id"], axes, limit)
+    part = F.floor(F.col("_pos") / limit)
+    if first:
+        lead = children.join(F.broadcast(hot.select("item_id")), "item_id").groupBy("item_id").agg(
+            F.min(first).alias("_lead"))
+        heavy = attach(heavy, lead, ["item_id"], ["_lead"])
+        part = F.when(F.col(first) == F.col("_lead"), F.lit(0)).otherwise(part)
+    heavy = heavy.select("item_id", part.alias("part"), value.alias("_value"))
+    return light.unionByName(heavy.groupBy("item_id", "part").agg(found))
 
 
 def product_documents(catalog: Catalog, published: str | Column | None = None,
@@ -65,15 +69,20 @@ def product_documents(catalog: Catalog, published: str | Column | None = None,
         F.col("sku_id").alias("SkuId"), F.col("seller_sku").alias("SellerSku"),
         F.col("shop_sku").alias("ShopSku"), F.col("status").alias("Status"), F.col("quantity"),
         F.col("available").alias("Available"), F.col("price"), F.col("special_price"))
-    sku_rows = catalog.skus.drop("created_date").distinct()
-    image_rows = catalog.images.filter(F.col("image_url").isNotNull()).select("item_id", "image_url").distinct()
     # Equal SKU ids are ordered by content and URLs by hash, so every part boundary is fixed; the
     # first URL of all stays in part 0.
-    sku_rows = sku_rows.withColumn("_tie", F.xxhash64(sku))
-    skus = _parts(sku_rows, ["sku_id", "_tie"], sku, "skus", max_children)
-    image_rows = image_rows.withColumn("_tie", F.xxhash64("image_url"))
-    images = _parts(image_rows, ["_tie"], F.col("image_url"), "images", max_children, first="image_url")
-    children = skus.join(images, ["item_id", "part"], "full")
+    skus = _lists(catalog.skus.drop("created_date"), [F.col("sku_id"), F.xxhash64(sku)], sku, "skus",
+                  max_children)
+    urls = catalog.images.filter(F.col("image_url").isNotNull()).select("item_id", "image_url")
+    images = _lists(urls, [F.xxhash64("image_url")], F.col("image_url"), "images", max_children, "image_url")
+    keys = ["item_id"]
+    if "part" in skus.columns or "part" in images.columns:
+        keys.append("part")
+        skus, images = (d if "part" in d.columns else d.withColumn("part", F.lit(0).cast("bigint"))
+                        for d in (skus, images))
+    children = skus.join(images, keys, "full")
+    if "part" not in keys:
+        children = children.withColumn("part", F.lit(0).cast("bigint"))
     header = catalog.products.drop("created_date").join(
         catalog.attributes.select("item_id", "brand", "description"), "item_id", "left")
     docs = header.join(children, "item_id", "left")

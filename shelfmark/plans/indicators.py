@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.series import (
     hold_step, indicator_step, indicators, latest_by, micros_of, order_of, window_step,
 )
-from shelfmark.functions.skew import MAX_ROWS, routed
+from shelfmark.functions.skew import MAX_ROWS, numbered, routed
 
 
 def price_indicators(points: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -47,8 +47,8 @@ def alerts(points: DataFrame, rules: Sequence[Rule] = RULES, short: str = "5 min
 
     For keys that are not heavy all of it runs on one shuffle by series.
     """
-    samples = latest_by(points, [*SERIES, "timestamp"], order_of(points)[1:] or ["price"])
     order = ["timestamp"]
+    tie = order_of(points)[1:] or ["price"]
     steps = [
         indicator_step(order, {"rsi": "rsi_14"}, SERIES, max_rows=max_rows),
         window_step(micros_of(points, short), ["pct_change", "rate"], SERIES,
@@ -58,11 +58,17 @@ def alerts(points: DataFrame, rules: Sequence[Rule] = RULES, short: str = "5 min
     ]
 
     def plan(rows: DataFrame, heavy: bool) -> DataFrame:
+        if heavy:
+            rows = numbered(latest_by(rows, [*SERIES, "timestamp"], tie), SERIES, order, max_rows)
+        else:
+            later = F.lead("timestamp").over(Window.partitionBy(*SERIES).orderBy("timestamp", *tie))
+            rows = rows.withColumn("_later", later).filter(
+                F.col("_later").isNull() | (F.col("_later") != F.col("timestamp"))).drop("_later")
         for step in steps:
             rows = step(rows, heavy)
         return rows
 
-    held = routed(samples, SERIES, order, max_rows, plan, counted=points)
+    held = routed(points, SERIES, order, max_rows, plan, number=False)
     return firing(held, rules, [f"_s{i}" for i in range(len(rules))])
 
 

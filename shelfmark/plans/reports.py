@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import (
-    PRICE_BOUNDS, PRICE_LABELS, STOCK_BOUNDS, STOCK_LABELS, bucket, discount_bucket, on_sale, pct,
-    ratio, round2,
+    DISCOUNT_LABELS, PRICE_BOUNDS, PRICE_LABELS, STOCK_BOUNDS, STOCK_LABELS, bucket, discount_pct,
+    discount_range, label_of, on_sale, pct, ratio, round2,
 )
 from shelfmark.functions.series import growth_pct, with_previous
 from shelfmark.operators.gaps import densify
@@ -124,18 +124,13 @@ def brand_roi(products: DataFrame, skus: DataFrame, attributes: DataFrame,
     ).orderBy("brand", "primary_category")
 
 
-def discount_pct(price: str = "price", special: str = "special_price") -> Column:
-    """Percent off the list price for a SKU on sale, else 0."""
-    return F.when(on_sale(special), pct(F.col(price) - F.col(special), price)).otherwise(0)
-
-
 def sku_ranges(skus: DataFrame) -> DataFrame:
     """SKUs with their price, stock and discount bucket and the sale flag."""
     return skus.withColumns({
         "price_range": bucket("price", PRICE_BOUNDS, PRICE_LABELS),
         "stock_range": bucket("quantity", STOCK_BOUNDS, STOCK_LABELS),
         "discount_percentage": discount_pct(),
-        "discount_range": discount_bucket(discount_pct()),
+        "discount_range": discount_range(),
         "is_discounted": on_sale(),
     })
 
@@ -143,27 +138,41 @@ def sku_ranges(skus: DataFrame) -> DataFrame:
 def distributions(products: DataFrame, skus: DataFrame) -> DataFrame:
     """SKU counts, mean price and stock by price, stock and discount bucket.
 
-    SKUs are first counted per item and bucket triple, so at most 125 rows of an item reach the
-    join; the three groupings then come from one pass.
+    SKUs are first counted per item and triple of bucket numbers, so at most 125 rows of an item
+    reach the join; the three groupings then come from one pass, and labels are put on last.
     """
-    cells = sku_ranges(skus).groupBy("item_id", "price_range", "stock_range", "discount_range").agg(
+    five = range(5)
+    cells = skus.select(
+        "item_id", "price", "quantity",
+        bucket("price", PRICE_BOUNDS, five).alias("price_no"),
+        bucket("quantity", STOCK_BOUNDS, five).alias("stock_no"),
+        discount_range(labels=five).alias("discount_no"),
+    ).groupBy("item_id", "price_no", "stock_no", "discount_no").agg(
         F.count("*").alias("n"), F.sum("price").alias("price_sum"),
         F.count("price").alias("price_count"), F.sum("quantity").alias("units"),
-    ).join(products.select("item_id"), "item_id", "left_semi")
+    ).join(products.select("item_id"), "item_id")
 
-    def row(metric: str, label: str, units: Column) -> Column:
-        return F.struct(F.lit(metric).alias("metric_type"), F.col(label).alias("range_bucket"),
+    def row(metric: str, number: str, units: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric_type"), F.col(number).alias("no"),
                         "n", "price_sum", "price_count", units.alias("units"))
 
     long = cells.select(F.inline(F.array(
-        row("Price Distribution", "price_range", F.col("units")),
-        row("Stock Distribution", "stock_range", F.col("units")),
-        row("Discount Distribution", "discount_range", F.lit(0).cast("bigint")),
+        row("Price Distribution", "price_no", F.col("units")),
+        row("Stock Distribution", "stock_no", F.col("units")),
+        row("Discount Distribution", "discount_no", F.lit(0).cast("bigint")),
     )))
-    return long.groupBy("metric_type", "range_bucket").agg(
-        F.sum("n").alias("count"),
-        ratio(F.sum("price_sum"), F.sum("price_count")).alias("avg_value"),
-        F.sum("units").alias("total_quantity"),
+    totals = long.groupBy("metric_type", "no").agg(
+        F.sum("n").alias("count"), F.sum("price_sum").alias("price_sum"),
+        F.sum("price_count").alias("price_count"), F.sum("units").alias("total_quantity"))
+    metric = F.col("metric_type")
+    label = (
+        F.when(metric == "Price Distribution", label_of("no", PRICE_LABELS))
+        .when(metric == "Stock Distribution", label_of("no", STOCK_LABELS))
+        .otherwise(label_of("no", DISCOUNT_LABELS))
+    )
+    return totals.select(
+        "metric_type", label.alias("range_bucket"), "count",
+        ratio("price_sum", "price_count").alias("avg_value"), "total_quantity",
     ).orderBy("metric_type", "range_bucket")
 
 

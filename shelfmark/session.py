@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture for every column expression; it dominates the time to build a wide plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

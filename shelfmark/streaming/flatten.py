@@ -17,12 +17,11 @@ def parse_messages(df: DataFrame, version: str = "auto", value: str = "value") -
         raise ValueError(f"version must be one of {VERSIONS}")
     text = F.col(value).cast("string")
     mode = {"mode": "PERMISSIVE"}
-    out = df.withColumns({
-        "v1": F.from_json(text, ENVELOPE_V1, mode),
-        "v0": F.from_json(text, ENVELOPE_V0, mode),
-    })
     is_v1 = F.col("v1.data.id").try_cast("bigint").isNotNull() & F.lit(version != "v0")
     is_v0 = F.col("v0.product.item_id").isNotNull() & F.lit(version != "v1")
+    # Only a message that is not of the first shape is parsed a second time.
+    out = df.withColumn("v1", F.from_json(text, ENVELOPE_V1, mode))
+    out = out.withColumn("v0", F.from_json(F.when(~F.coalesce(is_v1, F.lit(False)), text), ENVELOPE_V0, mode))
     return out.withColumn("matched", F.when(is_v1, F.lit("v1")).when(is_v0, F.lit("v0")))
 
 

@@ -6,7 +6,7 @@ derived value that needs an aggregation, and it is planned only where a report a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import ratio
@@ -17,13 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cents(amount: str) -> Column:
+    """Hundredths of a non-negative amount; `round` on doubles goes through text and is slow."""
+    return F.floor(F.col(amount) * 100 + 0.5)
+
+
 def sku_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their price and sale price in minor units."""
     pieces = F.col("l_quantity").cast("int")
     line = table(spark, sf_dir, "lineitem").withColumns({
         "quantity": pieces,
-        "price": F.call_function("div", F.round(F.col("l_extendedprice") * 100).cast("bigint"), pieces),
-        "off": F.round(F.col("l_discount") * 100).cast("int"),
+        "price": F.call_function("div", cents("l_extendedprice"), pieces),
+        "off": cents("l_discount").cast("int"),
     })
     reduced = F.call_function("div", F.col("price") * (100 - F.col("off")), F.lit(100))
     return line.withColumn("special_price", F.when(F.col("off") > 0, reduced).otherwise(0))
@@ -104,7 +109,7 @@ def hourly_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("brand"),
         F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("time_bucket"), "user_id",
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+        cents("value").alias("cents"),
         (event_number() % 30).alias("off"))
     actual = F.call_function("div", F.col("cents") * (100 - F.col("off")), F.lit(100))
     by_user = events.groupBy("brand", "time_bucket", "user_id").agg(
@@ -119,11 +124,31 @@ def hourly_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ratio(F.sum("gross"), F.sum("units")).alias("avg_price"))
 
 
+def median_of(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+    """Exact median of each key; the mean of the middle two for an even count.
+
+    Rows become one weighted row per distinct value before they meet, and the middle is found by
+    running weights, so no group is held as a list.
+    """
+    weighted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_w"))
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_w").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = weighted.withColumns({"_upto": upto, "_all": F.sum("_w").over(group)})
+
+    def at(position: Column) -> Column:
+        here = (position <= F.col("_upto")) & (position > F.col("_upto") - F.col("_w"))
+        return F.max(F.when(here, F.col(value)))
+
+    low = at(F.call_function("div", F.col("_all") + 1, F.lit(2)))
+    high = at(F.call_function("div", F.col("_all"), F.lit(2)) + 1)
+    return placed.groupBy(*keys).agg(((low + high) / 2).cast("double").alias(alias))
+
+
 def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily brand figures of the line items.
 
-    Everything that adds up comes from (day, brand, item) rows. The exact median weighs each distinct
-    price by its count, so its state is the distinct prices of a brand's day, not the rows.
+    Everything that adds up comes from (day, brand, item) rows. Orders and the median
+    need the rows of a brand's day, which the brand join spreads again by order and by price.
     """
     line = sku_lines(spark, sf_dir).select(
         F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("item"), "l_orderkey",
@@ -153,8 +178,7 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("off_sum").alias("off_sum"))
     orders = rows.select("day", "brand", "l_orderkey").distinct().groupBy("day", "brand").agg(
         F.count("*").alias("orders_count"))
-    medians = rows.groupBy("day", "brand", "price").agg(F.count("*").alias("w")).groupBy("day", "brand").agg(
-        F.percentile("price", 0.5, F.col("w")).alias("median_price"))
+    medians = median_of(rows.select("day", "brand", "price"), ["day", "brand"], "price", "median_price")
     views = table(spark, sf_dir, "events").filter("event_type = 'view'").select(
         F.to_date("ts").alias("day"), "user_id").groupBy("day", "user_id").agg(F.count("*").alias("v"))
     views = views.groupBy("day").agg(F.sum("v").alias("page_views"), F.count("*").alias("unique_visitors"))
