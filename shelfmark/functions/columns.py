@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,12 +91,10 @@ def ratio(num: Column | str, den: Column | str, times: int = 1, digits: int = 2)
     of the last digit. Inputs must be integers or decimals with at most two fraction digits.
     """
     n = column(num).cast("decimal(38,2)")
-    d = F.nullif(column(den).cast("decimal(38,2)"), F.lit(0).cast("decimal(38,2)"))
-    scaled = F.abs(n) * F.lit(2 * times * 10**digits) + F.abs(d)
-    units = F.call_function("div", scaled, F.abs(d) * F.lit(2))
-    sign = F.when((n < 0) == (d < 0), F.lit(1)).otherwise(F.lit(-1))
-    value = (units * sign).cast("decimal(20,0)") / F.lit(10**digits)
-    return value.cast(f"decimal(20,{digits})")
+    d = column(den).cast("decimal(38,2)")
+    half = F.when(n < 0, -F.abs(d)).otherwise(F.abs(d))
+    units = F.call_function("div", n * F.lit(2 * times * 10**digits) + half, F.nullif(d, F.lit(0)) * 2)
+    return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(20,{digits})")
 
 
 def pct(num: Column | str, den: Column | str) -> Column:

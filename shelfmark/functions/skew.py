@@ -66,23 +66,22 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
         return left.join(right, list(keys), how)
 
     def prepare(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
+        heavy = {"_lp": left_heavy, "_rp": right_heavy}
         content = F.xxhash64(*df.columns)
-        for name, heavy in (("_lp", left_heavy), ("_rp", right_heavy)):
-            if heavy is None:
-                df = df.withColumn(name, F.lit(None).cast("int"))
-            else:
-                df = attach(df, heavy.withColumnRenamed("_pieces", name), keys, [name])
+        for name, keyed in heavy.items():
+            if keyed is not None:
+                df = attach(df, keyed.withColumnRenamed("_pieces", name), keys, [name])
+        mine = F.lit(0) if heavy[own] is None else F.coalesce(F.pmod(content, F.col(own)).cast("int"), F.lit(0))
+        df = df.withColumn(own_salt, mine)
+        if heavy[other] is None:
+            return df.withColumn(other_salt, F.lit(0)).drop(own)
         repeats = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
-        return (
-            df.withColumn(own_salt, F.coalesce(F.pmod(content, F.col(own)).cast("int"), F.lit(0)))
-            .withColumn(other_salt, F.explode(repeats))
-            .drop(own)
-        )
+        return df.withColumn(other_salt, F.explode(repeats)).drop(own)
 
     l = prepare(left, "_lp", "_rp", "_ls", "_rs")
     r = prepare(right, "_rp", "_lp", "_rs", "_ls").drop("_lp").withColumn("_hit", F.lit(True))
     joined = l.join(r, [*keys, "_ls", "_rs"], how)
-    if how == "left":
+    if how == "left" and right_heavy is not None:
         joined = joined.filter(F.col("_hit").isNotNull() | F.col("_rp").isNull())
     return joined.drop("_ls", "_rs", "_rp", "_hit")
 

@@ -27,6 +27,12 @@ def create_tables(spark: SparkSession, db: str, location: str, recreate: bool =
                   f"LOCATION '{location}/{name}/version={uuid.uuid4().hex}'")
 
 
+def read_current(spark: SparkSession, table: str) -> DataFrame:
+    """The current version, also when another session has moved the table since it was last read."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def replace_content(table: str, df: DataFrame, location: str) -> str:
     """Write a new version of a table and make it current; returns its folder."""
     spark = df.sparkSession
@@ -39,7 +45,7 @@ def replace_content(table: str, df: DataFrame, location: str) -> str:
 
 def upsert_table(table: str, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                  location: str) -> str:
-    current = updates.sparkSession.table(table)
+    current = read_current(updates.sparkSession, table)
     return replace_content(table, upsert(current, updates, keys, order_by), location)
 
 
@@ -52,7 +58,7 @@ def bulk_load(staged: Catalog, db: str, location: str, staging: str) -> None:
     for name, df in staged.tables().items():
         conform(df, TABLES[name]).write.mode("error").parquet(f"{staging}/{name}")
     loaded = {name: spark.read.schema(TABLES[name]).parquet(f"{staging}/{name}") for name in TABLES}
-    merged = {name: spark.table(f"{db}.{name}").unionByName(df) for name, df in loaded.items()}
+    merged = {name: read_current(spark, f"{db}.{name}").unionByName(df) for name, df in loaded.items()}
     for name, df in merged.items():
         require(f"key of {name}", check_key(df, KEYS[name]))
         require(f"text limits of {name}", check_lengths(loaded[name], LENGTH_LIMITS[name]))
@@ -77,7 +83,7 @@ def load_pages(catalog: Catalog, db: str, location: str, sample_style: bool = Fa
     def rest(name: str) -> list[str]:
         return [f.name for f in TABLES[name].fields if f.name not in KEYS[name]]
 
-    now = {name: spark.table(f"{db}.{name}") for name in TABLES}
+    now = {name: read_current(spark, f"{db}.{name}") for name in TABLES}
     for name in ("products", "attributes"):
         put(name, upsert(now[name], getattr(catalog, name), KEYS[name], rest(name)))
     if sample_style:

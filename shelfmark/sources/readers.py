@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.schemas import API_PAGE, TABLES, Catalog, conform
+from shelfmark.schemas import API_PAGE, API_PRODUCT, TABLES, Catalog, conform
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str,
@@ -69,23 +69,24 @@ def read_catalog(spark: SparkSession, source: str, fmt: str = "parquet", **optio
     return Catalog(**{name: load(name, schema) for name, schema in TABLES.items()})
 
 
-def read_api_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Products of landed API pages, one JSON page per line; empty pages give no rows.
+def read_api_pages(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Products of landed API pages, one JSON page per line or per file; empty pages give no rows.
 
-    Pages that are not JSON give one row with `_corrupt_record` set and no product.
+    A page that is not JSON gives one row with `_corrupt_record` set and no product.
     """
-    pages = spark.read.schema(API_PAGE).option("mode", "PERMISSIVE").json(path)
-    return products_of_pages(pages)
-
-
-def products_of_pages(pages: DataFrame) -> DataFrame:
-    good = pages.filter(F.col("_corrupt_record").isNull())
-    bad = pages.filter(F.col("_corrupt_record").isNotNull())
-    rows = good.select(F.explode("data.products").alias("product"),
-                       F.lit(None).cast("string").alias("_corrupt_record"))
-    rest = bad.select(F.lit(None).cast(rows.schema["product"].dataType).alias("product"),
-                      "_corrupt_record")
-    return rows.unionByName(rest).select("product.*", "_corrupt_record")
+    pages = spark.read.option("wholetext", whole_files).text(path)
+    return products_of_pages(pages.filter(F.trim("value") != ""))
+
+
+def products_of_pages(pages: DataFrame, value: str = "value") -> DataFrame:
+    """Products of page texts."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = pages.select(F.from_json(value, API_PAGE, options).alias("p"))
+    broken = F.col("p._corrupt_record")
+    nothing = F.array(F.lit(None).cast(API_PRODUCT))
+    listed = F.when(broken.isNull(), F.col("p.data.products")).otherwise(nothing)
+    return parsed.select(F.explode(listed).alias("product"), broken.alias("_corrupt_record")).select(
+        "product.*", "_corrupt_record")
 
 
 def recent(df: DataFrame, as_of: str, hours: int = 1, ts: str = "timestamp") -> DataFrame:

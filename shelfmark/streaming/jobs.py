@@ -14,7 +14,7 @@ from shelfmark.plans.indicators import (
 )
 from shelfmark.schemas import PRICE_POINTS
 from shelfmark.sinks.files import BatchSink, with_date
-from shelfmark.sinks.tables import upsert_table
+from shelfmark.sinks.tables import read_current, upsert_table
 from shelfmark.sources.readers import recent
 
 
@@ -56,7 +56,7 @@ def upsert_stream(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequ
     row of an earlier batch and a replay changes nothing.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        current = batch.sparkSession.table(table)
+        current = read_current(batch.sparkSession, table)
         ids = batch.select(*keys).distinct()
         known = current.join(ids, list(keys), "left_semi")
         upsert_table(table, batch.select(*current.columns).unionByName(known), keys, order_by, location)

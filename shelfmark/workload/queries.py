@@ -14,7 +14,6 @@ from shelfmark.functions.columns import (
 )
 from shelfmark.operators import checks, gaps, merge
 from shelfmark.plans import documents, indicators, reports
-from shelfmark.schemas import API_PAGE, Catalog
 from shelfmark.sinks.publish import snapshot_messages
 from shelfmark.sources import generators, pages, readers
 from shelfmark.streaming.flatten import flatten_stream
@@ -157,8 +156,7 @@ def _pages(spark, sf) -> DataFrame:
                     "attributes", "status")
     listed = product.groupBy(F.floor(F.col("item_id") / 20).alias("page")).agg(F.collect_list(body).alias("products"))
     text = F.to_json(F.struct(F.struct(F.size("products").alias("total_products"), "products").alias("data")))
-    parsed = listed.select(F.from_json(text, API_PAGE, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("p"))
-    good, _ = pages.split_products(readers.products_of_pages(parsed.select("p.*")))
+    good, _ = pages.split_products(readers.products_of_pages(listed.select(text.alias("value"))))
     return good
 
 
