@@ -15,6 +15,8 @@ from shelfmark.functions.columns import decay_depth, growth
 from shelfmark.functions.skew import MAX_ROWS, POS, blocks, routed, running, time_cells, whole
 
 SPAN = 256  # rows per stretch in which an exponential weight is kept relative
+STRETCH = "_stretch"
+MICROS = "_us"  # sample time; a frame that has it keeps one sort order through several steps
 
 
 def order_of(df: DataFrame, ts: str = "timestamp", tie: str = "event_id") -> list[str]:
@@ -69,28 +71,33 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 # --- indicators ---------------------------------------------------------------------------------
 
 def _position(df: DataFrame, part: Sequence[str], order: Sequence[str], heavy: bool) -> DataFrame:
-    if heavy:
-        return df
-    w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn(POS, (F.row_number().over(w) - 1).cast("bigint"))
+    if not heavy:
+        w = Window.partitionBy(*part).orderBy(*order)
+        df = df.withColumn(POS, (F.row_number().over(w) - 1).cast("bigint"))
+    return df.withColumn(STRETCH, F.floor(F.col(POS) / SPAN))
 
 
-def _decayed(part: Sequence[str], value: Column, decay: float) -> Column:
-    """`sum over earlier rows i of value_i * decay ** (pos - i)` with constant work per row.
+def _decayed(df: DataFrame, part: Sequence[str], sums: dict[str, tuple[Column, float]]) -> DataFrame:
+    """Adds `sum over rows i up to this of value_i * decay ** (pos - i)` for each (value, decay).
 
-    Inside a stretch of SPAN rows it is a running sum of `value / decay ** offset`; earlier
-    stretches enter through one sum each, as far back as a weight still shows in a double.
+    The work per row is constant. Inside a stretch of SPAN rows it is a running sum of
+    `value / decay ** offset`; earlier stretches enter through one sum each, as far back as a weight
+    still shows in a double. All running sums come first, so one sort serves both kinds of window.
     """
-    stretch = F.floor(F.col(POS) / SPAN)
     offset = F.col(POS) % SPAN
-    inside = Window.partitionBy(*part, stretch).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.sum(value * F.pow(F.lit(1.0 / decay), offset)).over(inside) * F.pow(F.lit(decay), offset)
-    at_end = value * F.pow(F.lit(decay), F.lit(SPAN - 1) - offset)
-    carry = F.lit(0.0)
-    for k in range(1, decay_depth(decay, SPAN) + 1):
-        w = Window.partitionBy(*part).orderBy(stretch).rangeBetween(-k, -k)
-        carry = carry + F.coalesce(F.sum(at_end).over(w), F.lit(0.0)) * decay ** (SPAN * (k - 1))
-    return local + carry * F.pow(F.lit(decay), offset + 1)
+    inside = Window.partitionBy(*part, STRETCH).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({
+        f"_l_{k}": F.sum(v * F.pow(F.lit(1.0 / decay), offset)).over(inside) for k, (v, decay) in sums.items()})
+    carried = {}
+    for k, (value, decay) in sums.items():
+        at_end = value * F.pow(F.lit(decay), F.lit(SPAN - 1) - offset)
+        carry = F.lit(0.0)
+        for back in range(1, decay_depth(decay, SPAN) + 1):
+            w = Window.partitionBy(*part).orderBy(STRETCH).rangeBetween(-back, -back)
+            carry = carry + F.coalesce(F.sum(at_end).over(w), F.lit(0.0)) * decay ** (SPAN * (back - 1))
+        weight = F.pow(F.lit(decay), offset)
+        carried[k] = F.col(f"_l_{k}") * weight + carry * weight * decay
+    return df.withColumns(carried).drop(*[f"_l_{k}" for k in sums])
 
 
 def _lookback(decay: float) -> int:
@@ -167,7 +174,7 @@ def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str
         ordered = Window.partitionBy(*part).orderBy(*order)
         d = _position(d, part, order, heavy)
         x = F.col(value).cast("double")
-        totals, fills = {}, {}
+        totals, fills, sums = {}, {}, {}
         if "sma" in names:
             d = d.withColumn(names["sma"], F.avg(x).over(ordered.rowsBetween(-(sma_rows - 1), 0)))
         if "rsi" in names or "changes" in names:
@@ -178,18 +185,19 @@ def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str
                                "_loss": F.greatest(-move, F.lit(0.0))})
             if method == "cutler":
                 w = ordered.rowsBetween(-(rsi_n - 1), 0)
-                up, down = F.avg("_gain").over(w), F.avg("_loss").over(w)
+                d = d.withColumns({"_up": F.avg("_gain").over(w), "_down": F.avg("_loss").over(w)})
             else:
+                # The first n moves weigh the same at move n, which is their mean there.
                 seed = F.when(F.col(POS) <= rsi_n, F.pow(F.lit(rsi_decay), F.col(POS) - rsi_n))
                 weight = F.coalesce(seed, F.lit(1.0)) / rsi_n
-                up = _decayed(part, F.col("_gain") * weight, rsi_decay)
-                down = _decayed(part, F.col("_loss") * weight, rsi_decay)
+                sums["_up"] = (F.col("_gain") * weight, rsi_decay)
+                sums["_down"] = (F.col("_loss") * weight, rsi_decay)
         if "ema" in names:
-            alpha = 1 - ema_decay
-            start = F.when(F.col(POS) == 0, x).otherwise(x * alpha)
-            d = d.withColumn(names["ema"], _decayed(part, start, ema_decay))
+            start = F.when(F.col(POS) == 0, x).otherwise(x * (1 - ema_decay))
+            sums[names["ema"]] = (start, ema_decay)
+        if sums:
+            d = _decayed(d, part, sums)
         if "rsi" in names:
-            d = d.withColumns({"_up": up, "_down": down})
             level = (
                 F.when((F.col("_up") == 0) & (F.col("_down") == 0), F.lit(50.0))
                 .when(F.col("_down") == 0, F.lit(100.0))
@@ -208,8 +216,10 @@ def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str
             d = d.withColumn("_changed", moved.cast("bigint"))
             totals[names["changes"]] = "_changed"
         if totals or fills:
-            d = running(d, by, order, heavy, totals, fills)
-        d = whole(d, heavy).drop("_move", "_gain", "_loss", "_up", "_down", "_level", "_changed")
+            # The order in which the decayed sums left the rows, which is also that of the samples.
+            sorted_by = [STRETCH, POS] if sums else order
+            d = running(d, by, sorted_by, heavy, totals, fills)
+        d = whole(d, heavy).drop("_move", "_gain", "_loss", "_up", "_down", "_level", "_changed", STRETCH)
         return d if heavy else d.drop(POS)
 
     return step
@@ -237,8 +247,10 @@ def window_step(span: int, measures: Sequence[str], by: Sequence[str], value: st
 
     def step(rows: DataFrame, heavy: bool) -> DataFrame:
         d, part = time_cells(rows, by, "timestamp", span, heavy)
-        d = d.withColumns({"_us": F.unix_micros("timestamp"), "_x": F.col(value).cast("double")})
-        ordered = Window.partitionBy(*part).orderBy("_us")
+        if MICROS not in d.columns:
+            d = d.withColumn(MICROS, F.unix_micros("timestamp"))
+        d = d.withColumn("_x", F.col(value).cast("double"))
+        ordered = Window.partitionBy(*part).orderBy(MICROS)
         frame = ordered.rangeBetween(-span + 1, 0)
         d = d.withColumn("_last_x", F.lag("_x").over(ordered))
         rise = F.when(F.col("_x") < F.col("_last_x"), F.col("_x")).otherwise(F.col("_x") - F.col("_last_x"))
@@ -250,13 +262,14 @@ def window_step(span: int, measures: Sequence[str], by: Sequence[str], value: st
         if "changes" in measures:
             out[names["changes"]] = F.sum("_diff").over(frame) - F.first("_diff").over(frame)
         if "rate" in measures:
-            seconds = (F.col("_us") - F.first("_us").over(frame)) / 1e6
+            seconds = (F.col(MICROS) - F.first(MICROS).over(frame)) / 1e6
             out[names["rate"]] = F.try_divide(
                 F.sum("_rise").over(frame) - F.first("_rise").over(frame), F.nullif(seconds, F.lit(0.0)))
         if "pct_change" in measures:
             start = F.first("_x").over(frame)
             out[names["pct_change"]] = (F.col("_x") - start) / F.nullif(start, F.lit(0.0)) * 100
-        return whole(d.withColumns(out), heavy).drop("_us", "_x", "_last_x", "_diff", "_rise")
+        kept = () if MICROS in rows.columns else (MICROS,)
+        return whole(d.withColumns(out), heavy).drop("_x", "_last_x", "_diff", "_rise", *kept)
 
     return step
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.series import (
-    hold_step, indicator_step, indicators, latest_by, micros_of, order_of, window_step,
+    MICROS, hold_step, indicator_step, indicators, latest_by, micros_of, order_of, window_step,
 )
 from shelfmark.functions.skew import MAX_ROWS, numbered, routed
 
@@ -47,26 +47,27 @@ def alerts(points: DataFrame, rules: Sequence[Rule] = RULES, short: str = "5 min
 
     For keys that are not heavy all of it runs on one shuffle by series.
     """
-    order = ["timestamp"]
+    order = [MICROS]
     tie = order_of(points)[1:] or ["price"]
     steps = [
-        indicator_step(order, {"rsi": "rsi_14"}, SERIES, max_rows=max_rows),
         window_step(micros_of(points, short), ["pct_change", "rate"], SERIES,
                     names={"pct_change": "pct_change_5m", "rate": "rate_5m"}),
         window_step(micros_of(points, long), ["changes"], SERIES, names={"changes": "changes_1h"}),
+        indicator_step(order, {"rsi": "rsi_14"}, SERIES, max_rows=max_rows),
         hold_step(order, {f"_s{i}": F.expr(r.condition) for i, r in enumerate(rules)}, SERIES, max_rows),
     ]
 
     def plan(rows: DataFrame, heavy: bool) -> DataFrame:
+        rows = rows.withColumn(MICROS, F.unix_micros("timestamp"))
         if heavy:
-            rows = numbered(latest_by(rows, [*SERIES, "timestamp"], tie), SERIES, order, max_rows)
+            rows = numbered(latest_by(rows, [*SERIES, MICROS], tie), SERIES, order, max_rows)
         else:
-            later = F.lead("timestamp").over(Window.partitionBy(*SERIES).orderBy("timestamp", *tie))
+            later = F.lead(MICROS).over(Window.partitionBy(*SERIES).orderBy(MICROS, *tie))
             rows = rows.withColumn("_later", later).filter(
-                F.col("_later").isNull() | (F.col("_later") != F.col("timestamp"))).drop("_later")
+                F.col("_later").isNull() | (F.col("_later") != F.col(MICROS))).drop("_later")
         for step in steps:
             rows = step(rows, heavy)
-        return rows
+        return rows.drop(MICROS)
 
     held = routed(points, SERIES, order, max_rows, plan, number=False)
     return firing(held, rules, [f"_s{i}" for i in range(len(rules))])

@@ -127,17 +127,19 @@ def product_documents_flat(spark, sf):
     docs = documents.product_documents(m.catalog(spark, sf), PUBLISHED)
     d = docs.select("data.*", F.col("part").cast("bigint").alias("part"))
 
-    def text(*cols):
-        return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols])
+    def text(*columns):
+        return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in columns])
 
-    header = d.select("id", "part", F.lit("header").alias("kind"), F.lit(0).alias("pos"), text(
+    def entry(kind, pos, value):
+        return F.struct(F.lit(kind).alias("kind"), pos.cast("int").alias("pos"), value.alias("value"))
+
+    header = F.array(entry("header", F.lit(0), text(*[F.col(c) for c in (
         "name", "created_time", "updated_time", "primary_category", "status", "attributes.brand",
-        "attributes.description").alias("value"))
-    sku = d.select("id", "part", F.lit("sku").alias("kind"), F.posexplode("skus").alias("pos", "s")).select(
-        "id", "part", "kind", "pos", text("s.SkuId", "s.SellerSku", "s.ShopSku", "s.Status", "s.quantity",
-                                          "s.Available", "s.price", "s.special_price").alias("value"))
-    image = d.select("id", "part", F.lit("image").alias("kind"), F.posexplode("images").alias("pos", "value"))
-    return header.unionByName(sku).unionByName(image)
+        "attributes.description")])))
+    keys = ("SkuId", "SellerSku", "ShopSku", "Status", "quantity", "Available", "price", "special_price")
+    skus = F.transform("skus", lambda s, i: entry("sku", i, text(*[s[k] for k in keys])))
+    urls = F.transform("images", lambda u, i: entry("image", i, u))
+    return d.select("id", "part", F.inline(F.concat(header, skus, urls)))
 
 
 @query
