@@ -53,11 +53,12 @@ def find_heavy(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) ->
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                left_heavy: DataFrame | None = None, right_heavy: DataFrame | None = None) -> DataFrame:
+                left_heavy: DataFrame | None = None, right_heavy: DataFrame | None = None,
+                salt_on: Sequence[str] | None = None) -> DataFrame:
     """Inner or left join in which a heavy key is spread over many tasks.
 
     `left_heavy` and `right_heavy` come from `find_heavy`. Rows of a heavy key get a salt from their
-    own content; the other side is repeated once per salt. A left row whose key is heavy on the
+    own content, or from the columns of `salt_on` that they have; the other side is repeated once per salt. A left row whose key is heavy on the
     right has a partner under some salt, so its unmatched repeats are removed.
     """
     if how not in ("inner", "left"):
@@ -67,7 +68,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
     def prepare(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
         heavy = {"_lp": left_heavy, "_rp": right_heavy}
-        content = F.xxhash64(*df.columns)
+        content = F.xxhash64(*[c for c in df.columns if salt_on is None or c in (*keys, *salt_on)])
         for name, keyed in heavy.items():
             if keyed is not None:
                 df = attach(df, keyed.withColumnRenamed("_pieces", name), keys, [name])

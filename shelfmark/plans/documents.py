@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ def full_products(catalog: Catalog, max_rows: int = MAX_ROWS) -> DataFrame:
 
 
 def _lists(children: DataFrame, order: list[Column], value: Column, name: str, limit: int,
-           first: str | None = None) -> DataFrame:
-    """Sorted distinct children per item; with a `part` column where an item is over `limit`.
+           first: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Sorted distinct children per item, and the items over `limit`, if any; then with a `part`.
 
     Items up to the limit take one shuffle. A larger one is made distinct first, numbered along
     `order` without one sort over all of it, and cut into parts. `first` is a column whose smallest
@@ -41,7 +43,7 @@ def _lists(children: DataFrame, order: list[Column], value: Column, name: str, l
     found = F.array_sort(F.collect_set("_value")).alias(name)
     hot = find_heavy(children, ["item_id"], limit)
     if hot is None:
-        return rows.groupBy("item_id").agg(found)
+        return rows.groupBy("item_id").agg(found), None
     light = rows.join(F.broadcast(hot.select("item_id")), "item_id", "left_anti")
     light = light.groupBy("item_id").agg(found).withColumn("part", F.lit(0).cast("bigint"))
     heavy = children.join(F.broadcast(hot.select("item_id")), "item_id").distinct()
@@ -54,7 +56,7 @@ def _lists(children: DataFrame, order: list[Column], value: Column, name: str, l
         heavy = attach(heavy, lead, ["item_id"], ["_lead"])
         part = F.when(F.col(first) == F.col("_lead"), F.lit(0)).otherwise(part)
     heavy = heavy.select("item_id", part.alias("part"), value.alias("_value"))
-    return light.unionByName(heavy.groupBy("item_id", "part").agg(found))
+    return light.unionByName(heavy.groupBy("item_id", "part").agg(found)), hot
 
 
 def product_documents(catalog: Catalog, published: str | Column | None = None,
@@ -71,21 +73,24 @@ def product_documents(catalog: Catalog, published: str | Column | None = None,
         F.col("available").alias("Available"), F.col("price"), F.col("special_price"))
     # Equal SKU ids are ordered by content and URLs by hash, so every part boundary is fixed; the
     # first URL of all stays in part 0.
-    skus = _lists(catalog.skus.drop("created_date"), [F.col("sku_id"), F.xxhash64(sku)], sku, "skus",
+    skus, many_skus = _lists(catalog.skus.drop("created_date"), [F.col("sku_id"), F.xxhash64(sku)], sku, "skus",
                   max_children)
     urls = catalog.images.filter(F.col("image_url").isNotNull()).select("item_id", "image_url")
-    images = _lists(urls, [F.xxhash64("image_url")], F.col("image_url"), "images", max_children, "image_url")
-    keys = ["item_id"]
-    if "part" in skus.columns or "part" in images.columns:
-        keys.append("part")
-        skus, images = (d if "part" in d.columns else d.withColumn("part", F.lit(0).cast("bigint"))
-                        for d in (skus, images))
-    children = skus.join(images, keys, "full")
-    if "part" not in keys:
-        children = children.withColumn("part", F.lit(0).cast("bigint"))
+    images, many_images = _lists(urls, [F.xxhash64("image_url")], F.col("image_url"), "images",
+                                 max_children, "image_url")
+    hot = [h for h in (many_skus, many_images) if h is not None]
+    none = F.lit(0).cast("bigint")
+    if hot:
+        skus, images = (d if "part" in d.columns else d.withColumn("part", none) for d in (skus, images))
+        children = skus.join(images, ["item_id", "part"], "full")
+    else:
+        children = skus.join(images, "item_id", "full").withColumn("part", none)
     header = catalog.products.drop("created_date").join(
         catalog.attributes.select("item_id", "brand", "description"), "item_id", "left")
-    docs = header.join(children, "item_id", "left")
+    # The parts of one product are spread over as many tasks as it has parts.
+    parted = reduce(DataFrame.unionByName, hot).groupBy("item_id").agg(
+        F.max("_pieces").alias("_pieces")) if hot else None
+    docs = salted_join(header, children, ["item_id"], "left", right_heavy=parted, salt_on=["part"])
     if published is None:
         published = F.current_timestamp()
     elif isinstance(published, str):

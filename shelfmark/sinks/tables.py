@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.functions.series import latest_by
 from shelfmark.operators.checks import check_key, check_lengths, check_reference, require
 from shelfmark.operators.merge import insert_missing, replace_children, upsert
 from shelfmark.schemas import KEYS, LENGTH_LIMITS, TABLES, Catalog, conform
@@ -45,10 +46,28 @@ def replace_content(table: str, df: DataFrame, location: str) -> str:
 
 def upsert_table(table: str, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                  location: str) -> str:
+    """Upsert as a new version. A format with row-level changes takes `merge_into` instead."""
     current = read_current(updates.sparkSession, table)
     return replace_content(table, upsert(current, updates, keys, order_by), location)
 
 
+def merge_statement(table: str, source: str, columns: Sequence[str], keys: Sequence[str]) -> str:
+    on = " AND ".join(f"t.`{k}` <=> u.`{k}`" for k in keys)
+    sets = ", ".join(f"t.`{c}` = u.`{c}`" for c in columns if c not in keys)
+    names = ", ".join(f"`{c}`" for c in columns)
+    values = ", ".join(f"u.`{c}`" for c in columns)
+    return (f"MERGE INTO {table} t USING {source} u ON {on} WHEN MATCHED THEN UPDATE SET {sets} "
+            f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})")
+
+
+def merge_into(table: str, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> None:
+    """Upsert in place, for table formats that support MERGE; rewrites only the files concerned."""
+    spark = updates.sparkSession
+    columns = spark.table(table).columns
+    latest_by(updates, keys, order_by).select(*columns).createOrReplaceTempView("_updates")
+    spark.sql(merge_statement(table, "_updates", columns, keys))
+
+
 def bulk_load(staged: Catalog, db: str, location: str, staging: str) -> None:
     """Stage all four tables, check keys, references and lengths, then append them.
 

@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfmark.functions.series import latest_by
 from shelfmark.plans.indicators import (
     RULES, Rule, alerts, gauges, metric_samples, price_indicators,
 )
 from shelfmark.schemas import PRICE_POINTS
 from shelfmark.sinks.files import BatchSink, with_date
-from shelfmark.sinks.tables import read_current, upsert_table
 from shelfmark.sources.readers import recent
 
 
@@ -47,24 +49,45 @@ def run_once(query: StreamingQuery, timeout: int | None = None) -> bool:
     return query.awaitTermination(timeout) if timeout else bool(query.awaitTermination() or True)
 
 
-def upsert_stream(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str], location: str,
-                  checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Keep the latest row per key in a table.
+def upsert_stream(df: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str],
+                  checkpoint: str, buckets: int = 1024, once: bool = True) -> StreamingQuery:
+    """Keep the latest row per key in a folder partitioned by key bucket.
 
     `order_by` is the message time, then partition and offset, since messages carry no key and may
-    arrive in any order. The table holds these columns, so that a late message loses against a newer
-    row of an earlier batch and a replay changes nothing.
+    arrive in any order. The rows hold these columns, so a late message loses against a newer row of
+    an earlier batch and a replay changes nothing. A batch reads and rewrites only the buckets it
+    touches; their numbers, at most `buckets`, are the only thing that reaches the driver.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        current = read_current(batch.sparkSession, table)
-        ids = batch.select(*keys).distinct()
-        known = current.join(ids, list(keys), "left_semi")
-        upsert_table(table, batch.select(*current.columns).unionByName(known), keys, order_by, location)
+        rows = latest_by(batch, keys, order_by).select("*", bucket).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = [r.bucket for r in rows.select("bucket").distinct().collect()]
+            if not touched:
+                return
+            known = stored_state(batch, path).filter(F.col("bucket").isin(touched))
+            merged = latest_by(known.unionByName(rows), ["bucket", *keys], order_by)
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket").parquet(path))
+        finally:
+            rows.unpersist()
 
     writer = df.writeStream.outputMode("append").foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def stored_state(like: DataFrame, path: str) -> DataFrame:
+    """State written by `upsert_stream`, empty before the first batch."""
+    schema = T.StructType([*like.schema.fields, T.StructField("bucket", T.IntegerType())])
+    try:
+        return like.sparkSession.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.sparkSession.createDataFrame([], schema)
+
+
 def stream_metrics(points: DataFrame, store: str, out: str, checkpoint: str, hours: int = 1,
                    history_hours: int = 24, rules: Sequence[Rule] = RULES, once: bool = True) -> StreamingQuery:
     """Gauges and alerts after each batch of price points.

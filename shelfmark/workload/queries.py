@@ -150,13 +150,14 @@ def flatten_stream_batch(spark, sf):
 
 def _pages(spark, sf) -> DataFrame:
     """API pages of the catalog, as text that is then parsed: twenty products to a page."""
-    data = documents.product_documents(m.catalog(spark, sf), PUBLISHED).select("data.*")
+    data = documents.product_documents(m.catalog(spark, sf), PUBLISHED).select("data.*", "part")
     millis = {c: (F.unix_seconds(F.col(c).cast("timestamp")) * 1000 + 738).cast("string")
               for c in ("created_time", "updated_time")}
     product = data.withColumn("item_id", F.col("id").cast("bigint")).withColumns(millis)
     body = F.struct("created_time", "updated_time", "images", "skus", "item_id", "primary_category",
                     "attributes", "status")
-    listed = product.groupBy(F.floor(F.col("item_id") / 20).alias("page")).agg(F.collect_list(body).alias("products"))
+    page = F.floor(F.col("item_id") / 20).alias("page")
+    listed = product.groupBy(page, "part").agg(F.collect_list(body).alias("products"))
     text = F.to_json(F.struct(F.struct(F.size("products").alias("total_products"), "products").alias("data")))
     good, _ = pages.split_products(readers.products_of_pages(listed.select(text.alias("value"))))
     return good

@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from shelfmark.sinks import files, tables
+from shelfmark.sinks import files
 from shelfmark.sources import readers
 from shelfmark.streaming import jobs
 from shelfmark.streaming.flatten import flatten_stream
@@ -68,24 +68,20 @@ def test_append_stream(spark, tmp_path):
 
 
 def test_latest_state(spark, tmp_path):
-    inbox, out = str(tmp_path / "in"), str(tmp_path / "tables")
-    spark.sql("CREATE DATABASE IF NOT EXISTS stream_state")
-    spark.sql("DROP TABLE IF EXISTS stream_state.latest")
-    spark.sql("CREATE TABLE stream_state.latest (item_id bigint, price decimal(18,2), message_time timestamp) "
-              f"USING parquet LOCATION '{out}/version=0'")
+    inbox, state = str(tmp_path / "in"), str(tmp_path / "state")
 
     def run():
         raw = readers.read_message_files(spark, inbox)
         flat = flatten_stream(raw, keep=("message_time",)).select("item_id", "price", "message_time")
-        jobs.run_once(jobs.upsert_stream(flat, "stream_state.latest", ["item_id"], ["message_time"], out, str(tmp_path / "cp")))
-        return {r.item_id: float(r.price) for r in tables.read_current(spark, "stream_state.latest").collect()}
+        jobs.run_once(jobs.upsert_stream(flat, state, ["item_id"], ["message_time"], str(tmp_path / "cp"), buckets=4))
+        return {r.item_id: float(r.price) for r in spark.read.parquet(state).collect()}
 
-    land(inbox, "a.txt", [message(1, 5.0, 5), message(1, 3.0, 3), message(2, 1.0, 1)])
-    assert run() == {1: 5.0, 2: 1.0}
+    land(inbox, "a.txt", [message(1, 5.0, 5), message(1, 3.0, 3), message(2, 1.0, 1), message(9, 9.0)])
+    assert run() == {1: 5.0, 2: 1.0, 9: 9.0}
     land(inbox, "b.txt", [message(1, 4.0, 4), message(2, 2.0, 2)])  # the first one is late
-    assert run() == {1: 5.0, 2: 2.0}
-    assert run() == {1: 5.0, 2: 2.0}
-    spark.sql("DROP DATABASE stream_state CASCADE")
+    assert run() == {1: 5.0, 2: 2.0, 9: 9.0}
+    assert run() == {1: 5.0, 2: 2.0, 9: 9.0}
+    assert spark.read.parquet(state).count() == 3
 
 
 def test_metrics_and_alerts(spark, tmp_path):

@@ -16,7 +16,7 @@ def api_product(item, skus=(1,), images=("u1", "u2"), **extra):
             "skus": [{"Status": "active", "quantity": 100, "SellerSku": "1234SKU", "ShopSku": "x",
                       "special_price": 0, "price": 250000, "Available": 100, "SkuId": s} for s in skus],
             "item_id": item, "primary_category": 13156,
-            "attributes": {"name": f"n{item}", "brand": "JOOLA", "description": "d"}, "status": "Active"}
+            "attributes": {"name": f"n{item}", "brand": "Brand X", "description": "d"}, "status": "Active"}
     return {k: v for k, v in {**body, **extra}.items() if v != "absent"}
 
 
@@ -158,3 +158,15 @@ def test_schema_inference(spark):
     assert got == {"id": "INTEGER", "ok": "BOOLEAN", "price": "DECIMAL", "name": "TEXT", "tags": "JSONB",
                    "sub": "JSONB", "n": "TEXT", "created_date": "DATE"}
     assert "`price` DECIMAL(38,6)" in readers.table_ddl(inferred, "t")
+
+
+def test_upsert_table(spark, database):
+    db, location = database
+    new = spark.sql("SELECT 1L item_id, 'B' brand, 'd' description, date'2025-01-01' created_date, 1 seq "
+                    "UNION ALL SELECT 1L, 'C', 'e', date'2025-01-02', 2")
+    for _ in range(2):
+        tables.upsert_table(f"{db}.attributes", new, ["item_id"], ["seq"], f"{location}/attributes")
+        assert [(r.item_id, r.brand) for r in tables.read_current(spark, f"{db}.attributes").collect()] == [(1, "C")]
+    text = tables.merge_statement("t1", "u1", ["k", "v"], ["k"])
+    assert text == ("MERGE INTO t1 t USING u1 u ON t.`k` <=> u.`k` WHEN MATCHED THEN UPDATE SET t.`v` = u.`v` "
+                    "WHEN NOT MATCHED THEN INSERT (`k`, `v`) VALUES (u.`k`, u.`v`)")
