@@ -97,6 +97,16 @@ def ratio(num: Column | str, den: Column | str, times: int = 1, digits: int = 2)
     return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(20,{digits})")
 
 
+def wide_sum(value: Column, bits: int = 20) -> Column:
+    """Exact sum of whole numbers beyond the range of a bigint, at bigint speed.
+
+    High and low bits are summed apart. Holds for 2^43 rows of up to 2^40 on average; more raises an
+    overflow error under ANSI.
+    """
+    high = F.sum(F.shiftright(value, bits)).cast("decimal(38,0)")
+    return high * F.lit(1 << bits) + F.sum(value.bitwiseAND(F.lit((1 << bits) - 1)))
+
+
 def pct(num: Column | str, den: Column | str) -> Column:
     return ratio(num, den, times=100)
 

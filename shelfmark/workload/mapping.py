@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.columns import ratio
+from shelfmark.functions.columns import ratio, wide_sum
 from shelfmark.schemas import ATTRIBUTES, IMAGES, PRODUCTS, SKUS, Catalog, conform
 
 
@@ -154,14 +154,14 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("item"), "l_orderkey",
         "l_linestatus", "quantity", "price", "special_price", "off")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("brand"))
-    q, p, s = F.col("quantity"), F.col("price").cast("decimal(18,2)"), F.col("special_price").cast("decimal(18,2)")
+    q, p, s = F.col("quantity"), F.col("price"), F.col("special_price")
     rows = line.join(part, "item")
     by_item = line.groupBy("item", "day").agg(
         F.max((F.col("l_linestatus") == "O").cast("int")).alias("active"),
         F.sum("quantity").alias("units"), F.count("*").alias("n"),
         F.count_if(q <= 10).alias("low"), F.count_if(q == 1).alias("out"), F.count_if(q > 45).alias("excess"),
-        F.sum(q * p).alias("gross"), F.sum(F.when(s > 0, q * (p - s)).otherwise(0)).alias("discount"),
-        F.sum(p).alias("price_sum"), F.min(p).alias("min_price"), F.max(p).alias("max_price"),
+        wide_sum(q * p).alias("gross"), wide_sum(F.when(s > 0, q * (p - s)).otherwise(0)).alias("discount"),
+        wide_sum(p).alias("price_sum"), F.min(p).alias("min_price"), F.max(p).alias("max_price"),
         F.max((F.col("off") > 0).cast("int")).alias("promo"), F.sum("off").alias("off_sum"))
     ends = line.groupBy("item").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
     sums = by_item.join(ends, "item").join(part, "item").groupBy("day", "brand").agg(
@@ -173,8 +173,8 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("low").alias("low_stock_items"), F.sum("out").alias("out_of_stock"),
         F.sum("excess").alias("excess_stock"),
         F.sum("gross").alias("gross_revenue"), F.sum("discount").alias("discount_amount"),
-        F.sum("price_sum").alias("price_sum"), F.min("min_price").alias("min_price"),
-        F.max("max_price").alias("max_price"), F.sum("promo").alias("promo_products"),
+        F.sum("price_sum").alias("price_sum"), F.min("min_price").cast("decimal(18,2)").alias("min_price"),
+        F.max("max_price").cast("decimal(18,2)").alias("max_price"), F.sum("promo").alias("promo_products"),
         F.sum("off_sum").alias("off_sum"))
     orders = rows.select("day", "brand", "l_orderkey").distinct().groupBy("day", "brand").agg(
         F.count("*").alias("orders_count"))

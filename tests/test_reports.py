@@ -171,6 +171,13 @@ def test_ratio_is_exact(spark):
         assert r.got == (None if r.want is None else D(r.want))
 
 
+def test_wide_sum_passes_bigint(spark):
+    big = 2**62
+    df = spark.createDataFrame([(1, v) for v in (big, big, big, -5)] + [(2, -1), (2, -(2**40))], "k int, v bigint")
+    got = {r.k: r.s for r in df.groupBy("k").agg(columns.wide_sum(F.col("v")).alias("s")).collect()}
+    assert got == {1: 3 * big - 5, 2: -1 - 2**40}
+
+
 def test_small_functions(spark):
     row = spark.sql("SELECT '1742835004738' ms, timestamp'2024-01-01 06:00:00' t, "
                     "timestamp'2024-01-01 06:00:00.000120' u, 2.5D x, 3.5D y, array() e").select(
