@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -13,6 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call-site capture for every column expression; it dominates the time to build a wide plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -29,11 +28,18 @@ def build_session(app: str = "shelfmark", master: str | None = None, **extra) ->
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is named."""
+    """The shared folder that `spark.checkpoint.dir` names.
+
+    In local mode, where driver and executors are one process, a folder in the warehouse serves when
+    none is named. A cluster without the setting is an error: no machine-local folder would do.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return root
+    if root is not None:
+        return root
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
