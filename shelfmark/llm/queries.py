@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, exact_dedup, licenses, sharding
+from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, quality, sharding
 from shelfmark.llm.common import read
 
 
@@ -73,14 +73,42 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
     row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW w AS (PARTITION BY t)"""
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+NEAR_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+posts AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS met
+    FROM posts a JOIN posts b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM common WHERE 100 * met >= 85 * (na + nb - met)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.a, s.b FROM reach r JOIN steps s ON r.b = s.a),
+least_id AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_id ON a = doc_id"""
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.score_quality(docs, quality.fit_quality(docs, labels))
+
+
 REGISTRY = {
     "op1_license_scan": op1_license_scan,
     "op4_chat_format": op4_chat_format,
     "op5_shard_shuffle": op5_shard_shuffle,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE = {
     "op1_license_scan": licenses.scan_sql(),
     "op4_chat_format": _chat_sql(),
     "op8_exact_dedup": EXACT_SQL,
+    "op9_near_dedup": NEAR_SQL,
 }
