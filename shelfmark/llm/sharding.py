@@ -63,7 +63,7 @@ def shard_sizes(rows: int, shards: int) -> list[int]:
 
 
 def shuffle_into_shards(docs: DataFrame, shards: int = 40, seed: int = 20_240_501,
-                        source_rows: int = 16_384, block_rows: int = 65_536) -> DataFrame:
+                        source_rows: int = 1_024, block_rows: int = 65_536) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law ('rows'), shard, slot, grown_shard (null).
 
     `size` is the UTF-8 length of the text plus a header of 16 bytes. Slots run from 0 without gaps in
