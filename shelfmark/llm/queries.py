@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, quality, sharding
+from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, quality, sharding, substring_dedup
 from shelfmark.llm.common import read
 
 
@@ -64,6 +64,22 @@ def op5_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(read(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+REPEATS_SQL = """
+WITH words AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+wins AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM words WHERE len(w) >= 13),
+named AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM wins),
+hits AS (SELECT doc_id, i FROM named QUALIFY min(doc_id) OVER (PARTITION BY g) < doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS r FROM hits GROUP BY doc_id)
+SELECT w.doc_id, len(w) AS n_words, coalesce(len(r), 0) AS n_removed,
+    sha256(array_to_string(CASE WHEN r IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(r, i)) END, ' ')) AS kept_sha256
+FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id"""
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -102,6 +118,7 @@ REGISTRY = {
     "op1_license_scan": op1_license_scan,
     "op4_chat_format": op4_chat_format,
     "op5_shard_shuffle": op5_shard_shuffle,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
@@ -109,6 +126,7 @@ REGISTRY = {
 ORACLE = {
     "op1_license_scan": licenses.scan_sql(),
     "op4_chat_format": _chat_sql(),
+    "op7_substring_dedup": REPEATS_SQL,
     "op8_exact_dedup": EXACT_SQL,
     "op9_near_dedup": NEAR_SQL,
 }
