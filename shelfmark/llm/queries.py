@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, quality, sharding, substring_dedup
+from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, packing, quality, sharding, substring_dedup
 from shelfmark.llm.common import read
 
 
@@ -13,6 +13,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 #: A turn whose text looks like the template's own markers; the query formats it as conversation -1.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -116,6 +120,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_license_scan": op1_license_scan,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
     "op5_shard_shuffle": op5_shard_shuffle,
     "op7_substring_dedup": op7_substring_dedup,
