@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, packing, quality, sharding, substring_dedup
+from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, packing, pii, quality, sharding, substring_dedup
 from shelfmark.llm.common import read
 
 
@@ -68,6 +68,11 @@ def op5_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(read(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.train_field(pii.labelled_table(docs)))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -123,6 +128,7 @@ REGISTRY = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
     "op5_shard_shuffle": op5_shard_shuffle,
+    "op6_personal_data": op6_personal_data,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
