@@ -5,11 +5,11 @@ inverted list holds the documents that retain a value. Documents that share a li
 sketch of their union estimates their similarity, and exact set comparison decides.
 
 Documents with one and the same set are one class and enter as one vertex. A value retained by more than
-`LIST_LIMIT` classes is common. A document most of whose retained values are uncommon is found through
-those: a partner at the threshold shares all but a small part of its values. A document made of common
-values (boilerplate, or one of a large family of copies) also enters the lists of common values; there
-each member is compared with a few hubs, which joins a family of n copies by n links. A common list whose
-members are still in several components afterwards is compared across the components, so no link is lost.
+`LIST_LIMIT` classes is common. A document with enough uncommon values is found through those: a partner
+at the threshold shares all but a small part of its values. A document made of common values (boilerplate,
+or one of a large family of copies) also enters the lists of the common ones among its `FEW` smallest.
+Such a list is cut into blocks of bounded size, every pair of blocks is compared exactly in one task, and
+only links that join two parts leave it, so a family of n copies gives about n rows and no link is lost.
 """
 
 from __future__ import annotations
@@ -29,11 +29,16 @@ from shelfmark.llm.wordhash import shingle_hashes, slices, word_hashes
 WORDS = 5
 SKETCH = 32
 LIST_LIMIT = 32
-#: Share of uncommon values above which a document needs no common list. A pair at 0.85 differs in 15%
-#: of its values; that all of 24 among 32 retained values fall into the differing part has odds of 1e-13.
-UNCOMMON = 0.75
+#: Uncommon values among the retained that make a document findable through them alone. Of 32 retained
+#: values at 0.85, all of 20 uncommon ones missing in the partner's sketch has odds below 1e-9. A set of
+#: SMALL shingles or fewer is retained whole, as is any partner's: more than 15% of it is certain.
+UNCOMMON, SMALL, SMALL_SHARE = 20, 27, 0.15
+#: Smallest retained values whose lists other documents enter; none of 10 shared has odds of 0.15**10.
+FEW = 10
 #: Shared part of the union sketch below which a pair is dropped; 12 of 32 is eight deviations under 0.85.
 ESTIMATE = 0.375
+#: Shingles in a block of a common list (8 bytes each).
+BLOCK_SHINGLES = 400_000
 BROADCAST_VALUES = 1_000_000
 
 
@@ -86,17 +91,23 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         shared >= F.size("_u") * ESTIMATE).select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
+def _full_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The whole shingle sets of some ids: node, s (64-bit hashes, ascending)."""
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(1))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["node", "s"])
 
+    kind = dict(docs.dtypes)["doc_id"]
+    wanted = nodes.select(F.col("node").alias("doc_id")).distinct()
+    return docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(full, f"node {kind}, s binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, kind: str, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) whose full sets reach the threshold."""
+    num, den = threshold
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        num, den = threshold
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
@@ -108,14 +119,55 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: tuple[int, int]) ->
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    kind = dict(docs.dtypes)["doc_id"]
-    sets = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(full, f"node {kind}, s binary")
-    sets = checkpointed(sets)
     rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
     return rows.select("a", "b", "x", "y").mapInArrow(compare, f"a {kind}, b {kind}")
 
 
+def joining_links(nodes: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], threshold: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links within a block (all sides 0), or between two blocks, that join parts not yet joined."""
+    num, den = threshold
+    lengths = np.array([len(s) for s in sets])
+    starts = np.cumsum([0, *lengths[:-1]])
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    flags = np.zeros(ids.max() + 1, np.uint8)
+    part = np.arange(len(sets))
+    across = bool(sides.any())
+    links = []
+    for y in np.flatnonzero(sides == 1) if across else range(1, len(sets)):
+        other = sides == 0 if across else np.arange(len(sets)) < y
+        other &= (part != part[y]) & (np.minimum(lengths, lengths[y]) * den >= np.maximum(lengths, lengths[y]) * num)
+        if not other.any():
+            continue
+        own = ids[starts[y]:starts[y] + lengths[y]]
+        flags[own] = 1
+        met = np.add.reduceat(flags[ids], starts, dtype=np.int64)
+        flags[own] = 0
+        for x in np.flatnonzero(other & (den * met >= num * (lengths + lengths[y] - met))):
+            if part[x] != part[y]:
+                part[part == part[x]] = part[y]
+                links.append((int(nodes[x]), int(nodes[y])))
+    return links
+
+
+def _joined_in_lists(members: DataFrame, sets: DataFrame, kind: str, threshold: tuple[int, int]) -> DataFrame:
+    """Links (a, b) among the members (v, node, n) of common lists, compared block by block."""
+    blocks = members.groupBy("v").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("_g"))
+    placed = members.join(blocks, "v").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_g")).cast("int"))
+    paired = placed.select("v", "node", "_own", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)).alias("_with"))
+    paired = paired.select("v", "node", F.least("_own", "_with").alias("i"), F.greatest("_own", "_with").alias("j"),
+                           (F.col("_own") > F.col("_with")).cast("int").alias("side"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        links = joining_links(
+            table.column("node").to_numpy(), table.column("side").to_numpy(),
+            [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("s")], threshold)
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return paired.join(sets, "node").groupBy("v", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), list_limit: int = LIST_LIMIT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -127,6 +179,8 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), lis
     - a row without doc_id is no vertex: its component_id is null, and it is kept;
     - an empty table gives an empty result; other columns are ignored.
     """
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    kind = "bigint"
     rows = checkpointed(sketched(docs))
     classes = checkpointed(
         rows.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).groupBy("set_key").agg(
@@ -143,40 +197,31 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), lis
     pairs = pairs.filter(_close(F.col("na"), F.col("q.n"), threshold) & (F.col("a") != F.col("q.node")))
     pairs = pairs.select("a", F.col("q.node").alias("b")).distinct()
 
+    pairs = checkpointed(_estimated(pairs, classes))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
     members = None
     if n_common:
-        mixed = postings.join(small.withColumn("_common", F.lit(1)), "v", "left")
-        heavy = mixed.groupBy("node").agg(F.count("*").alias("_all"), F.count("_common").alias("_hot")).filter(
-            F.col("_all") - F.col("_hot") < F.col("_all") * UNCOMMON).select("node")
-        members = checkpointed(mixed.filter("_common = 1").join(heavy, "node", "left_semi").select("v", "node", "n"))
-        hubs = members.groupBy("v").agg(F.array_distinct(F.array(
-            F.min("node"), F.max("node"), F.min_by("node", F.xxhash64("node")), F.max_by("node", "n"))).alias("hubs"))
-        spokes = members.join(hubs, "v").select("node", F.explode("hubs").alias("hub")).filter("node != hub")
-        pairs = pairs.unionByName(spokes.select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))).distinct()
+        retained = classes.select("node", "n", F.posexplode("sketch").alias("_at", "v"))
+        mixed = retained.join(small.withColumn("_common", F.lit(1)), "v", "left")
+        rare = F.count("*") - F.count("_common")
+        heavy = mixed.groupBy("node").agg(rare.alias("_rare"), F.max("n").alias("_n")).filter(
+            F.when(F.col("_n") <= SMALL, F.col("_rare") <= F.col("_n") * SMALL_SHARE).otherwise(F.col("_rare") < UNCOMMON))
+        members = checkpointed(mixed.filter((F.col("_common") == 1) & (F.col("_at") < FEW)).join(
+            heavy, "node", "left_semi").select("v", "node", "n"))
+        nodes = nodes.unionByName(members.select("node"))
+    sets = checkpointed(_full_sets(nodes, docs))
+    found = _verified(pairs, sets, kind, threshold)
+    if members is not None:
+        found = found.unionByName(_joined_in_lists(members, sets, kind, threshold))
 
-    pairs = checkpointed(_estimated(pairs, classes))
     # An id with several texts is one vertex: it joins the classes of all of them.
     several = rows.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.collect_set("set_key").alias("_keys")).filter(F.size("_keys") > 1)
     named = several.select("doc_id", F.explode("_keys").alias("set_key")).join(classes.select("set_key", "node"), "set_key")
     shared = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("_all")).select(
         "a", F.explode("_all").alias("b")).filter("a != b")
-    links = checkpointed(_verified(pairs, docs, threshold).unionByName(shared))
-    found = components(links)
-    if members is not None:
-        # Members of a common list that are in several components: compare across them, whatever it takes.
-        placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = placed.groupBy("v").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo != _hi").select("v")
-        placed = checkpointed(placed.join(split, "v", "left_semi"))
-        if not placed.isEmpty():
-            other = placed.select("v", F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("component").alias("_cb"))
-            across = placed.join(other, "v").filter(
-                (F.col("component") != F.col("_cb")) & (F.col("node") < F.col("b")) & _close(F.col("n"), F.col("_nb"), threshold))
-            across = across.select(F.col("node").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
-            more = checkpointed(_verified(checkpointed(_estimated(across, classes)), docs, threshold))
-            if not more.isEmpty():
-                found = components(links.unionByName(more))
+    found = components(found.unionByName(shared))
 
     # A class is named by its smallest id.
     by_class = classes.select("set_key", "node").join(found, "node", "left").select(
