@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, exact_dedup, licenses, near_dedup, packing, pii, quality, sharding, substring_dedup
+from shelfmark.llm import (
+    chat, decontamination, exact_dedup, licenses, near_dedup, packing, pii, quality, sharding, substring_dedup,
+)
 from shelfmark.llm.common import read
 
 
@@ -13,6 +15,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -125,6 +131,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_license_scan": op1_license_scan,
+    "op2_decontamination": op2_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
     "op5_shard_shuffle": op5_shard_shuffle,

@@ -19,6 +19,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: All ASCII but letters and digits, for words without punctuation.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -53,24 +55,27 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def word_hashes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first byte and end byte of every word of a column, and the row offsets in words."""
+def word_hashes(column: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end byte of every word of a column, and the row offsets in words.
+
+    `space` marks the bytes between words.
+    """
     raw, at = bytes_of(column)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     edges = at[1:-1]
     begin = 0
     while begin < len(raw):
         end = min(begin + PIECE, len(raw))
-        while end < len(raw) and not SPACE[raw[end - 1]]:
+        while end < len(raw) and not space[raw[end - 1]]:
             # Grow to the next white space or row edge, so that no word is cut.
-            ahead = np.flatnonzero(SPACE[raw[end:end + 65536]])
+            ahead = np.flatnonzero(space[raw[end:end + 65536]])
             edge = edges[np.searchsorted(edges, end)] if len(edges) and edges[-1] >= end else len(raw)
             stop = end + int(ahead[0]) + 1 if len(ahead) else min(end + 65536, len(raw))
             end = min(stop, int(edge))
             if end == edge or len(ahead):
                 break
         piece = raw[begin:end]
-        word = ~SPACE[piece]
+        word = ~space[piece]
         fresh = word.copy()
         fresh[1:] &= ~word[:-1]
         done = word.copy()
