@@ -7,9 +7,13 @@ straddle two factors are looked up like any other, no repeated window is lost at
 under a factor whose reference is an earlier document are removed.
 
 Only windows that can repeat are shipped. Equal windows choose the same anchor, the smallest hash among
-the `GRAM`-word runs inside, so a first pass over anchors alone (about one per five words) finds those
+the `GRAM`-word runs inside, so a first pass over anchors alone (about two for nine words) finds those
 that occur in different texts. Documents with one and the same word sequence are parsed once; all but the
 first of them repeat as a whole.
+
+Anchors of very common passages are known from a sample beforehand: one in more than a few thousandths of
+all documents is among them. They need no first pass, and windows at them are reduced before they meet and
+dealt by salt; all other windows have groups of a few thousandths of the documents at most.
 """
 
 from __future__ import annotations
@@ -20,14 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import checkpointed
 from shelfmark.llm.wordhash import bytes_of, mix, shingle_hashes, slices, word_hashes
 
 WINDOW = 13
-GRAM = 5
+GRAM = 6
+#: Documents of the sample that common anchors are taken from, and the share of it that makes one common;
+#: there are at most (anchors of the sample) / (SAMPLE_DOCS * COMMON) of them.
+SAMPLE_DOCS, COMMON, LEAST_COMMON = 5_000, 0.004, 20
+#: Parts that the windows at a common anchor are dealt into.
+SALTS = 32
 #: Order of rows without doc_id: after all others.
 LAST = (1 << 63) - 1
 
@@ -61,29 +70,34 @@ def _longs(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)], dtype=np.int32)), pa.array(values.view(np.int64)))
 
 
-def _measured(docs: DataFrame) -> DataFrame:
+def _measured(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """Row facts: number of words, key of the word sequence, digest of all words, whether a common anchor is in it."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            counts, keys, hashes = [], [], []
+            counts, keys, hashes, touched = [], [], [], []
             for words, raw, _, _ in _rows(batch.column(1)):
                 counts.append(len(words))
                 keys.append(_key(words) if len(words) >= WINDOW else None)
                 hashes.append(hashlib.sha256(b" ".join(raw.split())).hexdigest())
+                touched.append(bool(len(common) and np.isin(window_anchors(words), common).any()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()), pa.array(hashes, pa.string())],
-                ["doc_id", "n_words", "key", "sha"])
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()),
+                 pa.array(hashes, pa.string()), pa.array(touched, pa.bool_())],
+                ["doc_id", "n_words", "key", "sha", "touched"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {kind}, n_words bigint, key bigint, sha string")
+    return docs.select("doc_id", "text").mapInArrow(
+        measure, f"doc_id {kind}, n_words bigint, key bigint, sha string, touched boolean")
 
 
-def _anchors(docs: DataFrame) -> DataFrame:
+def _anchors(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """(anchor, key) of all anchors that are not common."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
             keys, found = [], []
             for words, _, _, _ in _rows(batch.column(0)):
                 if len(words) >= WINDOW:
-                    own = np.unique(window_anchors(words))
+                    own = np.setdiff1d(window_anchors(words), common)
                     found.append(own)
                     keys.append(np.full(len(own), _key(words), np.int64))
             if found:
@@ -93,8 +107,18 @@ def _anchors(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(find, "anchor bigint, key bigint")
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """Windows of (doc, key, text, anchors) whose anchor is listed: two hashes, doc, key and position."""
+def _common_anchors(docs: DataFrame) -> np.ndarray:
+    """Anchors that many texts of a bounded sample share, ascending."""
+    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+    grid = 1 << 30
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(grid)) < int(grid * share))
+    counts = _anchors(sample, np.zeros(0, np.uint64)).distinct().groupBy("anchor").agg(F.count("*").alias("n"))
+    found = counts.filter(F.col("n") >= max(LEAST_COMMON, int(SAMPLE_DOCS * COMMON))).select("anchor").toArrow()
+    return np.unique(found.column("anchor").to_numpy().view(np.uint64))
+
+
+def _windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """Windows of (doc, key, text, anchors) whose anchor is listed or common: 96 bits of hash, doc, key, position."""
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
             out: list[tuple[np.ndarray, ...]] = []
@@ -102,17 +126,22 @@ def _windows(docs: DataFrame) -> DataFrame:
                 key = batch.column(1)[row].as_py()
                 if len(words) < WINDOW or _key(words) != key:
                     continue
-                wanted = batch.column(3)[row].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                at = np.flatnonzero(np.isin(window_anchors(words), wanted))
+                listed = batch.column(3)[row]
+                listed = listed.values.to_numpy(zero_copy_only=False).view(np.uint64) if listed.is_valid else common[:0]
+                anchors = window_anchors(words)
+                often = np.isin(anchors, common)
+                at = np.flatnonzero(often | np.isin(anchors, listed))
                 one = shingle_hashes(words, WINDOW)[at]
                 two = shingle_hashes(mix(words ^ np.uint64(0xA5A5A5A5A5A5A5A5)), WINDOW)[at]
-                out.append((one.view(np.int64), two.view(np.int64), np.full(len(at), batch.column(0)[row].as_py()),
-                            np.full(len(at), key), at))
+                out.append((one.view(np.int64), (two >> np.uint64(32)).view(np.int64) - (1 << 31),
+                            np.full(len(at), batch.column(0)[row].as_py()), np.full(len(at), key), at, often[at]))
             if out:
+                h, g, doc, key, pos, often = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out)], ["h", "g", "doc", "key", "pos"])
+                    [pa.array(h), pa.array(g.astype(np.int32)), pa.array(doc.astype(np.int64)), pa.array(key.astype(np.int64)),
+                     pa.array(pos.astype(np.int32)), pa.array(often)], ["h", "g", "doc", "key", "pos", "often"])
 
-    return docs.mapInArrow(look, "h bigint, g bigint, doc bigint, key bigint, pos bigint")
+    return docs.mapInArrow(look, "h bigint, g int, doc bigint, key bigint, pos int, often boolean")
 
 
 def factors(positions: np.ndarray, references: np.ndarray) -> list[tuple[int, int, int]]:
@@ -161,24 +190,31 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     - an empty table gives an empty result; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = checkpointed(_measured(docs))
+    common = _common_anchors(docs)
+    rows = checkpointed(_measured(docs, common))
     order = F.coalesce("doc_id", F.lit(LAST))
-    classes = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min(order).alias("doc"))
+    classes = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(
+        F.min(order).alias("doc"), F.max("touched").alias("touched"))
 
-    shared = _anchors(docs).groupBy("anchor").agg(F.min("key").alias("_lo"), F.max("key").alias("_hi"))
-    shared = checkpointed(shared.filter("_lo != _hi").select("anchor"))
-    wanted = _anchors(docs).join(shared, "anchor", "left_semi").groupBy("key").agg(
-        F.collect_set("anchor").alias("anchors"))
+    texts_at = Window.partitionBy("anchor")
+    shared = _anchors(docs, common).withColumns({"_lo": F.min("key").over(texts_at), "_hi": F.max("key").over(texts_at)})
+    wanted = shared.filter("_lo != _hi").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
     # The first document of each text looks its windows up; its copies repeat as a whole.
-    wanted = checkpointed(classes.join(wanted, "key"))
+    wanted = checkpointed(classes.join(wanted, "key", "left").filter(F.col("anchors").isNotNull() | F.col("touched")))
     texts = docs.select(order.alias("doc"), "text").join(wanted, "doc").select("doc", "key", "text", "anchors")
-    windows = checkpointed(_windows(texts))
-
-    index = windows.groupBy("h", "g").agg(F.min("doc").alias("reference"), F.max("doc").alias("_last"))
-    index = checkpointed(index.filter("reference != _last").select("h", "g", "reference"))
-    hits = windows.join(index, ["h", "g"]).filter("reference < doc").groupBy("doc", "key").agg(
-        F.collect_list(F.struct("pos", "reference")).alias("_hits")).select(
-        "doc", "key", F.col("_hits.pos").alias("pos"), F.col("_hits.reference").alias("ref"))
+    windows = _windows(texts, common)
+
+    seldom = windows.filter(~F.col("often")).withColumn("ref", F.min("doc").over(Window.partitionBy("h", "g")))
+    hits = seldom.filter("ref < doc").select("doc", "key", "pos", "ref")
+    if len(common):
+        often = windows.filter("often")
+        index = often.groupBy("h", "g").agg(F.min("doc").alias("ref"), F.max("doc").alias("_last")).filter("ref != _last")
+        index = index.select("h", "g", "ref", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+        salted = often.withColumn("_salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+        hits = hits.unionByName(salted.join(index.repartition("h", "g", "_salt"), ["h", "g", "_salt"]).filter(
+            "ref < doc").select("doc", "key", "pos", "ref"))
+    hits = checkpointed(hits.groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "ref")).alias("_hits")).select(
+        "doc", "key", F.col("_hits.pos").alias("pos"), F.col("_hits.ref").alias("ref")))
     parsed = docs.select(order.alias("doc"), "text").join(hits, "doc").select("doc", "key", "text", "pos", "ref")
     stripped = _kept(parsed).distinct()
 
