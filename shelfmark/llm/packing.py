@@ -14,6 +14,7 @@ counts allow.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -31,9 +32,9 @@ CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_ID = (0).to_bytes(4, "little")
 #: Words whose ids a Python worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Search effort: nodes of the branch and bound, probes for the fillings of one node, branches of a node.
-NODES, PROBES, BRANCHES = 8_000, 2_000, 3
+NODES, PROBES, BRANCHES = 6_000, 400, 3
 #: Rows of one length that are ranked in one task.
 RANK_ROWS = 4_096
 
@@ -43,25 +44,57 @@ Filling = tuple[int, ...]
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
-    The tokenizer drops white space and never merges across it, so words are encoded once and joined.
+    The tokenizer drops white space and splits words into letters and marks, so ids are remembered by
+    word, and plain words are looked up in the vocabulary by their letters and marks. Other words take the
+    tokenizer's own way, and a tokenizer for which a probe shows another result is used on whole texts.
     """
 
+    #: Latin letters that lower-case one to one and stay composed, then ASCII marks but the apostrophe.
+    PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-;=-@\[-`{-~]*)")
+    PROBE = "The QUICK brown-fox, naïve Ünder\nit's 12 *** don't!!  ÉTÉ. a_b ##end"
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        # Byte-level vocabularies write printable bytes as themselves and the others from 256 on.
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self.signs = [chr(b if b in printable else next(others)) for b in range(256)]
+        self.by_word = True
+        self.by_word = next(self.encode([self.PROBE])) == self.whole(self.PROBE)
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def part(self, part: str) -> bytes:
+        """Ids of letters only or marks only."""
+        ids = self.parts.get(part)
+        if ids is None:
+            signs = part if part.isascii() else "".join(map(self.signs.__getitem__, part.encode()))
+            ids = np.asarray([x.id for x in self.tokenizer.model.tokenize(signs)], "<u4").tobytes()
+            self.parts[part] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
+        plain = self.PLAIN.fullmatch(word)
+        return self.part(plain[1].lower()) + self.part(plain[2]) if plain else self.whole(word)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        for memory in (self.known, self.parts):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        self.parts[""] = b""
         for text in texts:
+            if not self.by_word:
+                yield self.whole(text)
+                continue
             words = text.replace("\n", " ").split(" ")
-            new = list(set(words).difference(self.known))
-            if new:
-                made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                self.known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(new, made))
+            for w in set(words).difference(self.known):
+                self.known[w] = self.word(w)
             yield b"".join(map(self.known.__getitem__, words))
 
 
@@ -163,39 +196,41 @@ def dominates(a: Filling, b: Filling) -> bool:
 
 
 def fillings(counts: dict[int, int], lengths: list[int], room: int, most_waste: int) -> list[Filling]:
-    """Undominated ways to fill `room`, least waste first; `lengths` ascending, all with a count."""
+    """Undominated ways to fill `room`, least waste first; `lengths` ascending, all with a count.
+
+    Depth first from the largest length that fits, as many copies at once as fit. A length that fills the
+    room exactly dominates every other filling.
+    """
     if counts.get(room):
         return [(room,)]
     found: dict[Filling, int] = {}
-    probes = 0
+    probes = exact = 0
 
     def extend(chosen: Filling, left: int, top: int) -> bool:
-        """Depth first from the largest length that fits; True to stop the search."""
-        nonlocal probes
-        i = bisect_right(lengths, min(left, top)) - 1
-        placed = False
+        """True to stop the search; `top` is the index below which lengths may be used."""
+        nonlocal probes, exact
+        i = min(bisect_right(lengths, left), top) - 1
+        if i < 0:
+            if left <= most_waste:
+                found.setdefault(chosen, left)
+            return False
+        if chosen and counts.get(left) and lengths[i] == left:
+            found[(*chosen, left)] = 0
+            exact += 1
+            return exact >= BRANCHES
         while i >= 0:
-            n = lengths[i]
-            i -= 1
-            if counts[n] <= chosen.count(n):
-                continue
             probes += 1
-            placed = True
-            if n <= left and left - n > 0 and counts.get(left - n, 0) > (chosen + (n,)).count(left - n) and left - n <= n:
-                found[chosen + (n, left - n)] = 0
-            elif extend(chosen + (n,), left - n, n):
-                return True
-            if probes > PROBES or sum(w == 0 for w in found.values()) >= BRANCHES:
+            n = lengths[i]
+            k = min(counts[n], left // n)
+            if extend(chosen + (n,) * k, left - n * k, i) or probes > PROBES:
                 return True
-        if not placed and left <= most_waste:
-            found.setdefault(chosen, left)
+            i -= 1
         return False
 
-    extend((), room, room)
-    ranked = sorted(found, key=lambda f: (found[f], len(f), tuple(-n for n in f)))
+    extend((), room, len(lengths))
     kept: list[Filling] = []
-    for f in ranked:
-        if not any(dominates(k, f) for k in kept):
+    for f in sorted(found, key=lambda f: (found[f], len(f), tuple(-n for n in f)))[:4 * BRANCHES]:
+        if not any(len(k) < 40 and len(f) < 40 and dominates(k, f) for k in kept):
             kept.append(f)
         if len(kept) == BRANCHES:
             break
