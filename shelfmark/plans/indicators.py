@@ -86,7 +86,8 @@ def evaluate_alerts(samples: DataFrame, rules: Sequence[Rule] = RULES,
 def firing(held: DataFrame, rules: Sequence[Rule], since: Sequence[str]) -> DataFrame:
     """One row per unbroken stretch that lasted long enough.
 
-    `starts_at` is the instant the condition became true, `value` the reading when it had held.
+    `starts_at` is the instant the condition became true, `value` the reading when it had held, and
+    `rate_5m`, where the samples have it, the rate per second of that sample.
     """
     def entry(rule: Rule, start: str):
         lasted = F.col("timestamp") >= F.col(start) + F.expr(f"interval {rule.hold}")
@@ -95,15 +96,19 @@ def firing(held: DataFrame, rules: Sequence[Rule], since: Sequence[str]) -> Data
             F.col(start).alias("starts_at"), F.expr(rule.value).cast("double").alias("value")))
 
     entries = F.array_compact(F.array(*[entry(r, s) for r, s in zip(rules, since)]))
-    rows = held.select(*SERIES, "timestamp", F.inline(entries))
+    beside = [c for c in ("rate_5m",) if c in held.columns]
+    rows = held.select(*SERIES, "timestamp", *beside, F.inline(entries))
     return rows.groupBy("alert", "severity", *SERIES, "starts_at").agg(
-        F.min_by("value", "timestamp").alias("value"))
+        *[F.min_by(c, "timestamp").alias(c) for c in ("value", *beside)])
 
 
-def metric_samples(points: DataFrame) -> DataFrame:
-    """Long form of indicator rows: `metric`, `labels`, `value`, `ts`, five rows per sample.
+METRICS = ("product_price", "product_quantity", "price_sma", "price_ema", "price_rsi")
 
-    A gauge holds its last value, see `gauges`.
+
+def metric_samples(points: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """Long form of indicator rows: `metric`, `labels`, `value`, `ts`, one row per sample and metric.
+
+    Metrics that are not asked for are not built. A gauge holds its last value, see `gauges`.
     """
     item = [F.lit("item_id"), F.col("item_id").cast("string")]
     named = F.create_map(*item, F.lit("name"), F.col("name"))
@@ -116,14 +121,13 @@ def metric_samples(points: DataFrame) -> DataFrame:
         return F.create_map(*item, F.lit("period"), F.lit(p))
 
     extra = [c for c in ("event_id",) if c in points.columns]
+    sources = {
+        "product_price": (named, "price"), "product_quantity": (named, "quantity"),
+        "price_sma": (period("7d"), "sma_7"), "price_ema": (period("14d"), "ema_14"),
+        "price_rsi": (F.create_map(*item), "rsi_14"),
+    }
     return points.select(
-        F.inline(F.array(
-            row("product_price", named, "price"),
-            row("product_quantity", named, "quantity"),
-            row("price_sma", period("7d"), "sma_7"),
-            row("price_ema", period("14d"), "ema_14"),
-            row("price_rsi", F.create_map(*item), "rsi_14"),
-        )),
+        F.inline(F.array(*[row(m, *sources[m]) for m in metrics])),
         F.col("timestamp").alias("ts"), *extra,
     )
 

@@ -15,8 +15,11 @@ from shelfmark.plans.facts import image_facts, item_facts
 
 
 def category_analytics(products: DataFrame, skus: DataFrame, images: DataFrame,
-                       attributes: DataFrame) -> DataFrame:
-    """Counts, prices, stock, images and brands of each category that has SKUs."""
+                       attributes: DataFrame, approx: bool = False) -> DataFrame:
+    """Counts, prices, stock, images and brands of each category that has SKUs.
+
+    With `approx` the SKU ids of a category are counted by sketch, which needs no shuffle of SKU rows.
+    """
     items = (
         products.filter(F.col("primary_category").isNotNull()).select("item_id", "primary_category")
         .join(item_facts(skus), "item_id", "left")
@@ -45,7 +48,8 @@ def category_analytics(products: DataFrame, skus: DataFrame, images: DataFrame,
     # SKU ids are only unique inside an item; the distinct count needs the SKU rows.
     sku_ids = skus.select("item_id", "sku_id").join(
         products.select("item_id", "primary_category"), "item_id")
-    sku_counts = sku_ids.groupBy("primary_category").agg(F.count_distinct("sku_id").alias("sku_count"))
+    distinct = F.approx_count_distinct if approx else F.count_distinct
+    sku_counts = sku_ids.groupBy("primary_category").agg(distinct("sku_id").alias("sku_count"))
     c = F.col
     return by_category.join(sku_counts, "primary_category", "left").select(
         "primary_category",
@@ -186,9 +190,11 @@ def daily_brand_revenue(products: DataFrame, skus: DataFrame, attributes: DataFr
     end = F.lit(as_of).cast("timestamp")
     created = F.col("created_time")
     recent = products.filter((created >= end - F.expr(f"INTERVAL {days} DAYS")) & (created <= end))
+    # SKUs of other items are left out before they are reduced.
+    sold = skus.join(recent.select("item_id"), "item_id", "left_semi")
     daily = (
         recent.select("item_id", F.date_trunc("day", created).alias("sale_date"))
-        .join(item_facts(skus), "item_id")
+        .join(item_facts(sold), "item_id")
         .join(attributes.select("item_id", "brand"), "item_id")
         .groupBy("sale_date", "brand").agg(
             F.count("*").alias("products_sold"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.columns import ratio, wide_sum
+from shelfmark.functions.columns import pct, ratio, wide_sum
 from shelfmark.schemas import ATTRIBUTES, IMAGES, PRODUCTS, SKUS, Catalog, conform
 
 
@@ -145,55 +145,72 @@ def median_of(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFra
 
 
 def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily brand figures of the line items.
+    """Daily brand figures of the line items, orders and events.
 
-    Everything that adds up comes from (day, brand, item) rows. Orders and the median
-    need the rows of a brand's day, which the brand join spreads again by order and by price.
+    Everything that adds up comes from (day, brand, item) rows, whose first and last days come from the
+    same rows. Orders and the median need the rows of a brand's day, which the brand join spreads again
+    by order and by price. An item's stock is what it sold that day and `p_size` pieces that were left.
+    Events belong to the part with the user's number, and their days are moved so that the first event
+    falls on the first line day. Orders in state F are fulfilled, those in state P count as cancelled.
     """
     line = sku_lines(spark, sf_dir).select(
         F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("item"), "l_orderkey",
-        "l_linestatus", "quantity", "price", "special_price", "off")
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("brand"))
+        "l_linestatus", "l_returnflag", "quantity", "price", "special_price", "off")
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("item"), F.col("p_brand").alias("brand"), F.col("p_size").alias("left_over"))
     q, p, s = F.col("quantity"), F.col("price"), F.col("special_price")
-    rows = line.join(part, "item")
     by_item = line.groupBy("item", "day").agg(
         F.max((F.col("l_linestatus") == "O").cast("int")).alias("active"),
         F.sum("quantity").alias("units"), F.count("*").alias("n"),
+        F.count_if(F.col("l_returnflag") == "R").alias("returned"),
         F.count_if(q <= 10).alias("low"), F.count_if(q == 1).alias("out"), F.count_if(q > 45).alias("excess"),
         wide_sum(q * p).alias("gross"), wide_sum(F.when(s > 0, q * (p - s)).otherwise(0)).alias("discount"),
         wide_sum(p).alias("price_sum"), F.min(p).alias("min_price"), F.max(p).alias("max_price"),
         F.max((F.col("off") > 0).cast("int")).alias("promo"), F.sum("off").alias("off_sum"))
-    ends = line.groupBy("item").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-    sums = by_item.join(ends, "item").join(part, "item").groupBy("day", "brand").agg(
+    of_item = Window.partitionBy("item")
+    by_item = by_item.withColumns({"first_day": F.min("day").over(of_item), "last_day": F.max("day").over(of_item)})
+    sums = by_item.join(part, "item").groupBy("day", "brand").agg(
         F.count("*").alias("total_products"),
         F.sum("active").alias("active_listings"),
         F.count_if(F.col("day") == F.col("first_day")).alias("new_listings"),
         F.count_if(F.col("day") == F.col("last_day")).alias("removed_listings"),
-        F.sum("units").alias("units_sold"), F.sum("n").alias("n"),
+        F.sum("units").alias("units_sold"), F.sum(F.col("units") + F.col("left_over")).alias("total_stock"),
+        F.sum("n").alias("n"), F.sum("returned").alias("returned"),
         F.sum("low").alias("low_stock_items"), F.sum("out").alias("out_of_stock"),
         F.sum("excess").alias("excess_stock"),
         F.sum("gross").alias("gross_revenue"), F.sum("discount").alias("discount_amount"),
         F.sum("price_sum").alias("price_sum"), F.min("min_price").cast("decimal(18,2)").alias("min_price"),
         F.max("max_price").cast("decimal(18,2)").alias("max_price"), F.sum("promo").alias("promo_products"),
         F.sum("off_sum").alias("off_sum"))
-    orders = rows.select("day", "brand", "l_orderkey").distinct().groupBy("day", "brand").agg(
-        F.count("*").alias("orders_count"))
+    rows = line.join(part, "item")
+    states = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    orders = rows.select("day", "brand", "l_orderkey").distinct().join(states, "l_orderkey", "left")
+    orders = orders.groupBy("day", "brand").agg(
+        F.count("*").alias("orders_count"), F.count_if(F.col("o_orderstatus") == "F").alias("fulfilled"),
+        F.count_if(F.col("o_orderstatus") == "P").alias("cancelled"))
     medians = median_of(rows.select("day", "brand", "price"), ["day", "brand"], "price", "median_price")
-    views = table(spark, sf_dir, "events").filter("event_type = 'view'").select(
-        F.to_date("ts").alias("day"), "user_id").groupBy("day", "user_id").agg(F.count("*").alias("v"))
-    views = views.groupBy("day").agg(F.sum("v").alias("page_views"), F.count("*").alias("unique_visitors"))
-    unknown = {c: F.lit(None).cast("decimal(18,2)") for c in (
-        "conversion_rate", "return_rate", "fulfillment_rate", "cancellation_rate")}
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase"))
+    first_line, = line.agg(F.min("day")).first()
+    first_event, = table(spark, sf_dir, "events").agg(F.min(F.to_date("ts"))).first()
+    moved = F.date_add(F.to_date("ts"), F.datediff(F.lit(first_line), F.lit(first_event)))
+    visits = events.select(moved.alias("day"), "user_id", "event_type").join(
+        part.select(F.col("item").alias("user_id"), "brand"), "user_id")
+    visits = visits.groupBy("day", "brand", "user_id").agg(
+        F.count_if(F.col("event_type") == "view").alias("v"), F.count_if(F.col("event_type") == "purchase").alias("b"))
+    visits = visits.groupBy("day", "brand").agg(
+        F.sum("v").alias("page_views"), F.count_if(F.col("v") > 0).alias("unique_visitors"), F.sum("b").alias("purchases"))
     return (
         sums.join(orders, ["day", "brand"], "left").join(medians, ["day", "brand"], "left")
-        .join(views, "day", "left")
+        .join(visits, ["day", "brand"], "left")
         .withColumnRenamed("day", "date_stamp")
         .withColumns({
-            "total_stock": F.col("units_sold"),
             "avg_order_size": ratio("units_sold", "orders_count"),
             "net_revenue": F.col("gross_revenue") - F.col("discount_amount"),
             "avg_price": ratio("price_sum", "n"),
             "avg_discount_percent": ratio("off_sum", "n"),
-            **unknown,
-        }).drop("price_sum", "off_sum", "n")
+            "conversion_rate": pct("purchases", "page_views"),
+            "return_rate": pct("returned", "n"),
+            "fulfillment_rate": pct("fulfilled", "orders_count"),
+            "cancellation_rate": pct("cancelled", "orders_count"),
+        }).drop("price_sum", "off_sum", "n", "returned", "fulfilled", "cancelled", "purchases")
     )

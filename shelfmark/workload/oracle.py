@@ -234,14 +234,14 @@ with {HOURLY} select brand, time_bucket, total_units, round(avg(total_units) ove
 from hourly"""
 ORACLE["densify"] = f"""
 with {HOURLY} select b.brand, t.time_bucket, coalesce(products_count, 0) as products_count
-from (select {_spine('2024-01-01', '2024-01-31', '1 hour')} as time_bucket) t
-     cross join (select unnest(['click', 'error', 'purchase', 'refund', 'signup', 'view']) as brand) b
+from (select unnest(generate_series(min(time_bucket), max(time_bucket), interval 1 hour)) as time_bucket from hourly) t
+     cross join (select distinct brand from hourly) b
      left join hourly h on h.brand = b.brand and h.time_bucket = t.time_bucket"""
 
 ORACLE["brand_scorecard"] = f"""
 with {LINES}, base as (
     select cast(l_shipdate as date) as day, l_partkey as item, p_brand as brand, l_orderkey, l_linestatus,
-           quantity as q, price as p, case when off > 0 then price * (100 - off) // 100 else 0 end as s, off,
+           l_returnflag, p_size, quantity as q, price as p, case when off > 0 then price * (100 - off) // 100 else 0 end as s, off,
            min(cast(l_shipdate as date)) over (partition by l_partkey) as first_day,
            max(cast(l_shipdate as date)) over (partition by l_partkey) as last_day
     from lines join part on l_partkey = p_partkey), facts as (
@@ -250,38 +250,48 @@ with {LINES}, base as (
            count(distinct case when day = first_day then item end) as new_listings,
            count(distinct case when day = last_day then item end) as removed_listings,
            sum(q) as units, count(distinct l_orderkey) as orders_count,
+           sum(q) + sum(case when nth = 1 then p_size end) as stock,
+           count(case when l_returnflag = 'R' then 1 end) as returned,
+           count(distinct case when o_orderstatus = 'F' then l_orderkey end) as fulfilled,
+           count(distinct case when o_orderstatus = 'P' then l_orderkey end) as cancelled,
            count(case when q <= 10 then 1 end) as low_stock_items, count(case when q = 1 then 1 end) as out_of_stock,
            count(case when q > 45 then 1 end) as excess_stock, sum(q * p) as gross,
            sum(case when s > 0 then q * (p - s) else 0 end) as discount, sum(p) as price_sum, count(*) as n,
            median(p) as median_price, min(p) as min_price, max(p) as max_price,
            count(distinct case when off > 0 then item end) as promo, sum(off) as off_sum
-    from base group by 1, 2), views as (
-    select cast(ts as date) as day, count(*) as page_views, count(distinct user_id) as unique_visitors
-    from events where event_type = 'view' group by 1), f as (
+    from (select *, row_number() over (partition by day, item) as nth from base) left join orders
+    on o_orderkey = l_orderkey group by 1, 2), views as (
+    select cast(ts as date) + cast((select min(day) from base) - (select min(cast(ts as date)) from events) as integer) as day,
+           p_brand as brand, count(case when event_type = 'view' then 1 end) as page_views,
+           count(distinct case when event_type = 'view' then user_id end) as unique_visitors,
+           count(case when event_type = 'purchase' then 1 end) as purchases
+    from events join part on p_partkey = user_id where event_type in ('view', 'purchase') group by 1, 2), f as (
     select cast(t.day as date) as day, b.brand, coalesce(total_products, 0) as total_products,
            coalesce(active_listings, 0) as active_listings, coalesce(new_listings, 0) as new_listings,
-           coalesce(removed_listings, 0) as removed_listings, coalesce(units, 0) as units, orders_count as oc,
+           coalesce(removed_listings, 0) as removed_listings, coalesce(units, 0) as units, orders_count as oc, coalesce(stock, 0) as stock,
+           returned, fulfilled, cancelled, case when fa.day is null then null else purchases end as purchases,
+           case when fa.day is null then null else page_views end as pv,
            coalesce(orders_count, 0) as orders_count, coalesce(low_stock_items, 0) as low_stock_items,
            coalesce(out_of_stock, 0) as out_of_stock, coalesce(excess_stock, 0) as excess_stock,
            coalesce(gross, 0) as gross, coalesce(discount, 0) as discount, price_sum, n, median_price,
            min_price, max_price, coalesce(promo, 0) as promo, off_sum,
            case when fa.day is null then 0 else coalesce(page_views, 0) end as page_views,
            case when fa.day is null then 0 else coalesce(unique_visitors, 0) end as unique_visitors
-    from (select {_spine('1995-01-01', '2001-12-31', '1 day')} as day) t
+    from (select unnest(generate_series(min(day), max(day), interval 1 day)) as day from base) t
          cross join (select distinct p_brand as brand from part) b
          left join facts fa on fa.day = cast(t.day as date) and fa.brand = b.brand
-         left join views v on v.day = cast(t.day as date))
+         left join views v on v.day = cast(t.day as date) and v.brand = b.brand)
 select cast(day as varchar) as date, brand, total_products, active_listings, new_listings, removed_listings,
-       {pct('active_listings', 'total_products')} as active_products_pct, cast(units as bigint) as total_stock,
+       {pct('active_listings', 'total_products')} as active_products_pct, cast(stock as bigint) as total_stock,
        low_stock_items, out_of_stock, excess_stock,
        {pct('(low_stock_items + out_of_stock)', 'total_products')} as stock_risk_pct,
        cast(units as bigint) as units_sold, orders_count as order_count, {ratio('units', 'oc')} as avg_order_size,
-       {pct('units', 'units')} as stock_turnover_pct, cast(gross as double) as gross_revenue,
+       {pct('units', 'stock')} as stock_turnover_pct, cast(gross as double) as gross_revenue,
        cast(gross - discount as double) as net_revenue, cast(discount as double) as total_discounts,
        {pct('discount', 'gross')} as discount_pct, {ratio('price_sum', 'n')} as average_price,
        median_price, cast(min_price as double) as min_price, cast(max_price as double) as max_price,
-       cast(null as double) as conversion_rate_pct, cast(null as double) as return_rate_pct,
-       cast(null as double) as fulfillment_rate_pct, cast(null as double) as cancellation_rate_pct,
+       {pct('purchases', 'pv')} as conversion_rate_pct, {pct('returned', 'n')} as return_rate_pct,
+       {pct('fulfilled', 'oc')} as fulfillment_rate_pct, {pct('cancelled', 'oc')} as cancellation_rate_pct,
        cast(promo as bigint) as products_on_promotion, {ratio('off_sum', 'n')} as avg_discount_pct,
        cast(page_views as bigint) as page_views, cast(unique_visitors as bigint) as unique_visitors,
        {pct('unique_visitors', 'page_views')} as visitor_engagement_pct
@@ -387,8 +397,8 @@ ORACLE["check_key_skus"] = f"""
 with {SKUS} select item_id, sku_id, count(*) as n from skus group by 1, 2
 having count(*) > 1 or item_id is null or sku_id is null"""
 ORACLE["check_reference_images"] = f"""
-with {IMAGES} select item_id, count(*) as n from images where item_id not in (
-    select p_partkey from part where p_type = 'ECONOMY') group by 1"""
+with {SKUS}, {IMAGES} select item_id, count(*) as n from skus where item_id not in (
+    select item_id from images) group by 1"""
 ORACLE["check_lengths_images"] = f"""
 with {IMAGES} select *, 'image_url' as too_long from images where length(image_url) > 40"""
 REASONS = """concat_ws(',', case when length(name) > 10 then 'long name' end,
@@ -551,7 +561,8 @@ with recursive {SMOOTH}, {_samples()} select metric, item_id, name, period, valu
 def _alerts(short: int, long: int, rules: list[tuple[str, str, str, str, str]]) -> str:
     def episodes(alert: str, severity: str, condition: str, value: str, hold: str) -> str:
         return f"""select '{alert}' as alert, '{severity}' as severity, item_id, name, since as starts_at,
-            round(cast(arg_min({value}, timestamp) as double), 6) as value
+            round(cast(arg_min({value}, timestamp) as double), 6) as value,
+            round(arg_min_null(rate, timestamp), 6) as rate_5m
         from (select *, min(case when cond then timestamp end) over (partition by item_id, island) as since from (
             select *, sum(case when cond then 0 else 1 end) over (partition by item_id order by us) as island from (
             select *, coalesce({condition}, false) as cond from readings)))
@@ -563,7 +574,7 @@ with recursive {SMOOTH}, instants as (
            arg_max(rsi_14, event_id) as rsi, epoch_us(timestamp) as us from ind group by 1, 2, 3), steps as (
     select *, lag(price) over (partition by item_id order by us) as last_price from instants),
 {_windowed('ws', short)}, {_windowed('wl', long)}, readings as (
-    select i.*, ws.pct_change as pct, wl.changes as changes
+    select i.*, ws.pct_change as pct, ws.rate as rate, wl.changes as changes
     from instants i join ws on i.item_id = ws.item_id and i.us = ws.us
          join wl on i.item_id = wl.item_id and i.us = wl.us)
 """ + " union all ".join(episodes(*r) for r in rules)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,9 +105,15 @@ def hourly_brand_trend_all(spark, sf):
     return reports.hourly_brand_trend(facts, as_of="2024-01-31", days=31)
 
 
+def _ends(df: DataFrame, column: Column) -> tuple[Column, Column]:
+    """First and last value of a column, as constants of the plan."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return F.lit(low), F.lit(high)
+
+
 @query
 def brand_scorecard(spark, sf):
-    start, end = F.lit("1995-01-01").cast("date"), F.lit("2001-12-31").cast("date")
+    start, end = _ends(m.table(spark, sf, "lineitem"), F.to_date("l_shipdate"))
     members = m.table(spark, sf, "part").select(F.col("p_brand").alias("brand")).distinct()
     return reports.brand_scorecard(m.daily_facts(spark, sf), start, end, members)
 
@@ -242,8 +248,8 @@ def check_key_skus(spark, sf):
 
 @query
 def check_reference_images(spark, sf):
-    economy = m.table(spark, sf, "part").filter("p_type = 'ECONOMY'").select(F.col("p_partkey").alias("item_id"))
-    return checks.check_reference(m.images(spark, sf), economy, "item_id")
+    """SKU rows of items that have no image."""
+    return checks.check_reference(m.skus(spark, sf), m.images(spark, sf).select("item_id").distinct(), "item_id")
 
 
 @query
@@ -422,13 +428,13 @@ def metric_gauges(spark, sf):
 
 @query
 def metric_panel_sma(spark, sf):
-    samples = indicators.metric_samples(indicators.price_indicators(m.price_points(spark, sf)))
-    return _labelled(indicators.panel(samples, "price_sma", "7d"))
+    sma = series.sma(m.price_points(spark, sf))
+    return _labelled(indicators.panel(indicators.metric_samples(sma, ["price_sma"]), "price_sma", "7d"))
 
 
 @query
 def evaluate_alerts(spark, sf):
-    return rounded(indicators.alerts(m.price_points(spark, sf)), "value")
+    return rounded(indicators.alerts(m.price_points(spark, sf)), "value", "rate_5m")
 
 
 WIDE_RULES = (
@@ -443,7 +449,7 @@ WIDE_RULES = (
 def evaluate_alerts_wide(spark, sf):
     """The same rules with windows that suit samples some hours apart."""
     out = indicators.alerts(m.price_points(spark, sf), WIDE_RULES, short="2 days", long="4 days")
-    return rounded(out, "value")
+    return rounded(out, "value", "rate_5m")
 
 
 # --- spines ----------------------------------------------------------------------------------
@@ -470,10 +476,10 @@ def number_series(spark, sf):
 
 @query
 def densify(spark, sf):
-    """Users of each event type by hour of the whole month, zero where there was none."""
+    """Users of each event type by hour from the first to the last, zero where there was none."""
     facts = m.hourly_facts(spark, sf).select("brand", "time_bucket", "products_count")
-    kinds = generators.brands(spark, ["click", "error", "purchase", "refund", "signup", "view"])
-    start, end = (F.lit(x).cast("timestamp") for x in ("2024-01-01", "2024-01-31"))
+    kinds = facts.select("brand").distinct()
+    start, end = _ends(facts, F.col("time_bucket"))
     return gaps.densify(facts, "time_bucket", ["brand"], start, end, "1 hour", ["products_count"], kinds)
 
 
