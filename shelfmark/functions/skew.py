@@ -110,19 +110,20 @@ def _axis(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def cut_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int,
-                rounds: int = 3) -> tuple[DataFrame, list[str]]:
+def cut_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                max_rows: int) -> tuple[DataFrame, list[str]]:
     """Cut each key into cells that are contiguous in `order`; returns the cell columns.
 
     Every round looks at the groups that are still heavy and lays an even grid over the first order
     column that varies inside the group. A burst in time is refined by the next round; rows of one
-    instant are cut by the next order column. Only counts and ranges decide, so a lost and
+    instant are cut by the next order column. Rounds go on until no group is heavy or its rows are equal
+    in all order columns; a round cuts every group it looks at, so they end. Only counts and ranges decide, so a lost and
     recomputed partition gets the same cells.
     """
     cells: list[str] = []
-    for i in range(rounds):
+    while True:
         groups = [*keys, *cells]
-        name = f"_c{i}"
+        name = f"_c{len(cells)}"
         rows = df.select(*groups, *[_axis(df, c).alias(f"_a{j}") for j, c in enumerate(order)])
         ranges = [f(f"_a{j}").alias(f"_{n}{j}")
                   for j in range(len(order)) for n, f in (("lo", F.min), ("hi", F.max))]
@@ -134,7 +135,8 @@ def cut_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_ro
         high = F.coalesce(*[F.when(which == j, F.col(f"_hi{j}")) for j in range(len(order))])
         width = (high - low) / F.ceil(F.col("_n") * 4 / max_rows)
         grid = checkpointed(
-            stats.select(*groups, which.alias("_which"), low.alias("_low"), width.alias("_width")))
+            stats.filter(which.isNotNull()).select(
+                *groups, which.alias("_which"), low.alias("_low"), width.alias("_width")))
         if grid.isEmpty():
             break
         df = attach(df, grid, groups, ["_which", "_low", "_width"])

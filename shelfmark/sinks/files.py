@@ -44,8 +44,19 @@ def with_date(df: DataFrame) -> DataFrame:
     return df.withColumn("ingest_date", F.to_date("processing_time"))
 
 
+def drop_folder(df: DataFrame, path: str) -> None:
+    """Remove a folder of any file system Spark knows; nothing happens if it is not there."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def foreach_parquet(path: str, fallback: str | None = None) -> BatchSink:
-    """Each batch in its own `batch_id` folder, replaced on replay; another root if the first fails."""
+    """Each batch in its own `batch_id` folder, replaced on replay; another root if the first fails.
+
+    A batch belongs to one root: whichever attempt succeeds removes what an earlier attempt left of the
+    batch in the other.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
         def to(root: str) -> None:
             (with_date(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -57,6 +68,13 @@ def foreach_parquet(path: str, fallback: str | None = None) -> BatchSink:
             if fallback is None:
                 raise
             to(fallback)
+            try:
+                drop_folder(df, f"{path}/batch_id={batch_id}")
+            except Py4JJavaError:
+                pass  # the first root cannot be reached at all
+        else:
+            if fallback is not None:
+                drop_folder(df, f"{fallback}/batch_id={batch_id}")
 
     return write
 
