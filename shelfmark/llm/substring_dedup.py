@@ -11,9 +11,10 @@ the `GRAM`-word runs inside, so a first pass over anchors alone (about two for n
 that occur in different texts. Documents with one and the same word sequence are parsed once; all but the
 first of them repeat as a whole.
 
-Anchors of very common passages are known from a sample beforehand: one in more than a few thousandths of
-all documents is among them. They need no first pass, and windows at them are reduced before they meet and
-dealt by salt; all other windows have groups of a few thousandths of the documents at most.
+Anchors of very common passages, with more than `HOT_ROWS` documents, are known from a sample beforehand.
+They need no first pass, and windows at them are reduced before they meet and dealt by salt. All other
+groups have so few rows that one task takes them, or (where the sample is too small to see HOT_ROWS) a few
+thousandths of the documents at most.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ from shelfmark.llm.wordhash import bytes_of, mix, shingle_hashes, slices, word_h
 
 WINDOW = 13
 GRAM = 6
-#: Documents of the sample that common anchors are taken from, and the share of it that makes one common;
-#: there are at most (anchors of the sample) / (SAMPLE_DOCS * COMMON) of them.
-SAMPLE_DOCS, COMMON, LEAST_COMMON = 5_000, 0.004, 20
+#: Rows of one window or anchor that one task takes.
+HOT_ROWS = 250_000
+#: Documents of the sample that common anchors are taken from, and the fewest of them that show one;
+#: there are at most (anchors of the sample) / LEAST_COMMON common anchors.
+SAMPLE_DOCS, LEAST_COMMON = 5_000, 20
 #: Parts that the windows at a common anchor are dealt into.
 SALTS = 32
 #: Order of rows without doc_id: after all others.
@@ -109,11 +112,14 @@ def _anchors(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 def _common_anchors(docs: DataFrame) -> np.ndarray:
     """Anchors that many texts of a bounded sample share, ascending."""
-    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+    total = docs.count()
+    if total < HOT_ROWS:
+        return np.zeros(0, np.uint64)
+    share = min(1.0, SAMPLE_DOCS / total)
     grid = 1 << 30
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(grid)) < int(grid * share))
     counts = _anchors(sample, np.zeros(0, np.uint64)).distinct().groupBy("anchor").agg(F.count("*").alias("n"))
-    found = counts.filter(F.col("n") >= max(LEAST_COMMON, int(SAMPLE_DOCS * COMMON))).select("anchor").toArrow()
+    found = counts.filter(F.col("n") >= max(LEAST_COMMON, int(HOT_ROWS * share))).select("anchor").toArrow()
     return np.unique(found.column("anchor").to_numpy().view(np.uint64))
 
 

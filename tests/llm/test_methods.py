@@ -115,10 +115,10 @@ def brute_repeats(texts):
     return out
 
 
-@pytest.mark.parametrize("least", [20, 3])
-def test_remove_repeats(spark, monkeypatch, least):
-    monkeypatch.setattr(substring_dedup, "COMMON", 0)
-    monkeypatch.setattr(substring_dedup, "LEAST_COMMON", least)
+@pytest.mark.parametrize("hot", [250_000, 3])
+def test_remove_repeats(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_ROWS", hot)
+    monkeypatch.setattr(substring_dedup, "LEAST_COMMON", 3)
     rng = random.Random(2)
     shared = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(rng.randrange(10, 60))) for _ in range(12)]
     texts = []
