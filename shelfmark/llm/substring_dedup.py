@@ -144,10 +144,11 @@ def _windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
             if out:
                 h, g, doc, key, pos, often = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(g.astype(np.int32)), pa.array(doc.astype(np.int64)), pa.array(key.astype(np.int64)),
-                     pa.array(pos.astype(np.int32)), pa.array(often)], ["h", "g", "doc", "key", "pos", "often"])
+                    [pa.array(h), pa.array(g.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(doc.astype(np.int64)),
+                     pa.array(key.astype(np.int64)), pa.array(often)], ["h", "g", "pos", "doc", "key", "often"])
 
-    return docs.mapInArrow(look, "h bigint, g int, doc bigint, key bigint, pos int, often boolean")
+    # What stays the same from window to window comes last, where shuffle files compress it away.
+    return docs.mapInArrow(look, "h bigint, g int, pos int, doc bigint, key bigint, often boolean")
 
 
 def factors(positions: np.ndarray, references: np.ndarray) -> list[tuple[int, int, int]]:
@@ -219,8 +220,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         salted = often.withColumn("_salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
         hits = hits.unionByName(salted.join(index.repartition("h", "g", "_salt"), ["h", "g", "_salt"]).filter(
             "ref < doc").select("doc", "key", "pos", "ref"))
-    hits = checkpointed(hits.groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "ref")).alias("_hits")).select(
-        "doc", "key", F.col("_hits.pos").alias("pos"), F.col("_hits.ref").alias("ref")))
+    # Not checkpointed: in one job the texts shuffled for the windows serve the next join as well.
+    hits = hits.groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "ref")).alias("_hits")).select(
+        "doc", "key", F.col("_hits.pos").alias("pos"), F.col("_hits.ref").alias("ref"))
     parsed = docs.select(order.alias("doc"), "text").join(hits, "doc").select("doc", "key", "text", "pos", "ref")
     stripped = _kept(parsed).distinct()
 
