@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import iso_text
-from shelfmark.functions.skew import MAX_ROWS, attach, find_heavy, numbered, salted_join
+from shelfmark.functions.skew import MAX_ROWS, find_heavy, salted_join
 from shelfmark.schemas import FULL_PRODUCTS, MESSAGE_SKUS, Catalog
+from shelfmark.session import checkpointed
 
-MAX_CHILDREN = 50_000
+#: SKUs or images that a part of a document holds, about; a property of the message format.
+PAGE = 50_000
 
 
 def full_products(catalog: Catalog, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -31,66 +31,45 @@ def full_products(catalog: Catalog, max_rows: int = MAX_ROWS) -> DataFrame:
     return with_images.select(*FULL_PRODUCTS)
 
 
-def _lists(children: DataFrame, order: list[Column], value: Column, name: str, limit: int,
-           first: str | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Sorted distinct children per item, and the items over `limit`, if any; then with a `part`.
-
-    Items up to the limit take one shuffle. A larger one is made distinct first, numbered along
-    `order` without one sort over all of it, and cut into parts. `first` is a column whose smallest
-    value belongs to part 0 although `order` does not follow it.
-    """
-    rows = children.select("item_id", value.alias("_value"))
-    found = F.array_sort(F.collect_set("_value")).alias(name)
-    hot = find_heavy(children, ["item_id"], limit)
-    if hot is None:
-        return rows.groupBy("item_id").agg(found), None
-    light = rows.join(F.broadcast(hot.select("item_id")), "item_id", "left_anti")
-    light = light.groupBy("item_id").agg(found).withColumn("part", F.lit(0).cast("bigint"))
-    heavy = children.join(F.broadcast(hot.select("item_id")), "item_id").distinct()
-    axes = [f"_o{i}" for i in range(len(order))]
-    heavy = numbered(heavy.withColumns(dict(zip(axes, order))), ["item_id"], axes, limit)
-    part = F.floor(F.col("_pos") / limit)
-    if first:
-        lead = children.join(F.broadcast(hot.select("item_id")), "item_id").groupBy("item_id").agg(
-            F.min(first).alias("_lead"))
-        heavy = attach(heavy, lead, ["item_id"], ["_lead"])
-        part = F.when(F.col(first) == F.col("_lead"), F.lit(0)).otherwise(part)
-    heavy = heavy.select("item_id", part.alias("part"), value.alias("_value"))
-    return light.unionByName(heavy.groupBy("item_id", "part").agg(found)), hot
-
-
 def product_documents(catalog: Catalog, published: str | Column | None = None,
-                      max_children: int = MAX_CHILDREN) -> DataFrame:
-    """Nested document of each product: columns `timestamp`, `data`, `part`.
+                      page: int = PAGE) -> DataFrame:
+    """Nested document of each product: columns `timestamp`, `data`, `part`, `parts`.
 
-    Children are reduced to sorted distinct lists before the join, so SKUs and images of an item do
-    not multiply. A product with more than `max_children` SKUs or images continues in further parts
-    (`part` > 0) that carry the next slices under the same header; part 0 holds the first ones.
+    Children are made distinct before they meet, so SKUs and images of an item do not multiply. A
+    document has as many parts as its SKUs or images fill pages of `page`, at least one; children are
+    dealt to the parts by hash, except that the smallest SKU and URL are in part 0. A part holds about
+    `page` of each at most, so no message and no task grows with the product.
     """
     sku = F.struct(
         F.col("sku_id").alias("SkuId"), F.col("seller_sku").alias("SellerSku"),
         F.col("shop_sku").alias("ShopSku"), F.col("status").alias("Status"), F.col("quantity"),
         F.col("available").alias("Available"), F.col("price"), F.col("special_price"))
-    # Equal SKU ids are ordered by content and URLs by hash, so every part boundary is fixed; the
-    # first URL of all stays in part 0.
-    skus, many_skus = _lists(catalog.skus.drop("created_date"), [F.col("sku_id"), F.xxhash64(sku)], sku, "skus",
-                  max_children)
-    urls = catalog.images.filter(F.col("image_url").isNotNull()).select("item_id", "image_url")
-    images, many_images = _lists(urls, [F.xxhash64("image_url")], F.col("image_url"), "images",
-                                 max_children, "image_url")
-    hot = [h for h in (many_skus, many_images) if h is not None]
-    none = F.lit(0).cast("bigint")
-    if hot:
-        skus, images = (d if "part" in d.columns else d.withColumn("part", none) for d in (skus, images))
-        children = skus.join(images, ["item_id", "part"], "full")
-    else:
-        children = skus.join(images, "item_id", "full").withColumn("part", none)
+    skus = catalog.skus.select("item_id", sku.alias("child")).distinct()
+    urls = catalog.images.filter(F.col("image_url").isNotNull()).select(
+        "item_id", F.col("image_url").alias("child")).distinct()
+
+    def sizes(children: DataFrame, first: str) -> DataFrame:
+        return children.groupBy("item_id").agg(F.count("*").alias(f"{first}_n"), F.min("child").alias(first))
+
+    most = F.greatest(F.coalesce("sku_n", F.lit(1)), F.coalesce("url_n", F.lit(1)))
+    # Checkpointed, so that both sides of the joins below are plain shuffles, which AQE splits where an
+    # item has very many children.
+    plan = checkpointed(sizes(skus, "sku").join(sizes(urls, "url"), "item_id", "full").select(
+        "item_id", F.ceil(most / page).cast("int").alias("parts"), "sku", "url"))
+
+    def lists(children: DataFrame, first: str, name: str) -> DataFrame:
+        placed = children.join(plan.select("item_id", "parts", first), "item_id")
+        part = F.when(F.col("child").eqNullSafe(F.col(first)), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64("child"), F.col("parts")).cast("int"))
+        return placed.groupBy("item_id", part.alias("part")).agg(F.array_sort(F.collect_list("child")).alias(name))
+
     header = catalog.products.drop("created_date").join(
         catalog.attributes.select("item_id", "brand", "description"), "item_id", "left")
-    # The parts of one product are spread over as many tasks as it has parts.
-    parted = reduce(DataFrame.unionByName, hot).groupBy("item_id").agg(
-        F.max("_pieces").alias("_pieces")) if hot else None
-    docs = salted_join(header, children, ["item_id"], "left", right_heavy=parted, salt_on=["part"])
+    header = header.join(plan.select("item_id", "parts"), "item_id", "left")
+    header = header.withColumn("parts", F.coalesce("parts", F.lit(1)))
+    header = header.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    docs = header.join(lists(skus, "sku", "skus"), ["item_id", "part"], "left").join(
+        lists(urls, "url", "images"), ["item_id", "part"], "left")
     if published is None:
         published = F.current_timestamp()
     elif isinstance(published, str):
@@ -106,16 +85,14 @@ def product_documents(catalog: Catalog, published: str | Column | None = None,
             F.coalesce("skus", F.array().cast(MESSAGE_SKUS)).alias("skus"),
             F.struct("name", "brand", "description").alias("attributes"),
         ).alias("data"),
-        F.coalesce("part", F.lit(0)).alias("part"),
+        "part", "parts",
     )
 
 
 def document_json(docs: DataFrame) -> DataFrame:
-    """Message text of each document; NULL fields are written, `part` only where it is above 0."""
-    keep = {"ignoreNullFields": "false"}
+    """Message text of each document: timestamp, data, part and parts; NULL fields are written."""
     money = docs.withColumn("data", F.col("data").withField("skus", F.transform(
         "data.skus", lambda s: s.withField("price", s["price"].cast("double"))
         .withField("special_price", s["special_price"].cast("double")))))
-    first = F.to_json(F.struct("timestamp", "data"), keep)
-    more = F.to_json(F.struct("timestamp", "data", "part"), keep)
-    return money.select(F.when(F.col("part") > 0, more).otherwise(first).alias("value"))
+    body = F.to_json(F.struct("timestamp", "data", "part", "parts"), {"ignoreNullFields": "false"})
+    return money.select(body.alias("value"))

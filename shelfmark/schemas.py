@@ -35,14 +35,14 @@ MESSAGE_SKUS = T.ArrayType(_struct(
 ))
 MESSAGE_ATTRIBUTES = _struct(name=TEXT, brand=TEXT, description=TEXT)
 
-# `part` is present only on the continuation messages of an oversized product.
+# A product with very many children comes in `parts` messages under one header.
 ENVELOPE_V1 = _struct(
     timestamp=TEXT,
     data=_struct(
         id=TEXT, name=TEXT, created_time=TEXT, updated_time=TEXT, primary_category=INT,
         status=TEXT, images=T.ArrayType(TEXT), skus=MESSAGE_SKUS, attributes=MESSAGE_ATTRIBUTES,
     ),
-    part=INT,
+    part=INT, parts=INT,
 )
 ENVELOPE_V0 = _struct(
     product=_struct(item_id=LONG, name=TEXT, created_time=TIME, updated_time=TIME,

@@ -42,16 +42,17 @@ def test_documents(catalog):
 
 
 def test_oversized_product_continues_in_parts(catalog):
-    docs = [r for r in documents.product_documents(catalog, AT, max_children=40).collect()]
+    docs = [r for r in documents.product_documents(catalog, AT, page=40).collect()]
     whole = {r.data.id: r.data for r in documents.product_documents(catalog, AT).collect()}
     parts = sorted((r for r in docs if r.data.id == "1"), key=lambda r: r.part)
     assert len(parts) == 8 and [r.part for r in parts] == list(range(8))
-    assert max(len(r.data.skus) for r in parts) <= 40
-    assert [s for r in parts for s in r.data.skus] == list(whole["1"].skus)
+    assert {r.parts for r in parts} == {8} and max(len(r.data.skus) for r in parts) < 80
+    assert sorted(s for r in parts for s in r.data.skus) == list(whole["1"].skus)
+    assert parts[0].data.skus[0] == whole["1"].skus[0]
     assert sorted(u for r in parts for u in r.data.images) == list(whole["1"].images)
     assert parts[0].data.images[0] == "u0000"
     assert {r.data.id: r.part for r in docs if r.data.id != "1"} == {"2": 0, "3": 0, "4": 0}
-    flat = flatten_stream(documents.document_json(documents.product_documents(catalog, AT, max_children=40)))
+    flat = flatten_stream(documents.document_json(documents.product_documents(catalog, AT, page=40)))
     assert {(r.item_id, r.image_url, r.price) for r in flat.collect()} == {
         (1, "u0000", D(101)), (2, "only", D("12.50")), (3, None, None), (4, None, D(1))}
 
@@ -64,7 +65,7 @@ def test_message_text(catalog):
         "primary_category": 5, "status": "Active", "images": ["only"],
         "skus": [{"SkuId": 7, "SellerSku": "s", "ShopSku": "h", "Status": "active", "quantity": None,
                   "Available": 1, "price": 12.5, "special_price": None}],
-        "attributes": {"name": "n2", "brand": None, "description": "d"}}}
+        "attributes": {"name": "n2", "brand": None, "description": "d"}}, "part": 0, "parts": 1}
 
 
 def test_publish_and_flatten_keep_ids(spark, catalog, tmp_path):

@@ -12,10 +12,10 @@ from shelfmark.sources import pages, readers
 
 
 def api_product(item, skus=(1,), images=("u1", "u2"), **extra):
-    body = {"created_time": "1742835004738", "updated_time": "1742835004927", "images": images if images == "absent" else list(images),
-            "skus": [{"Status": "active", "quantity": 100, "SellerSku": "1234SKU", "ShopSku": "x",
+    body = {"created_time": "1709287204738", "updated_time": "1709287204927", "images": images if images == "absent" else list(images),
+            "skus": [{"Status": "active", "quantity": 100, "SellerSku": "SELL-7", "ShopSku": "x",
                       "special_price": 0, "price": 250000, "Available": 100, "SkuId": s} for s in skus],
-            "item_id": item, "primary_category": 13156,
+            "item_id": item, "primary_category": 417,
             "attributes": {"name": f"n{item}", "brand": "Brand X", "description": "d"}, "status": "Active"}
     return {k: v for k, v in {**body, **extra}.items() if v != "absent"}
 
@@ -23,7 +23,7 @@ def api_product(item, skus=(1,), images=("u1", "u2"), **extra):
 @pytest.fixture(scope="module")
 def landed(tmp_path_factory):
     folder = tmp_path_factory.mktemp("pages")
-    page1 = [api_product(3056230414, skus=(14701183682,)), api_product(2, skus=(1, 2), images=())]
+    page1 = [api_product(9100000001, skus=(88000000005,)), api_product(2, skus=(1, 2), images=())]
     page2 = [api_product(2, skus=(2, 3), images=("u9", "u9")), api_product(3, skus=[], images="absent"),
              api_product(4, attributes="absent"), api_product(5, created_time="soon"),
              api_product(6, attributes={"name": "x" * 300, "brand": "b", "description": "d"}),
@@ -38,13 +38,13 @@ def test_ingest(spark, landed):
     reasons = {(r.item_id, tuple(r.reasons)) for r in bad.collect()}
     assert reasons == {(None, ("not JSON", "no item_id", "no attributes")), (4, ("no attributes",)),
                        (5, ("created_time",)), (6, ("name too long",))}
-    c = pages.normalize_pages(good, "2025-03-25")
-    assert sorted(r.item_id for r in c.products.collect()) == [2, 2, 3, 7, 3056230414]
+    c = pages.normalize_pages(good, "2024-03-02")
+    assert sorted(r.item_id for r in c.products.collect()) == [2, 2, 3, 7, 9100000001]
     assert sorted((r.item_id, r.sku_id) for r in c.skus.collect()) == [
-        (2, 1), (2, 2), (2, 2), (2, 3), (7, 1), (3056230414, 14701183682)]
-    assert c.images.count() == 6 and sorted(r.item_id for r in c.attributes.collect()) == [2, 2, 3, 3056230414]
-    r = c.products.filter("item_id = 3056230414").first()
-    assert (r.name, str(r.created_time), str(r.created_date)) == ("n3056230414", "2025-03-24 16:50:04", "2025-03-25")
+        (2, 1), (2, 2), (2, 2), (2, 3), (7, 1), (9100000001, 88000000005)]
+    assert c.images.count() == 6 and sorted(r.item_id for r in c.attributes.collect()) == [2, 2, 3, 9100000001]
+    r = c.products.filter("item_id = 9100000001").first()
+    assert (r.name, str(r.created_time), str(r.created_date)) == ("n9100000001", "2024-03-01 10:00:04", "2024-03-02")
     for name, schema in TABLES.items():
         assert getattr(c, name).schema.simpleString() == schema.simpleString()
 
@@ -105,7 +105,7 @@ def database(spark, tmp_path):
 def test_load_twice_is_once(spark, landed, database):
     db, location = database
     good, _ = pages.split_products(readers.read_api_pages(spark, landed))
-    c = pages.normalize_pages(good, "2025-03-25")
+    c = pages.normalize_pages(good, "2024-03-02")
     tables.load_pages(c, db, location)
     before = {name: rows(spark.table(f"{db}.{name}")) for name in TABLES}
     tables.load_pages(c, db, location)
@@ -125,13 +125,13 @@ def test_load_twice_is_once(spark, landed, database):
 def test_bulk_load(spark, landed, database, tmp_path):
     db, location = database
     good, _ = pages.split_products(readers.read_api_pages(spark, landed))
-    c = pages.normalize_pages(good.filter("item_id <> 2"), "2025-03-25")
+    c = pages.normalize_pages(good.filter("item_id <> 2"), "2024-03-02")
     tables.bulk_load(c, db, location, str(tmp_path / "stage1"))
     assert spark.table(f"{db}.products").count() == 3
     with pytest.raises(ValueError, match="key of products"):
         tables.bulk_load(c, db, location, str(tmp_path / "stage2"))
     assert spark.table(f"{db}.products").count() == 3
-    orphan = pages.normalize_pages(good.filter("item_id = 2").limit(1), "2025-03-25")
+    orphan = pages.normalize_pages(good.filter("item_id = 2").limit(1), "2024-03-02")
     from dataclasses import replace
     with pytest.raises(ValueError, match="product of"):
         tables.bulk_load(replace(orphan, products=orphan.products.limit(0)), db, location, str(tmp_path / "stage3"))
