@@ -34,13 +34,22 @@ def read_current(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def replace_content(table: str, df: DataFrame, location: str) -> str:
-    """Write a new version of a table and make it current; returns its folder."""
-    spark = df.sparkSession
+def write_version(table: str, df: DataFrame, location: str) -> str:
+    """Write content for a table to a folder of its own, which is not current yet."""
     path = f"{location}/version={uuid.uuid4().hex}"
-    conform(df, spark.table(table).schema).write.mode("error").parquet(path)
+    conform(df, df.sparkSession.table(table).schema).write.mode("error").parquet(path)
+    return path
+
+
+def make_current(spark: SparkSession, table: str, path: str) -> None:
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
+
+
+def replace_content(table: str, df: DataFrame, location: str) -> str:
+    """Write a new version of a table and make it current; returns its folder."""
+    path = write_version(table, df, location)
+    make_current(df.sparkSession, table, path)
     return path
 
 
@@ -64,27 +73,35 @@ def merge_into(table: str, updates: DataFrame, keys: Sequence[str], order_by: Se
     """Upsert in place, for table formats that support MERGE; rewrites only the files concerned."""
     spark = updates.sparkSession
     columns = spark.table(table).columns
-    latest_by(updates, keys, order_by).select(*columns).createOrReplaceTempView("_updates")
-    spark.sql(merge_statement(table, "_updates", columns, keys))
+    view = f"_updates_{uuid.uuid4().hex}"
+    latest_by(updates, keys, order_by).select(*columns).createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_statement(table, view, columns, keys))
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def bulk_load(staged: Catalog, db: str, location: str, staging: str) -> None:
-    """Stage all four tables, check keys, references and lengths, then append them.
+    """Stage all four tables, check keys, references and lengths, then append their files.
 
-    Nothing becomes current when a check fails.
+    Only staged rows are checked: among themselves, and by key against the current tables. Nothing is
+    appended when a check fails, and rows that are already there are neither rewritten nor counted anew.
     """
     spark = staged.products.sparkSession
     for name, df in staged.tables().items():
         conform(df, TABLES[name]).write.mode("error").parquet(f"{staging}/{name}")
     loaded = {name: spark.read.schema(TABLES[name]).parquet(f"{staging}/{name}") for name in TABLES}
-    merged = {name: read_current(spark, f"{db}.{name}").unionByName(df) for name, df in loaded.items()}
-    for name, df in merged.items():
-        require(f"key of {name}", check_key(df, KEYS[name]))
-        require(f"text limits of {name}", check_lengths(loaded[name], LENGTH_LIMITS[name]))
+    current = {name: read_current(spark, f"{db}.{name}") for name in TABLES}
+    known = current["products"].select("item_id").unionByName(loaded["products"].select("item_id"))
+    for name, df in loaded.items():
+        keys = KEYS[name]
+        require(f"key of {name}", check_key(df, keys))
+        require(f"key of {name}", current[name].select(*keys).join(df.select(*keys), list(keys), "left_semi"))
+        require(f"text limits of {name}", check_lengths(df, LENGTH_LIMITS[name]))
         if name != "products":
-            require(f"product of {name}", check_reference(df, merged["products"], "item_id"))
-    for name, df in merged.items():
-        replace_content(f"{db}.{name}", df, f"{location}/{name}")
+            require(f"product of {name}", check_reference(df, known, "item_id"))
+    for name, df in loaded.items():
+        df.select(*current[name].columns).write.mode("append").insertInto(f"{db}.{name}")
 
 
 def load_pages(catalog: Catalog, db: str, location: str, sample_style: bool = False) -> None:
@@ -92,12 +109,15 @@ def load_pages(catalog: Catalog, db: str, location: str, sample_style: bool = Fa
 
     Products, SKUs and attributes are upserted and images added if absent. In `sample_style` SKUs of
     touched items are replaced and the date of known images is renewed. Equal keys inside one load
-    carry no order, so the greatest row wins and a repeated load gives the same tables.
+    carry no order, so the greatest row wins and a repeated load gives the same tables. All four new
+    versions are written before the first table is pointed at its own.
     """
     spark = catalog.products.sparkSession
 
+    written: dict[str, str] = {}
+
     def put(name: str, content: DataFrame) -> None:
-        replace_content(f"{db}.{name}", content, f"{location}/{name}")
+        written[name] = write_version(f"{db}.{name}", content, f"{location}/{name}")
 
     def rest(name: str) -> list[str]:
         return [f.name for f in TABLES[name].fields if f.name not in KEYS[name]]
@@ -111,3 +131,5 @@ def load_pages(catalog: Catalog, db: str, location: str, sample_style: bool = Fa
     else:
         put("skus", upsert(now["skus"], catalog.skus, KEYS["skus"], rest("skus")))
         put("images", insert_missing(now["images"], catalog.images, KEYS["images"], ["created_date"]))
+    for name, path in written.items():
+        make_current(spark, f"{db}.{name}", path)

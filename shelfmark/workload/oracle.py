@@ -355,6 +355,10 @@ ORACLE["normalize_pages_children"] = f"""
 with {CATALOG} select distinct i.item_id, 'image' as kind, image_url as value
 from products p join images i on p.item_id = i.item_id
 union all select item_id, 'brand', brand from attributes"""
+ORACLE["rejected_products"] = """
+select item_id, reasons from (
+    select p_partkey as item_id, concat_ws(',', case when p_type = 'ECONOMY' then 'no attributes' end,
+           case when p_size > 45 then 'created_time' end) as reasons from part) where reasons <> ''"""
 ORACLE["snapshot_rows"] = f"""
 with {CATALOG}
 select 'products' as table, item_id, cast(null as bigint) as sku_id, cast(null as varchar) as image_url,

@@ -14,6 +14,7 @@ from shelfmark.functions.columns import (
 )
 from shelfmark.operators import checks, gaps, merge
 from shelfmark.plans import documents, indicators, reports
+from shelfmark.sinks import load
 from shelfmark.sinks.publish import snapshot_messages
 from shelfmark.sources import generators, pages, readers
 from shelfmark.streaming.flatten import flatten_stream
@@ -154,34 +155,46 @@ def flatten_stream_batch(spark, sf):
     return flatten_stream(documents.document_json(docs)).drop("processing_time")
 
 
-def _pages(spark, sf) -> DataFrame:
-    """API pages of the catalog, as text that is then parsed: twenty products to a page."""
+def _pages(spark, sf, spoilt: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Products of API pages of the catalog, twenty to a page, and the rejected ones.
+
+    With `spoilt` products of large categories carry their name as creation time, and those of one type
+    lack their attributes.
+    """
     data = documents.product_documents(m.catalog(spark, sf), PUBLISHED).select("data.*", "part")
     millis = {c: (F.unix_seconds(F.col(c).cast("timestamp")) * 1000 + 738).cast("string")
               for c in ("created_time", "updated_time")}
     product = data.withColumn("item_id", F.col("id").cast("bigint")).withColumns(millis)
+    if spoilt:
+        product = product.withColumns({
+            "created_time": F.when(F.col("primary_category") > 45, F.col("name")).otherwise(F.col("created_time")),
+            "attributes": F.when(F.col("status") != "ECONOMY", F.col("attributes"))})
     body = F.struct("created_time", "updated_time", "images", "skus", "item_id", "primary_category",
                     "attributes", "status")
     page = F.floor(F.col("item_id") / 20).alias("page")
     listed = product.groupBy(page, "part").agg(F.collect_list(body).alias("products"))
     text = F.to_json(F.struct(F.struct(F.size("products").alias("total_products"), "products").alias("data")))
-    good, _ = pages.split_products(readers.products_of_pages(listed.select(text.alias("value"))))
-    return good
+    return pages.split_products(readers.products_of_pages(listed.select(text.alias("value"))))
+
+
+@query
+def rejected_products(spark, sf):
+    return load.rejected_rows(_pages(spark, sf, spoilt=True)[1]).select("item_id", "reasons")
 
 
 @query
 def normalize_pages_skus(spark, sf):
-    return pages.normalize_pages(_pages(spark, sf), "2024-01-31").skus
+    return pages.normalize_pages(_pages(spark, sf)[0], "2024-01-31").skus
 
 
 @query
 def normalize_pages_products(spark, sf):
-    return pages.normalize_pages(_pages(spark, sf), "2024-01-31").products
+    return pages.normalize_pages(_pages(spark, sf)[0], "2024-01-31").products
 
 
 @query
 def normalize_pages_children(spark, sf):
-    c = pages.normalize_pages(_pages(spark, sf), "2024-01-31")
+    c = pages.normalize_pages(_pages(spark, sf)[0], "2024-01-31")
     images = c.images.select("item_id", F.lit("image").alias("kind"), F.col("image_url").alias("value"))
     brand = c.attributes.select("item_id", F.lit("brand").alias("kind"), F.col("brand").alias("value"))
     return images.unionByName(brand)

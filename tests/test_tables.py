@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import checks, merge
 from shelfmark.schemas import KEYS, LENGTH_LIMITS, TABLES
-from shelfmark.sinks import files, tables
+from shelfmark.sinks import files, load, tables
 from shelfmark.sources import pages, readers
+from shelfmark.streaming.flatten import flatten_stream
 
 
 def api_product(item, skus=(1,), images=("u1", "u2"), **extra):
@@ -122,16 +123,34 @@ def test_load_twice_is_once(spark, landed, database):
     assert spark.table(f"{db}.products").count() == 4
 
 
+def test_load_job(spark, landed, database, tmp_path):
+    db, location = database
+    aside, out = str(tmp_path / "aside"), str(tmp_path / "messages")
+    for _ in range(2):
+        load.load_job(spark, landed, db, location, aside, "2024-03-02", options={"path": out})
+    bad = {(r.item_id, r.reasons) for r in spark.read.json(aside).collect()}
+    assert bad == {(None, "not JSON,no item_id,no attributes"), (4, "no attributes"), (5, "created_time"), (6, "name too long")}
+    assert spark.table(f"{db}.products").count() == 4
+    flat = {r.item_id: r for r in flatten_stream(spark.read.text(out)).collect()}
+    assert set(flat) == {2, 3, 7, 9100000001}
+    assert (flat[2].image_url, flat[9100000001].quantity, flat[3].price) == ("u9", 100, None)
+
+
 def test_bulk_load(spark, landed, database, tmp_path):
     db, location = database
     good, _ = pages.split_products(readers.read_api_pages(spark, landed))
     c = pages.normalize_pages(good.filter("item_id <> 2"), "2024-03-02")
     tables.bulk_load(c, db, location, str(tmp_path / "stage1"))
     assert spark.table(f"{db}.products").count() == 3
+    files_before = set(spark.table(f"{db}.products").inputFiles())
+    more = pages.normalize_pages(good.filter("item_id = 2").limit(1), "2024-03-02")
+    tables.bulk_load(more, db, location, str(tmp_path / "stage0"))
+    assert spark.table(f"{db}.products").count() == 4
+    assert files_before < set(spark.table(f"{db}.products").inputFiles())
     with pytest.raises(ValueError, match="key of products"):
         tables.bulk_load(c, db, location, str(tmp_path / "stage2"))
-    assert spark.table(f"{db}.products").count() == 3
-    orphan = pages.normalize_pages(good.filter("item_id = 2").limit(1), "2024-03-02")
+    assert spark.table(f"{db}.products").count() == 4
+    orphan = pages.normalize_pages(good.filter("item_id = 3").withColumn("item_id", F.lit(99).cast("bigint")), "2024-03-02")
     from dataclasses import replace
     with pytest.raises(ValueError, match="product of"):
         tables.bulk_load(replace(orphan, products=orphan.products.limit(0)), db, location, str(tmp_path / "stage3"))
