@@ -36,6 +36,8 @@ def test_spike_and_volatility(spark):
     rows = series(1, rising, [50] * 12) + series(2, zigzag, [50] * 40)
     got = fired(indicators.alerts(spark.createDataFrame(rows, SCHEMA)))
     spike = [g for g in got if g[0] == "ProductPriceSpike"]
+    rate = {r.alert: r.rate_5m for r in indicators.alerts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert rate["ProductPriceSpike"] == pytest.approx((100 * 1.1 ** 7 - 100 * 1.1 ** 3) / 240)
     assert spike == [("ProductPriceSpike", 1, 2.0, round((1.1 ** 4 - 1) * 100, 3))]
     assert [g for g in got if g[0] == "PriceVolatility"] == [("PriceVolatility", 2, 6.0, 21.0)]
 

@@ -53,6 +53,12 @@ def test_category_analytics(catalog):
     assert rows[2].avg_images_per_product is None and rows[2].total_images == 0
 
 
+def test_sku_ids_counted_by_sketch(catalog):
+    exact, about = ({r.primary_category: r.total_skus for r in reports.category_analytics(
+        catalog.products, catalog.skus, catalog.images, catalog.attributes, approx=a).collect()} for a in (False, True))
+    assert about == exact  # a sketch is exact for so few
+
+
 def test_mode_takes_lowest_of_tied(spark, catalog):
     attributes = spark.createDataFrame([(1, "B", "", T0.date()), (2, "A", "", T0.date())], ATTRIBUTES)
     rows = reports.category_analytics(catalog.products, catalog.skus, catalog.images, attributes).collect()

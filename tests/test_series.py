@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.functions import series
+from shelfmark.functions import series, skew
 
 START = dt.datetime(2024, 1, 1)
 LONG = 4000
@@ -141,3 +141,15 @@ def test_heavy_branch_is_cut(points):
     heavy = points.filter("item_id = 1")
     out = numbered(heavy, ["item_id"], ["timestamp", "event_id"], 50).orderBy("timestamp", "event_id")
     assert [r["_pos"] for r in out.collect()] == list(range(LONG))
+
+
+def test_cutting_goes_on_until_no_cell_is_heavy(spark):
+    """Gaps that shrink by a thousand each time need a round each; equal rows end the cutting."""
+    rows = [(1, float(1000.0 ** k + i * 1000.0 ** (k - 3)), 0) for k in range(6) for i in range(8)] + [(2, 1.0, 0)] * 50
+    df = spark.createDataFrame(rows, "k int, t double, tie int")
+    cut, cells = skew.cut_ordered(df, ["k"], ["t", "tie"], 4)
+    assert len(cells) > 3
+    assert cut.filter("k = 1").groupBy(*cells).count().agg({"count": "max"}).first()[0] <= 4
+    got = skew.numbered(df, ["k"], ["t", "tie"], 4).orderBy("k", "_pos").collect()
+    assert [r["_pos"] for r in got] == [*range(48), *range(50)]
+    assert [r.t for r in got[:48]] == sorted(t for k, t, _ in rows if k == 1)
