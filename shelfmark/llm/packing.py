@@ -32,7 +32,7 @@ CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_ID = (0).to_bytes(4, "little")
 #: Words whose ids a Python worker remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 #: Search effort: nodes of the branch and bound, probes for the fillings of one node, branches of a node.
 NODES, PROBES, BRANCHES = 6_000, 400, 3
 #: Rows of one length that are ranked in one task.
@@ -116,7 +116,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
-        for batch in slices(batches, 1, 4 << 20):
+        for batch in slices(batches, 1):
             rows: list[int] = []
             out: list[tuple[int, int, int, int]] = []
             for row, ids in enumerate(encode([t or "" for t in batch.column(1).to_pylist()])):

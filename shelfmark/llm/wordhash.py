@@ -110,7 +110,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out + np.uint64(size))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts hold about `most` bytes, one row at least."""
     for batch in batches:
         column = batch.column(text)
