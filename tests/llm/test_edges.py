@@ -32,8 +32,8 @@ def labels(spark, rows=((1, 1, 0), (2, 0, 0), (2, 1, 0), (3, None, None), (None,
     return spark.createDataFrame(list(rows), "doc_id bigint, quality int, toxic int")
 
 
-def bench(spark, rows=((1, "seven eight nine ten eleven twelve thirteen fourteen"), (2, None), (None, "x"), (3, ""))):
-    return spark.createDataFrame(list(rows), "item_id bigint, text string")
+def bench(spark, rows=(("q1", "seven eight nine ten eleven twelve thirteen fourteen"), ("q2", None), (None, "x"), ("q3", ""))):
+    return spark.createDataFrame(list(rows), "item_id string, text string")
 
 
 def pii_of(docs):
@@ -103,9 +103,9 @@ def test_stages_keep_columns(spark, docs, none):
 
 def test_decontamination_edges(spark, docs, none):
     found = decontamination.find_contaminated(docs, bench(spark)).collect()
-    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (2, 1)}
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, "q1"), (2, "q1")}
     assert decontamination.find_contaminated(none, bench(spark)).count() == 0
-    assert decontamination.find_contaminated(docs, bench(spark, ((1, None),))).count() == 0
+    assert decontamination.find_contaminated(docs, bench(spark, (("q1", None),))).count() == 0
     assert decontamination.find_contaminated(docs, bench(spark).limit(0)).count() == 0
 
 
