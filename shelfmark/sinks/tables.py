@@ -53,6 +53,24 @@ def replace_content(table: str, df: DataFrame, location: str) -> str:
     return path
 
 
+def expire_versions(spark: SparkSession, table: str, location: str, keep: int = 2) -> list[str]:
+    """Remove old versions of a table; the current one and the newest others, `keep` in all, stay.
+
+    Readers that began on a removed version lose it, so `keep` covers the longest of them.
+    """
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()
+    current = described.data_type.rstrip("/").rsplit("/", 1)[1]
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f for f in fs.listStatus(root) if f.getPath().getName().startswith("version=")]
+    others = sorted((f for f in folders if f.getPath().getName() != current),
+                    key=lambda f: f.getModificationTime(), reverse=True)
+    gone = [f.getPath() for f in others[keep - 1:]]
+    for path in gone:
+        fs.delete(path, True)
+    return [path.getName() for path in gone]
+
+
 def upsert_table(table: str, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                  location: str) -> str:
     """Upsert as a new version. A format with row-level changes takes `merge_into` instead."""

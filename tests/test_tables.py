@@ -103,7 +103,7 @@ def database(spark, tmp_path):
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
-def test_load_twice_is_once(spark, landed, database):
+def test_load_twice_is_once(spark, landed, database, tmp_path):
     db, location = database
     good, _ = pages.split_products(readers.read_api_pages(spark, landed))
     c = pages.normalize_pages(good, "2024-03-02")
@@ -117,6 +117,10 @@ def test_load_twice_is_once(spark, landed, database):
     tables.load_pages(pages.normalize_pages(good.filter("item_id = 2"), "2025-04-01"), db, location, sample_style=True)
     dates = {r.image_url: str(r.created_date) for r in spark.table(f"{db}.images").filter("item_id = 2").collect()}
     assert dates == {"u9": "2025-04-01"}
+    versions = lambda: {p.name for p in (tmp_path / "tables" / "skus").iterdir() if p.name.startswith("version=")}
+    there, skus = len(versions()), spark.table(f"{db}.skus").count()
+    assert len(tables.expire_versions(spark, f"{db}.skus", f"{location}/skus")) == there - 2 > 0
+    assert len(versions()) == 2 and tables.read_current(spark, f"{db}.skus").count() == skus
     same = readers.read_catalog(spark, db, "table")
     assert same.skus.filter("item_id = 2").count() == 3
     tables.create_tables(spark, db, location)
