@@ -101,6 +101,16 @@ UNKNOWN = "Unknown"
 #: A sentence ends at .!?; before white space, at a blank line, or at the end.
 SENTENCE_END = r"[.!?;:]+[ \t\r\n]+|\n[ \t\r]*\n|[.!?;:]+$"
 NOISE = r"[^a-z0-9]+"
+#: Between two words of one sentence, over line breaks and comment marks.
+GAP = r"[^a-z0-9.!?]+"
+#: Joined before the text is cut: an SPDX key and its value, and the punctuation inside the GNU notices, whose
+#: grant then ends as a sentence of its own. Elsewhere ':' and ';' end one, as before the items of a list.
+JOINS = (
+    (rf"\bspdx{GAP}license{GAP}identifier[ \t]*:[ \t\r\n]*", "spdx license identifier "),
+    (GAP.join(r"\bfree software you can redistribute it (?:and|or|and/or) modify it\b".split()),
+     "free software you can redistribute it and or modify it. "),
+    (GAP.join(r"\bfree software foundation either version\b".split()), "free software foundation either version"),
+)
 
 
 def rule_text(ids: Sequence[str]) -> str:
@@ -119,7 +129,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """
     lower = F.lower(clean_text())
     hinted = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(h)) for h in HINTS])
-    sentences = F.transform(F.split(F.when(hinted, lower).otherwise(F.lit("")), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOISE, " ")))
+    joined = reduce(lambda text, j: F.regexp_replace(text, j[0], j[1]), JOINS, F.when(hinted, lower).otherwise(F.lit("")))
+    sentences = F.transform(F.split(joined, SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOISE, " ")))
     about = F.filter(sentences, lambda s: reduce(lambda a, b: a | b, [F.contains(s, F.lit(h)) for h in (*HINTS, "cc by", "cc0", "creative commons")]))
 
     def identify(sentence: Column) -> Column:
