@@ -101,6 +101,12 @@ UNKNOWN = "Unknown"
 #: A sentence ends at .!?; before white space, at a blank line, or at the end.
 SENTENCE_END = r"[.!?;:]+[ \t\r\n]+|\n[ \t\r]*\n|[.!?;:]+$"
 NOISE = r"[^a-z0-9]+"
+#: What normalised sentences of the table hold that need have no hint. Whole words: "cc0" is also part of hex keys.
+#: "all rights reserved" is missing as in the SQL, which takes a text with nothing else for one without licence.
+NAMED = (r"\bcc0\b|\bcreative commons\b|\bcc (by|attribution)\b|the software is provided as is|"
+         r"this software is provided by the .* as is|neither the name of .* may be used to endorse or promote")
+#: One of these words is in any text with a hint or a name, wherever its lines break.
+CLUES = ("licen", "copyright", "redistribut", "permission", "warrant", "domain", "spdx", "cc", "creative", "provided", "promote")
 #: Between two words of one sentence, over line breaks and comment marks.
 GAP = r"[^a-z0-9.!?]+"
 #: Joined before the text is cut: an SPDX key and its value, and the punctuation inside the GNU notices, whose
@@ -128,10 +134,11 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     reported like any other, repeated rows are reported each, and other columns are ignored.
     """
     lower = F.lower(clean_text())
-    hinted = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(h)) for h in HINTS])
+    hinted = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(c)) for c in CLUES])
     joined = reduce(lambda text, j: F.regexp_replace(text, j[0], j[1]), JOINS, F.when(hinted, lower).otherwise(F.lit("")))
     sentences = F.transform(F.split(joined, SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOISE, " ")))
-    about = F.filter(sentences, lambda s: reduce(lambda a, b: a | b, [F.contains(s, F.lit(h)) for h in (*HINTS, "cc by", "cc0", "creative commons")]))
+    about = F.filter(sentences, lambda s: reduce(lambda a, b: a | b, [
+        *(F.contains(s, F.lit(h)) for h in HINTS), F.regexp_like(s, F.lit(NAMED))]))
 
     def identify(sentence: Column) -> Column:
         out = F

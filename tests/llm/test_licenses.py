@@ -43,3 +43,23 @@ def test_a_colon_still_ends_the_sentence_before_a_list(spark):
             "* Redistributions in binary form must reproduce the above copyright notice.\n"
             'THIS SOFTWARE IS PROVIDED BY THE AUTHORS "AS IS" WITHOUT WARRANTY.')
     assert scan(spark, [text]) == [("<BSDRedist><BSDSource><BSDBinary><BSDAsIs>", "BSD-2-Clause", 4, 0, "known")]
+
+
+#: Texts of one sentence, some broken into two lines.
+ALONE = {
+    "CC BY-SA 4.0": ("CCBYSA", "CC-BY-SA"), "Creative Commons Attribution 4.0": ("CCBY", "CC-BY"), "CC Attribution": ("CCBY", "CC-BY"),
+    "Creative\nCommons Attribution-NonCommercial 4.0": ("CCBYNC", "CC-BY-NC"), "CC-BY-NC-ND": ("CCBYNCND", "CC-BY-NC-ND"),
+    "Texts: CC0": ("CC0", "CC0"), "CC0-1.0": ("CC0", "CC0"), "Public Domain\nDedication": ("CC0", "CC0"),
+    "This work is released into the public\n domain.": ("PublicDomain", "Public-Domain"),
+    'The software is provided "as is".': ("AsIs", ""), 'This software is provided by the authors "as is".': ("BSDAsIs", ""),
+    "Neither the name of X nor Y may be used to endorse or promote Z.": ("BSDEndorse", ""),
+}
+
+
+def test_a_sentence_of_the_table_alone(spark):
+    got = scan(spark, ALONE)
+    assert got == [(f"<{name}>", licence, 1, 0, "known" if licence else "unknown") for name, licence in ALONE.values()]
+
+
+def test_parts_of_words_are_no_licence(spark):
+    assert scan(spark, ['token = "bee4a2827eb113d73cb298acc0f7"', "Provided by mail, of course", "In the domain of creative work"]) == [("", "", 0, 0, "none")] * 3
