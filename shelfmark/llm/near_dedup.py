@@ -37,6 +37,8 @@ UNCOMMON, SMALL, SMALL_SHARE = 20, 27, 0.15
 FEW = 10
 #: Shared part of the union sketch below which a pair is dropped; 12 of 32 is eight deviations under 0.85.
 ESTIMATE = 0.375
+#: The threshold that these five hold for; `limits` has them for lower ones, down to LOWEST.
+DERIVED, LOWEST = 0.85, 0.45
 #: Shingles in a block of a common list (8 bytes each).
 BLOCK_SHINGLES = 400_000
 BROADCAST_VALUES = 1_000_000
@@ -76,19 +78,34 @@ def sketched(docs: DataFrame) -> DataFrame:
         measure, f"doc_id {kind}, n_shingles bigint, set_key binary, sketch array<bigint>")
 
 
+def limits(threshold: tuple[int, int]) -> tuple[int, int, int, int, float]:
+    """UNCOMMON, SMALL, FEW, SMALL_SHARE and ESTIMATE for a threshold, at the odds stated for 0.85."""
+    num, den = threshold
+    if num * 100 >= 85 * den:
+        return UNCOMMON, SMALL, FEW, SMALL_SHARE, ESTIMATE
+    share = num / den
+    if share < LOWEST:
+        raise ValueError(f"sketches of {SKETCH} values find no pairs with certainty below {LOWEST}")
+    # A value is missing in a partner's sketch with odds of 1 - share: more of them are needed for the same odds.
+    more = np.log(1 - DERIVED) / np.log(1 - share)
+    deviations = (DERIVED - ESTIMATE) / np.sqrt(DERIVED * (1 - DERIVED))
+    return (min(int(np.ceil(UNCOMMON * more)), SKETCH + 1), SKETCH * num // den, min(int(np.ceil(FEW * more)), SKETCH),
+            (den - num) / den, float(max(0, share - deviations * np.sqrt(share * (1 - share)))))
+
+
 def _close(a: Column, b: Column, threshold: tuple[int, int]) -> Column:
     """Set sizes that can reach the threshold at all."""
     return F.least(a, b) * threshold[1] >= F.greatest(a, b) * threshold[0]
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, classes: DataFrame, estimate: float) -> DataFrame:
     """Pairs (a, b) whose union sketch does not rule out a link."""
     left = classes.select(F.col("node").alias("a"), F.col("sketch").alias("_sa"), F.col("n").alias("_na"))
     right = classes.select(F.col("node").alias("b"), F.col("sketch").alias("_sb"), F.col("n").alias("_nb"))
     union = F.slice(F.array_sort(F.array_union("_sa", "_sb")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect("_sa", "_sb"), "_u"))
     return pairs.join(left, "a").join(right, "b").withColumn("_u", union).filter(
-        shared >= F.size("_u") * ESTIMATE).select("a", "b").distinct()
+        shared >= F.size("_u") * estimate).select("a", "b").distinct()
 
 
 def _full_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -177,8 +194,10 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), lis
     - texts without words, empty or null, have an empty set and are linked with nothing;
     - rows that share a doc_id are one vertex with the links of each of them;
     - a row without doc_id is no vertex: its component_id is null, and it is kept;
-    - an empty table gives an empty result; other columns are ignored.
+    - an empty table gives an empty result; other columns are ignored;
+    - a threshold below LOWEST is an error.
     """
+    uncommon, small_set, few, small_share, estimate = limits(threshold)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     kind = "bigint"
     rows = checkpointed(sketched(docs))
@@ -197,7 +216,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), lis
     pairs = pairs.filter(_close(F.col("na"), F.col("q.n"), threshold) & (F.col("a") != F.col("q.node")))
     pairs = pairs.select("a", F.col("q.node").alias("b")).distinct()
 
-    pairs = checkpointed(_estimated(pairs, classes))
+    pairs = checkpointed(_estimated(pairs, classes, estimate))
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
     members = None
@@ -206,8 +225,8 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), lis
         mixed = retained.join(small.withColumn("_common", F.lit(1)), "v", "left")
         rare = F.count("*") - F.count("_common")
         heavy = mixed.groupBy("node").agg(rare.alias("_rare"), F.max("n").alias("_n")).filter(
-            F.when(F.col("_n") <= SMALL, F.col("_rare") <= F.col("_n") * SMALL_SHARE).otherwise(F.col("_rare") < UNCOMMON))
-        members = checkpointed(mixed.filter((F.col("_common") == 1) & (F.col("_at") < FEW)).join(
+            F.when(F.col("_n") <= small_set, F.col("_rare") <= F.col("_n") * small_share + 1e-9).otherwise(F.col("_rare") < uncommon))
+        members = checkpointed(mixed.filter((F.col("_common") == 1) & (F.col("_at") < few)).join(
             heavy, "node", "left_semi").select("v", "node", "n"))
         nodes = nodes.unionByName(members.select("node"))
     sets = checkpointed(_full_sets(nodes, docs))
