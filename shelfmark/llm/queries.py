@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    chat, decontamination, exact_dedup, licenses, near_dedup, packing, pii, quality, sharding, substring_dedup,
+    chat, decontamination, exact_dedup, filter_audit, licenses, line_dedup, near_dedup, packing, pii,
+    prefix_trie, quality, sharding, substring_dedup,
 )
 from shelfmark.llm.common import read
 
@@ -129,6 +130,83 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs, labels))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LINES_SQL = f"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+lines AS (SELECT doc_id, unnest(a) AS line, unnest(range(1, len(a) + 1)) AS i FROM texts),
+keyed AS (SELECT *, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+often AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT doc_id, i, line, coalesce(keeper <> doc_id, false) AS gone FROM keyed LEFT JOIN often USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+AUDIT_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM texts),
+flags AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masks AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (doc_id > min(doc_id) OVER (PARTITION BY t))::INT AS mask
+    FROM words LEFT JOIN flags USING (doc_id)),
+cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+    FROM masks GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)),
+orders AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order FROM f a, f b, f c, f d, f e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+places AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS earlier
+    FROM orders, unnest(range(1, 6)) AS s(step)),
+steps AS (SELECT filter_order, step::INT AS step, letter, bit, list_sum(list_transform(string_split(earlier, ''),
+    lambda x: CASE x WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 4 WHEN 'D' THEN 8 WHEN 'E' THEN 16 ELSE 0 END))::INT AS used
+    FROM places JOIN f USING (letter)),
+found AS (SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (WHERE mask & (used | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE mask & bit <> 0 AND mask & used = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE mask & bit <> 0 AND mask & used <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE mask & bit <> 0 AND mask & used = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE mask & bit <> 0 AND mask & used = 0), 0)::BIGINT AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM found"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+TRIE_SQL = """
+WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST) AS t FROM given GROUP BY conv_id),
+heads AS (SELECT conv_id, t, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: xor(xor(c, x) >> 1, CASE WHEN xor(c, x) & 1 = 1 THEN 3988292384 ELSE 0 END))) % 9 AS h FROM lists),
+built AS (SELECT a.conv_id, list_concat(coalesce(b.t, [])[1:a.h], a.t[a.h + 1:]) AS t
+    FROM heads a LEFT JOIN lists b ON b.conv_id = a.conv_id - a.conv_id % 5),
+paths AS (SELECT conv_id, len(t) AS size, unnest(range(0, len(t) + 1)) AS depth, t FROM built),
+named AS (SELECT conv_id, size, depth, sha256(t[1:depth]::JSON::VARCHAR) AS node, CASE WHEN depth > 0 THEN sha256(t[1:depth - 1]::JSON::VARCHAR) END AS parent,
+    CASE WHEN depth > 0 THEN strlen(t[depth].text) ELSE 0 END AS bytes FROM paths),
+nodes AS (SELECT node, depth, any_value(parent) AS parent, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = depth) AS ends FROM named GROUP BY node, depth),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+facts AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node)),
+below AS (SELECT p.node, sum((f.n_convs - 1) * f.bytes)::BIGINT AS saved_tokens, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves
+    FROM facts f JOIN named p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY p.node)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM facts f JOIN below USING (node) LEFT JOIN facts p ON p.node = f.parent"""
+
+
 REGISTRY = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -140,6 +218,9 @@ REGISTRY = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE = {
     "op1_license_scan": licenses.scan_sql(),
@@ -147,4 +228,7 @@ ORACLE = {
     "op7_substring_dedup": REPEATS_SQL,
     "op8_exact_dedup": EXACT_SQL,
     "op9_near_dedup": NEAR_SQL,
+    "op11_line_dedup": LINES_SQL,
+    "op12_filter_audit": AUDIT_SQL,
+    "op13_prefix_trie": TRIE_SQL,
 }
