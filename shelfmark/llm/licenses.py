@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import clean_text
 
-#: Words without which no sentence is about a licence.
+#: Words that make a sentence one about a licence, known or not.
 HINTS = ("licen", "copyright", "redistribut", "permission", "warrant", "public domain", "spdx")
 
 #: Known sentences: identifier and what the normalised sentence contains, first match wins.
@@ -50,12 +50,12 @@ SENTENCES = (
     ("BSDEndorse", r"neither the name of .* may be used to endorse or promote"),
     ("BSDAsIs", r"this software is provided by the .* as is"),
     ("MPLNotice", r"mozilla public license,? v(ersion)? ?2 0"),
-    ("CCBYNCSA", r"(cc|creative commons) (by|attribution) (nc|noncommercial) (sa|sharealike)"),
-    ("CCBYNCND", r"(cc|creative commons) (by|attribution) (nc|noncommercial) (nd|noderivatives)"),
-    ("CCBYNC", r"(cc|creative commons) (by|attribution) (nc|noncommercial)"),
-    ("CCBYSA", r"(cc|creative commons) (by|attribution) (sa|sharealike)"),
-    ("CCBY", r"(cc|creative commons) (by|attribution)"),
-    ("CC0", r"cc0|public domain dedication"),
+    ("CCBYNCSA", r"\b(cc|creative commons) (by|attribution) (nc|noncommercial) (sa|sharealike)"),
+    ("CCBYNCND", r"\b(cc|creative commons) (by|attribution) (nc|noncommercial) (nd|noderivatives)"),
+    ("CCBYNC", r"\b(cc|creative commons) (by|attribution) (nc|noncommercial)"),
+    ("CCBYSA", r"\b(cc|creative commons) (by|attribution) (sa|sharealike)"),
+    ("CCBY", r"\b(cc|creative commons) (by|attribution)"),
+    ("CC0", r"\bcc0\b|public domain dedication"),
     ("PublicDomain", r"(released|placed|dedicated) (in|into|to) the public domain"),
     ("Copyright", r"(^| )copyright (c )?[0-9]|all rights reserved"),
 )
@@ -98,15 +98,15 @@ RULES = (
     ("Public-Domain", ("PublicDomain",)),
 )
 UNKNOWN = "Unknown"
-#: A sentence ends at .!?; before white space, at a blank line, or at the end.
+#: A sentence ends at .!?;: before white space, at a blank line, or at the end.
 SENTENCE_END = r"[.!?;:]+[ \t\r\n]+|\n[ \t\r]*\n|[.!?;:]+$"
+#: The same for an engine that goes back: a run of marks is entered at its first one only, and never given up in part.
+SENTENCE_END_ONCE = r"(?<![.!?;:])[.!?;:]++(?:[ \t\r\n]++|$)|\n[ \t\r]*+\n"
 NOISE = r"[^a-z0-9]+"
-#: What normalised sentences of the table hold that need have no hint. Whole words: "cc0" is also part of hex keys.
-#: "all rights reserved" is missing as in the SQL, which takes a text with nothing else for one without licence.
-NAMED = (r"\bcc0\b|\bcreative commons\b|\bcc (by|attribution)\b|the software is provided as is|"
-         r"this software is provided by the .* as is|neither the name of .* may be used to endorse or promote")
-#: One of these words is in any text with a hint or a name, wherever its lines break.
-CLUES = ("licen", "copyright", "redistribut", "permission", "warrant", "domain", "spdx", "cc", "creative", "provided", "promote")
+#: One of these is in any sentence that has a hint or matches a pattern of the table, and so in any such text,
+#: wherever its lines break.
+CLUES = ("licen", "copyright", "redistribut", "permission", "warrant", "domain", "spdx", "cc", "creative", "provided", "promote",
+         "reserved")
 #: Between two words of one sentence, over line breaks and comment marks.
 GAP = r"[^a-z0-9.!?]+"
 #: Joined before the text is cut: an SPDX key and its value, and the punctuation inside the GNU notices, whose
@@ -123,6 +123,24 @@ def rule_text(ids: Sequence[str]) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
+def _any(text: Column, words: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+
+
+def _matches(sentence: Column, pattern: str) -> Column:
+    """Whether a sentence holds a pattern, in time that grows with the sentence only.
+
+    What stands between gaps (`.*`) is looked for one after the other, each from behind the first place of the
+    one before, instead of trying every pair of places. All but the last are plain words.
+    """
+    *parts, last = pattern.split(".*")
+    held, rest = F.lit(True), sentence
+    for part in parts:
+        held = held & F.contains(rest, F.lit(part))
+        rest = F.substr(rest, F.instr(rest, part) + len(part))
+    return held & F.regexp_like(rest, F.lit(last))
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, sentence_ids, licenses, n_known, n_unknown, status.
 
@@ -134,19 +152,17 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     reported like any other, repeated rows are reported each, and other columns are ignored.
     """
     lower = F.lower(clean_text())
-    hinted = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(c)) for c in CLUES])
-    joined = reduce(lambda text, j: F.regexp_replace(text, j[0], j[1]), JOINS, F.when(hinted, lower).otherwise(F.lit("")))
-    sentences = F.transform(F.split(joined, SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOISE, " ")))
-    about = F.filter(sentences, lambda s: reduce(lambda a, b: a | b, [
-        *(F.contains(s, F.lit(h)) for h in HINTS), F.regexp_like(s, F.lit(NAMED))]))
+    joined = reduce(lambda text, j: F.regexp_replace(text, j[0], j[1]), JOINS, F.when(_any(lower, CLUES), lower).otherwise(F.lit("")))
+    sentences = F.transform(F.split(joined, SENTENCE_END_ONCE), lambda s: F.trim(F.regexp_replace(s, NOISE, " ")))
+    near = F.filter(sentences, lambda s: _any(s, CLUES))
 
     def identify(sentence: Column) -> Column:
         out = F
         for name, pattern in SENTENCES:
-            out = out.when(F.regexp_like(sentence, F.lit(pattern)), F.lit(name))
-        return out.otherwise(F.lit(UNKNOWN))
+            out = out.when(_matches(sentence, pattern), F.lit(name))
+        return out.when(_any(sentence, HINTS), F.lit(UNKNOWN))
 
-    ids = F.transform(about, identify)
+    ids = F.array_compact(F.transform(near, identify))
     rows = docs.select("doc_id", F.array_join(F.transform(ids, lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "").alias("sentence_ids"))
     # One rule after the other: what it matches is set apart by a bar, so that no run closes over a gap.
     rows = rows.withColumn("_left", F.col("sentence_ids"))
@@ -179,13 +195,15 @@ def scan_sql() -> str:
         steps.append(f"r{k} AS (SELECT *, CASE WHEN contains({before}, '{rule_text(run)}') THEN '{licence}' END AS hit{k}, "
                      f"replace({before}, '{rule_text(run)}', '|') AS left{k + 1} FROM {'ids' if k == 0 else f'r{k - 1}'})")
         names.append(f"hit{k}")
-    hints = (*HINTS, "cc by", "cc0", "creative commons")
+    joined = "t"
+    for pattern, text in JOINS:
+        joined = f"regexp_replace({joined}, '{pattern}', '{text}', 'g')"
     return f"""
 WITH low AS (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents),
-cut AS (SELECT doc_id, list_transform(string_split_regex(CASE WHEN {any_of('t', HINTS)} THEN t ELSE '' END,
-    '{SENTENCE_END}'), lambda s: trim(regexp_replace(s, '{NOISE}', ' ', 'g'))) AS parts FROM low),
-ids AS (SELECT doc_id, array_to_string(list_transform(list_filter(parts, lambda s: {any_of('s', hints)}),
-    lambda s: CASE {cases} ELSE '<{UNKNOWN}>' END), '') AS sentence_ids, sentence_ids AS left0 FROM cut),
+joined AS (SELECT doc_id, {joined} AS t FROM low),
+cut AS (SELECT doc_id, list_transform(string_split_regex(t, '{SENTENCE_END}'), lambda s: trim(regexp_replace(s, '{NOISE}', ' ', 'g'))) AS parts FROM joined),
+ids AS (SELECT doc_id, array_to_string(list_filter(list_transform(parts, lambda s: CASE {cases} WHEN {any_of('s', HINTS)} THEN '<{UNKNOWN}>' END),
+    lambda x: x IS NOT NULL), '') AS sentence_ids, sentence_ids AS left0 FROM cut),
 {', '.join(steps)},
 out AS (SELECT doc_id, sentence_ids, list_filter([{', '.join(names)}], lambda x: x IS NOT NULL) AS hits,
     (length(sentence_ids) - length(replace(sentence_ids, '<', ''))) AS total,

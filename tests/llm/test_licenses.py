@@ -1,5 +1,11 @@
 """Licence scan on hand-computed texts."""
 
+import re
+import time
+from re import _constants as code
+from re import _parser as parser
+
+import duckdb
 import pytest
 
 from shelfmark.llm import licenses
@@ -52,7 +58,8 @@ ALONE = {
     "Texts: CC0": ("CC0", "CC0"), "CC0-1.0": ("CC0", "CC0"), "Public Domain\nDedication": ("CC0", "CC0"),
     "This work is released into the public\n domain.": ("PublicDomain", "Public-Domain"),
     'The software is provided "as is".': ("AsIs", ""), 'This software is provided by the authors "as is".': ("BSDAsIs", ""),
-    "Neither the name of X nor Y may be used to endorse or promote Z.": ("BSDEndorse", ""),
+    "Neither the name of X nor Y may be used to endorse or promote Z.": ("BSDEndorse", ""), "All rights reserved.": ("Copyright", ""),
+    "Some words. All Rights\nReserved": ("Copyright", ""),
 }
 
 
@@ -63,3 +70,55 @@ def test_a_sentence_of_the_table_alone(spark):
 
 def test_parts_of_words_are_no_licence(spark):
     assert scan(spark, ['token = "bee4a2827eb113d73cb298acc0f7"', "Provided by mail, of course", "In the domain of creative work"]) == [("", "", 0, 0, "none")] * 3
+
+
+def by_sql(texts):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    return [tuple(r)[1:] for r in con.execute(licenses.scan_sql() + " ORDER BY doc_id").fetchall()]
+
+
+def test_sql_says_the_same(spark):
+    texts = [f"# SPDX-License-Identifier: {key}\nimport os\n" for key in SPDX] + list(ALONE)
+    texts += [GRANT.format(*x) for x in ((":", "", ", either version 3", ""), (";", "Lesser ", "; either version 2.1", " * "))]
+    texts += ["", "...", "a licence we do not know.. And more; copyright 2020 X", "in the domain. of creative work: success according to cc", "license" + "." * 50,
+              "x\n \t\ny license\n\n\nz. copyright (c) 1999", "GNU General Public License version 2 and any later version, or v3"]
+    assert scan(spark, texts) == by_sql(texts)
+
+
+def test_time_grows_with_the_text(spark):
+    texts = ["license " + "." * 1_000_000, "license " + ".;:!?" * 200_000 + "x", "gnu general public license version 3 " * 5_000,
+             "this software is provided by the " * 5_000 + "license", "neither the name of " * 5_000, "license" + "\n \t\r" * 100_000,
+             "free software " * 20_000 + "license", "spdx - license - " * 20_000]
+    begun = time.perf_counter()
+    got = scan(spark, texts)
+    assert time.perf_counter() - begun < 40
+    assert got[0] == ("<Unknown>", "", 0, 1, "unknown") and got[2][0] == "<GPLv3>"
+
+
+def samples(node):
+    """Texts that a parsed pattern matches: every alternative, optional parts with and without."""
+    out = [""]
+    for kind, value in node:
+        if kind == code.LITERAL:
+            more = [chr(value)]
+        elif kind == code.BRANCH:
+            more = [t for branch in value[1] for t in samples(branch)]
+        elif kind == code.SUBPATTERN:
+            more = samples(value[-1])
+        elif kind == code.MAX_REPEAT:
+            more = ([""] if value[0] == 0 else []) + ([" x "] if value[2][0][0] == code.ANY else samples(value[2]))
+        elif kind == code.IN:
+            more = ["0"]
+        else:
+            more = [""]  # a boundary
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_every_pattern_has_a_clue():
+    for name, pattern in licenses.SENTENCES:
+        for text in samples(parser.parse(pattern)):
+            assert re.search(pattern, text), (name, text)
+            assert any(c in text for c in licenses.CLUES), (name, text)
