@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes.
 
-The patterns give the base spans. The field is trained on a small labelled table of word stretches, and
+The patterns give the base spans. The field is trained on a small table labelled by hand (`pii_labels`), and
 its Viterbi decoding (numpy, all stretches of a batch at once) adds spans that the patterns miss, such as
 numbers written in another way. A tag other than "outside" is allowed only within `REACH` words of a word
 with a digit or an @; the chain is "outside" everywhere else, so stretches are decoded on their own and
-the result is that of decoding the whole text.
+the result is that of decoding the whole text. A span is cut to its entity and held against what its kind
+cannot be (`sound`), so that no card failing Luhn and no address with a part over 255 comes back as one.
 """
 
 from __future__ import annotations
@@ -20,14 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import clean_text
+from shelfmark.llm.pii_labels import LINES, parse
 from shelfmark.llm.wordhash import slices
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *[f"{p}-{k}" for k in KINDS for p in ("B", "I")])
 REACH = 3
-#: Documents (chosen by hash of doc_id where there are more) from which the labelled table is taken, and
-#: the stretches kept of one document.
-SAMPLE_DOCS, STRETCHES = 20_000, 20
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -117,20 +116,30 @@ def stretches(text: str) -> Iterator[list[Span]]:
         yield run
 
 
+class _Signs(dict):
+    """The class of a character: digit, capital, letter, or itself."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = "9" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c
+        return self[code]
+
+
+SIGNS = _Signs()
+REPEATED = re.compile(r"(.)\1+", re.DOTALL)
+
+
 def shape(word: str) -> str:
-    """Classes of the word's characters, runs of one class as one sign."""
-    out = []
-    for c in word[:200]:
-        s = "9" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c
-        if not out or out[-1] != s:
-            out.append(s)
-    return "".join(out[:24])
+    """Classes of the word's characters, runs of one class as one sign; a digest of a long one."""
+    out = REPEATED.sub(r"\1", word.translate(SIGNS))
+    return out if len(out) <= 24 else hashlib.blake2b(out.encode("utf-8", "replace"), digest_size=8).hexdigest()
 
 
 def features(words: Sequence[str]) -> list[list[str]]:
-    """Shape features of every word and of its neighbours."""
+    """Shape features of every word and of its neighbours, and the neighbours themselves."""
     shapes = [shape(w) for w in words]
     around = ["^", *shapes, "$"]
+    named = ["^", *(w.strip(".,;:!?").lower() if len(w) <= 24 else "" for w in words), "$"]
     out = []
     for i, w in enumerate(words):
         digits = sum("0" <= c <= "9" for c in w)
@@ -139,6 +148,7 @@ def features(words: Sequence[str]) -> list[list[str]]:
             f"s={shapes[i]}", f"p={around[i]}", f"n={around[i + 2]}", f"d={min(digits, 20)}",
             f"sd={shapes[i]}/{min(digits, 20)}", f"sp={shapes[i]}/{around[i]}", f"sn={shapes[i]}/{around[i + 2]}",
             f"f={edges[:1] if not edges[:1].isalnum() else shapes[i][:1]}", f"l={min(len(w), 24)}",
+            f"pw={named[i]}", f"nw={named[i + 2]}", f"pd={min(sum('0' <= c <= '9' for c in words[i - 1]), 5) if i else -1}",
         ])
     return out
 
@@ -273,30 +283,33 @@ def tag_words(spans: dict[str, list[Span]], words: list[Span]) -> list[int]:
     return tags
 
 
-def labelled_table(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[tuple[list[str], list[int]]]:
-    """Word stretches of a bounded sample of documents, labelled by the patterns.
+def labelled_table(lines: Sequence[str] = LINES) -> list[tuple[list[str], list[int]]]:
+    """Words and tags of the labelled lines, as many and as long as the stretches that are decoded."""
+    table = []
+    for text, spans in map(parse, lines):
+        for run in stretches(text):
+            table.append(([text[b:e] for b, e in run], tag_words(spans, run)))
+    return table
+
+
+#: The entity inside the words of a span: what may stand at its ends.
+ENTITY = {"email": re.compile(r"[^\W_].*[^\W_]", re.DOTALL), "ip": re.compile(r"[0-9].*[0-9]", re.DOTALL),
+          "card": re.compile(r"[0-9].*[0-9]", re.DOTALL), "phone": re.compile(r"[+(]?[0-9].*[0-9]", re.DOTALL)}
+DIGITS = re.compile(r"[0-9]+")
 
-    At most about `sample_docs` documents and STRETCHES stretches of up to 40 words of each reach the driver.
-    """
-    share = min(1.0, sample_docs / max(docs.count(), 1))
-    grid = 1 << 30
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(grid)) < int(grid * share)).select(clean_text().alias("_t"))
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
-            words, tags = [], []
-            for text in batch.column(0).to_pylist():
-                spans = base_spans(text)
-                for k, run in enumerate(stretches(text)):
-                    if k == STRETCHES:
-                        break
-                    words.append([text[b:min(e, b + 200)] for b, e in run[:40]])
-                    tags.append(tag_words(spans, run[:40]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.list_(pa.string())), pa.array(tags, pa.list_(pa.int32()))], ["words", "tags"])
 
-    table = chosen.mapInArrow(label, "words array<string>, tags array<int>").distinct().toArrow()
-    return sorted(zip(table.column("words").to_pylist(), table.column("tags").to_pylist()))
+def sound(kind: str, part: str) -> bool:
+    """What the kind demands, however it is written."""
+    numbers = DIGITS.findall(part)
+    digits = "".join(numbers)
+    if kind == "email":
+        return part.count("@") == 1
+    if kind == "ip":
+        return len(numbers) == 4 and all(len(n.lstrip("0")) <= 3 and int(n.lstrip("0") or 0) <= 255 for n in numbers)
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    # Four numbers up to 255 between dots are an address, or fail as one; so is a long number that fails as a card.
+    return 7 <= len(digits) <= 15 and not re.fullmatch(r"[0-9]+(\.[0-9]+){3}", part)
 
 
 def added_spans(texts: list[str], base: list[dict[str, list[Span]]], field: Field) -> list[dict[str, list[Span]]]:
@@ -316,11 +329,10 @@ def added_spans(texts: list[str], base: list[dict[str, list[Span]]], field: Fiel
                 while end < len(tags) and TAGS[tags[end]] == "I" + name[1:]:
                     end += 1
                 b, e = run[at][0], run[end - 1][1]
-                part = texts[i][b:e]
-                b += len(part) - len(part.lstrip(".,;:!?\"'()<>[]"))
-                e -= len(part) - len(part.rstrip(".,;:!?\"'()<>[]"))
-                if b < e and not any(x < e and b < y for found in base[i].values() for x, y in found):
-                    out[i][name[2:]].append((b, e))
+                if entity := ENTITY[name[2:]].search(texts[i], b, e):
+                    b, e = entity.span()
+                    if sound(name[2:], texts[i][b:e]) and not any(x < e and b < y for found in base[i].values() for x, y in found):
+                        out[i][name[2:]].append((b, e))
             at = end
     return out
 

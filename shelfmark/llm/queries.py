@@ -76,8 +76,7 @@ def op5_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    return pii.find_personal_data(docs, pii.train_field(pii.labelled_table(docs)))
+    return pii.find_personal_data(read(spark, sf_dir, "documents"), pii.train_field(pii.labelled_table()))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
