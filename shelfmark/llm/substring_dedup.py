@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import checkpointed
-from shelfmark.llm.wordhash import bytes_of, mix, shingle_hashes, slices, word_hashes
+from shelfmark.llm.wordhash import bytes_of, shingle_hashes, slices, word_hashes
 
 WINDOW = 13
 GRAM = 6
@@ -64,8 +64,10 @@ def _rows(column: pa.Array) -> Iterator[tuple[np.ndarray, bytes, np.ndarray, np.
         yield words[b:e], raw[at[row]:at[row + 1]].tobytes(), first[b:e] - at[row], last[b:e] - at[row]
 
 
-def _key(words: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(words.tobytes()) - (1 << 63)
+def _keys(raw: bytes) -> tuple[int, int]:
+    """128 bits of a word sequence, as two signed numbers."""
+    both = xxhash.xxh3_128_intdigest(b" ".join(raw.split()))
+    return (both & ((1 << 64) - 1)) - (1 << 63), (both >> 64) - (1 << 63)
 
 
 def _longs(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -74,35 +76,35 @@ def _longs(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _measured(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Row facts: number of words, key of the word sequence, digest of all words, whether a common anchor is in it."""
+    """Row facts: number of words, both keys of the word sequence, digest of all words, whether a common anchor is in it."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             counts, keys, hashes, touched = [], [], [], []
             for words, raw, _, _ in _rows(batch.column(1)):
                 counts.append(len(words))
-                keys.append(_key(words) if len(words) >= WINDOW else None)
+                keys.append(_keys(raw) if len(words) >= WINDOW else (None, None))
                 hashes.append(hashlib.sha256(b" ".join(raw.split())).hexdigest())
                 touched.append(bool(len(common) and np.isin(window_anchors(words), common).any()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()),
+                [batch.column(0), pa.array(counts, pa.int64()), *(pa.array(k, pa.int64()) for k in zip(*keys)),
                  pa.array(hashes, pa.string()), pa.array(touched, pa.bool_())],
-                ["doc_id", "n_words", "key", "sha", "touched"])
+                ["doc_id", "n_words", "key", "key2", "sha", "touched"])
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
-        measure, f"doc_id {kind}, n_words bigint, key bigint, sha string, touched boolean")
+        measure, f"doc_id {kind}, n_words bigint, key bigint, key2 bigint, sha string, touched boolean")
 
 
 def _anchors(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(anchor, key) of all anchors that are not common."""
+    """(anchor, key) of all anchors that are not common; half of the key will do to see that texts differ."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
             keys, found = [], []
-            for words, _, _, _ in _rows(batch.column(0)):
+            for words, raw, _, _ in _rows(batch.column(0)):
                 if len(words) >= WINDOW:
                     own = np.setdiff1d(window_anchors(words), common)
                     found.append(own)
-                    keys.append(np.full(len(own), _key(words), np.int64))
+                    keys.append(np.full(len(own), _keys(raw)[0], np.int64))
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(keys))], ["anchor", "key"])
@@ -124,13 +126,17 @@ def _common_anchors(docs: DataFrame) -> np.ndarray:
 
 
 def _windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Windows of (doc, key, text, anchors) whose anchor is listed or common: 96 bits of hash, doc, key, position."""
+    """Windows of (doc, key, text, anchors) whose anchor is listed or common: 128 bits of hash, doc, key, position.
+
+    The two halves are of word hashes with seeds of their own, so they are independent.
+    """
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
             out: list[tuple[np.ndarray, ...]] = []
-            for row, (words, _, _, _) in enumerate(_rows(batch.column(2))):
+            others, _, _, edges = word_hashes(batch.column(2), seed=1)
+            for row, (words, raw, _, _) in enumerate(_rows(batch.column(2))):
                 key = batch.column(1)[row].as_py()
-                if len(words) < WINDOW or _key(words) != key:
+                if len(words) < WINDOW or _keys(raw)[0] != key:
                     continue
                 listed = batch.column(3)[row]
                 listed = listed.values.to_numpy(zero_copy_only=False).view(np.uint64) if listed.is_valid else common[:0]
@@ -138,17 +144,16 @@ def _windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 often = np.isin(anchors, common)
                 at = np.flatnonzero(often | np.isin(anchors, listed))
                 one = shingle_hashes(words, WINDOW)[at]
-                two = shingle_hashes(mix(words ^ np.uint64(0xA5A5A5A5A5A5A5A5)), WINDOW)[at]
-                out.append((one.view(np.int64), (two >> np.uint64(32)).view(np.int64) - (1 << 31),
-                            np.full(len(at), batch.column(0)[row].as_py()), np.full(len(at), key), at, often[at]))
+                two = shingle_hashes(others[edges[row]:edges[row + 1]], WINDOW)[at]
+                out.append((one.view(np.int64), two.view(np.int64), np.full(len(at), batch.column(0)[row].as_py()), np.full(len(at), key), at, often[at]))
             if out:
                 h, g, doc, key, pos, often = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(g.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(doc.astype(np.int64)),
+                    [pa.array(h), pa.array(g), pa.array(pos.astype(np.int32)), pa.array(doc.astype(np.int64)),
                      pa.array(key.astype(np.int64)), pa.array(often)], ["h", "g", "pos", "doc", "key", "often"])
 
     # What stays the same from window to window comes last, where shuffle files compress it away.
-    return docs.mapInArrow(look, "h bigint, g int, pos int, doc bigint, key bigint, often boolean")
+    return docs.mapInArrow(look, "h bigint, g bigint, pos int, doc bigint, key bigint, often boolean")
 
 
 def factors(positions: np.ndarray, references: np.ndarray) -> list[tuple[int, int, int]]:
@@ -167,7 +172,7 @@ def _kept(docs: DataFrame) -> DataFrame:
             ids, keys, removed, hashes = [], [], [], []
             for row, (words, raw, first, last) in enumerate(_rows(batch.column(2))):
                 key = batch.column(1)[row].as_py()
-                if _key(words) != key:
+                if _keys(raw)[0] != key:
                     continue
                 at, refs = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (3, 4))
                 gone = np.zeros(len(words), bool)
@@ -200,7 +205,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     common = _common_anchors(docs)
     rows = checkpointed(_measured(docs, common))
     order = F.coalesce("doc_id", F.lit(LAST))
-    classes = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(
+    classes = rows.filter(F.col("key").isNotNull()).groupBy("key", "key2").agg(
         F.min(order).alias("doc"), F.max("touched").alias("touched"))
 
     texts_at = Window.partitionBy("anchor")
@@ -226,8 +231,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     parsed = docs.select(order.alias("doc"), "text").join(hits, "doc").select("doc", "key", "text", "pos", "ref")
     stripped = _kept(parsed).distinct()
 
-    first = classes.select(F.col("key").alias("_k"), F.col("doc").alias("_first"))
-    out = rows.join(first, F.col("key") == F.col("_k"), "left").join(
+    first = classes.select(F.col("key").alias("_k"), F.col("key2").alias("_k2"), F.col("doc").alias("_first"))
+    out = rows.join(first, (F.col("key") == F.col("_k")) & (F.col("key2") == F.col("_k2")), "left").join(
         stripped, (order == F.col("_id")) & (F.col("key") == F.col("_key")), "left")
     copy = F.col("_first") < order
     return out.select(

@@ -1,8 +1,10 @@
 """Word and shingle hashes of Arrow text columns in whole-array operations.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
-Its hash is a polynomial of its bytes modulo 2**64, then mixed; words, and runs of words, that are equal
-have equal hashes in every process. Texts are read in pieces of bounded size, cut at white space.
+Its hash takes eight bytes at a time into a state that is mixed after each (longer words end with xxh3), so
+that no pattern of letters makes two words equal; a second seed gives an independent hash. Words, and runs of
+words, that are equal have equal hashes in every process. Texts are read in pieces of bounded size, cut at
+white space.
 """
 
 from __future__ import annotations
@@ -11,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 PIECE = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -30,18 +32,30 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_tables: dict[str, np.ndarray] = {}
-
-
-def _powers(name: str, base: int, n: int) -> np.ndarray:
-    table = _tables.get(name)
-    if table is None or len(table) < n:
-        steps = np.full(max(n, PIECE + 4096), base, np.uint64)
-        steps[0] = 1
-        table = np.cumprod(steps, dtype=np.uint64)
-        if len(table) <= 4 * PIECE:
-            _tables[name] = table
-    return table[:n]
+#: The first 0 to 8 bytes of a little-endian 64-bit value.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes of a word that are taken in whole-array rounds.
+LONG = 64
+
+
+def _hashes(piece: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of the words of a piece, given by their first and end bytes."""
+    padded = np.zeros(len(piece) + 8, np.uint8)
+    padded[:len(piece)] = piece
+    eight = np.ndarray(len(piece) + 1, "<u8", padded, strides=(1,))
+    length = last - first
+    out = mix(length.astype(np.uint64) + np.uint64(BASE * (seed + 1) & ((1 << 64) - 1)))
+    rows, at, left = slice(None), first, length
+    for done in range(0, LONG, 8):
+        out[rows] = mix(out[rows] ^ (eight[at] & FIRST[np.minimum(left, 8)]))
+        more = left > 8
+        rows = np.flatnonzero(more) if done == 0 else rows[more]
+        if not len(rows):
+            return out
+        at, left = at[more] + 8, left[more] - 8
+    rest = [xxhash.xxh3_64_intdigest(piece[a:a + n].tobytes(), seed) for a, n in zip(at.tolist(), left.tolist())]
+    out[rows] = mix(out[rows] ^ np.array(rest, np.uint64))
+    return out
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +69,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def word_hashes(column: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, lower: bool = False, space: np.ndarray = SPACE, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end byte of every word of a column, and the row offsets in words.
 
     `space` marks the bytes between words.
@@ -88,10 +102,7 @@ def word_hashes(column: pa.Array, lower: bool = False, space: np.ndarray = SPACE
             before = inner - 1
             done[before[word[before]]] = True
         first, last = np.flatnonzero(fresh), np.flatnonzero(done) + 1
-        values = (LOWER[piece] if lower else piece).astype(np.uint64) + np.uint64(1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers("up", BASE, len(piece)), dtype=np.uint64)])
-        hashes = mix((sums[last] - sums[first]) * _powers("down", INVERSE, len(piece))[first] + (last - first).astype(np.uint64))
-        out.append((hashes, first + begin, last + begin))
+        out.append((_hashes(LOWER[piece] if lower else piece, first, last, seed), first + begin, last + begin))
         begin = end
     if not out:
         out.append((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
