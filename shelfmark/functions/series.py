@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import decay_depth, growth
-from shelfmark.functions.skew import MAX_ROWS, POS, blocks, routed, running, time_cells, whole
+from shelfmark.functions.skew import MAX_ROWS, POS, behind, blocks, numbered, routed, running, whole
 
 SPAN = 256  # rows per stretch in which an exponential weight is kept relative
 STRETCH = "_stretch"
+# Of a resumed series: rows of the run before, its sums at the last of them, number of the first row, sums so far.
+OLD, SEED, OFFSET, CARRIED = "_old", "_seed", "_offset", "_carried"
+EXACT = "decimal(38,12)"  # running totals of a long series lose nothing that a window's difference shows
 MICROS = "_us"  # sample time; a frame that has it keeps one sort order through several steps
 
 
@@ -115,14 +118,30 @@ def sma_days(df: DataFrame, days: int = 7, by: Sequence[str] = ("item_id",), val
     """Simple moving average over the trailing `days` days, the left end open."""
     span = days * 86_400_000_000
 
-    def plan(rows_in: DataFrame, heavy: bool) -> DataFrame:
-        d, part = time_cells(rows_in, by, "timestamp", span, heavy)
-        w = Window.partitionBy(*part).orderBy(F.unix_micros("timestamp")).rangeBetween(-span + 1, 0)
-        return whole(d.withColumn(alias, F.avg(value).over(w)), heavy)
+    def plan(rows: DataFrame, heavy: bool) -> DataFrame:
+        if not heavy:
+            w = Window.partitionBy(*by).orderBy(F.unix_micros("timestamp")).rangeBetween(-span + 1, 0)
+            return rows.withColumn(alias, F.avg(value).over(w))
+        # One row per instant: samples of one instant share their mean.
+        at = rows.groupBy(*by, F.unix_micros("timestamp").alias(MICROS)).agg(
+            F.sum(F.col(value).cast(EXACT)).alias("_sum"), F.count(value).alias("_n"))
+        means = _mean_behind(at, by, span, max_rows).select(*by, MICROS, F.col("_mean").alias(alias))
+        return rows.withColumn(MICROS, F.unix_micros("timestamp")).join(means, [*by, MICROS]).drop(MICROS).select(
+            *rows.columns, alias)
 
     return routed(df, by, order_of(df), max_rows, plan, number=False)
 
 
+def _mean_behind(at: DataFrame, by: Sequence[str], span: int, max_rows: int) -> DataFrame:
+    """Mean over the trailing span for heavy keys, from (key, MICROS, _sum, _n): difference of running totals."""
+    d, _ = blocks(numbered(at, by, [MICROS], max_rows), by, 1, max_rows, True)
+    d = whole(running(d, by, [POS], True, totals={"_all": "_sum", "_count": "_n"}), True)
+    d = d.withColumns({"_all_before": F.col("_all") - F.coalesce("_sum", F.lit(0)), "_count_before": F.col("_count") - F.col("_n")})
+    d = behind(d, by, MICROS, F.col(MICROS) - F.lit(span), ["_all_before", "_count_before"], "_edge", max_rows)
+    total = (F.col("_all") - F.col("_edge._all_before")).cast("double")
+    return d.withColumn("_mean", F.try_divide(total, (F.col("_count") - F.col("_edge._count_before")).cast("double")))
+
+
 def ema(df: DataFrame, n: int = 14, by: Sequence[str] = ("item_id",), value: str = "price",
         alias: str = "ema_14", max_rows: int = MAX_ROWS) -> DataFrame:
     """Exponential moving average with weight `2 / (n + 1)`, started by the first value."""
@@ -156,7 +175,12 @@ def indicators(df: DataFrame, names: dict[str, str], by: Sequence[str] = ("item_
 
 def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str], value: str = "price",
                    sma_rows: int = 7, ema_n: int = 14, rsi_n: int = 14, method: str = "wilder",
-                   max_rows: int = MAX_ROWS) -> Callable[[DataFrame, bool], DataFrame]:
+                   max_rows: int = MAX_ROWS, resume: bool = False) -> Callable[[DataFrame, bool], DataFrame]:
+    """Adds the indicators of `names`.
+
+    With `resume` a key begins with rows of an earlier run (`OLD`), the last of which carries that run's sums
+    (`SEED`); its rows are then numbered from `OFFSET` on, and the sums stay in the result (`CARRIED`).
+    """
     if min(ema_n, rsi_n) < 2:
         raise ValueError("periods must be at least 2")
     if method not in ("wilder", "cutler"):
@@ -174,6 +198,12 @@ def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str
         ordered = Window.partitionBy(*part).orderBy(*order)
         d = _position(d, part, order, heavy)
         x = F.col(value).cast("double")
+        place = F.col(POS) + F.coalesce(F.col(OFFSET), F.lit(0)) if resume else F.col(POS)
+
+        def new(term: Column, seed: str, none: Column = F.lit(0.0)) -> Column:
+            """What a row adds: the carried sum at the last earlier row, nothing at those before it."""
+            return F.when(F.col(SEED).isNotNull(), F.col(f"{SEED}.{seed}")).when(F.col(OLD), none).otherwise(term) if resume else term
+
         totals, fills, sums = {}, {}, {}
         if "sma" in names:
             d = d.withColumn(names["sma"], F.avg(x).over(ordered.rowsBetween(-(sma_rows - 1), 0)))
@@ -188,13 +218,13 @@ def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str
                 d = d.withColumns({"_up": F.avg("_gain").over(w), "_down": F.avg("_loss").over(w)})
             else:
                 # The first n moves weigh the same at move n, which is their mean there.
-                seed = F.when(F.col(POS) <= rsi_n, F.pow(F.lit(rsi_decay), F.col(POS) - rsi_n))
+                seed = F.when(place <= rsi_n, F.pow(F.lit(rsi_decay), place - rsi_n))
                 weight = F.coalesce(seed, F.lit(1.0)) / rsi_n
-                sums["_up"] = (F.col("_gain") * weight, rsi_decay)
-                sums["_down"] = (F.col("_loss") * weight, rsi_decay)
+                sums["_up"] = (new(F.col("_gain") * weight, "up"), rsi_decay)
+                sums["_down"] = (new(F.col("_loss") * weight, "down"), rsi_decay)
         if "ema" in names:
-            start = F.when(F.col(POS) == 0, x).otherwise(x * (1 - ema_decay))
-            sums[names["ema"]] = (start, ema_decay)
+            start = F.when(place == 0, x).otherwise(x * (1 - ema_decay))
+            sums[names["ema"]] = (new(start, "ema"), ema_decay)
         if sums:
             d = _decayed(d, part, sums)
         if "rsi" in names:
@@ -203,22 +233,24 @@ def indicator_step(order: Sequence[str], names: dict[str, str], by: Sequence[str
                 .when(F.col("_down") == 0, F.lit(100.0))
                 .otherwise(F.lit(100.0) - F.lit(100.0) / (1 + F.col("_up") / F.col("_down")))
             )
-            known = F.col(POS) >= rsi_n
+            known = place >= rsi_n
             if method == "wilder":
                 # A sample without a move leaves the index as it was, however far back the move is.
-                moved = (F.col("_move") != 0) | (F.col(POS) == rsi_n)
-                d = d.withColumn("_level", F.when(known & moved, level))
+                moved = (F.col("_move") != 0) | (place == rsi_n)
+                d = d.withColumn("_level", new(F.when(known & moved, level), "rsi", F.lit(None)))
                 fills[names["rsi"]] = "_level"
             else:
                 d = d.withColumn(names["rsi"], F.when(known, level))
         if "changes" in names:
             moved = F.coalesce(F.col("_move") != 0, F.lit(False))
-            d = d.withColumn("_changed", moved.cast("bigint"))
+            d = d.withColumn("_changed", new(moved.cast("bigint"), "changes", F.lit(0)))
             totals[names["changes"]] = "_changed"
         if totals or fills:
             # The order in which the decayed sums left the rows, which is also that of the samples.
             sorted_by = [STRETCH, POS] if sums else order
             d = running(d, by, sorted_by, heavy, totals, fills)
+        if resume:
+            d = d.withColumn(CARRIED, F.struct(place.alias("place"), F.col("_up").alias("up"), F.col("_down").alias("down")))
         d = whole(d, heavy).drop("_move", "_gain", "_loss", "_up", "_down", "_level", "_changed", STRETCH)
         return d if heavy else d.drop(POS)
 
@@ -237,39 +269,48 @@ def in_window(df: DataFrame, window: str, measures: Sequence[str], by: Sequence[
     predecessor there. A drop counts as a reset for the rate, adding the new value; the rate is NULL
     when the window holds one sample.
     """
-    step = window_step(micros_of(df, window), measures, by, value, names)
-    return routed(df, by, order_of(df), max_rows, step, number=False)
+    step = window_step(micros_of(df, window), measures, by, value, names, max_rows)
+    return routed(df, by, order_of(df), max_rows, step)
 
 
 def window_step(span: int, measures: Sequence[str], by: Sequence[str], value: str = "price",
-                names: dict[str, str] | None = None) -> Callable[[DataFrame, bool], DataFrame]:
+                names: dict[str, str] | None = None, max_rows: int = MAX_ROWS) -> Callable[[DataFrame, bool], DataFrame]:
     names = {m: m for m in measures} | (names or {})
 
     def step(rows: DataFrame, heavy: bool) -> DataFrame:
-        d, part = time_cells(rows, by, "timestamp", span, heavy)
+        d, part = blocks(rows, by, 1, max_rows, heavy)
         if MICROS not in d.columns:
             d = d.withColumn(MICROS, F.unix_micros("timestamp"))
         d = d.withColumn("_x", F.col(value).cast("double"))
         ordered = Window.partitionBy(*part).orderBy(MICROS)
-        frame = ordered.rangeBetween(-span + 1, 0)
         d = d.withColumn("_last_x", F.lag("_x").over(ordered))
         rise = F.when(F.col("_x") < F.col("_last_x"), F.col("_x")).otherwise(F.col("_x") - F.col("_last_x"))
         d = d.withColumns({
             "_diff": F.coalesce(F.col("_x") != F.col("_last_x"), F.lit(False)).cast("bigint"),
             "_rise": F.coalesce(rise, F.lit(0.0)),
         })
+        if heavy:
+            # Totals from the start of the key, and those of the first row in the window.
+            d = d.withColumn("_up_by", F.col("_rise").cast(EXACT))
+            d = whole(running(d, by, [POS], True, totals={"_diffs": "_diff", "_rises": "_up_by"}), True)
+            d = behind(d, by, MICROS, F.col(MICROS) - F.lit(span), ["_diffs", "_rises", "_x", MICROS], "_edge", max_rows)
+            start, since = F.col("_edge._x"), F.col(f"_edge.{MICROS}")
+            changed = F.col("_diffs") - F.col("_edge._diffs")
+            risen = (F.col("_rises") - F.col("_edge._rises")).cast("double")
+        else:
+            frame = ordered.rangeBetween(-span + 1, 0)
+            start, since = F.first("_x").over(frame), F.first(MICROS).over(frame)
+            changed = F.sum("_diff").over(frame) - F.first("_diff").over(frame)
+            risen = F.sum("_rise").over(frame) - F.first("_rise").over(frame)
         out = {}
         if "changes" in measures:
-            out[names["changes"]] = F.sum("_diff").over(frame) - F.first("_diff").over(frame)
+            out[names["changes"]] = changed
         if "rate" in measures:
-            seconds = (F.col(MICROS) - F.first(MICROS).over(frame)) / 1e6
-            out[names["rate"]] = F.try_divide(
-                F.sum("_rise").over(frame) - F.first("_rise").over(frame), F.nullif(seconds, F.lit(0.0)))
+            out[names["rate"]] = F.try_divide(risen, F.nullif((F.col(MICROS) - since) / 1e6, F.lit(0.0)))
         if "pct_change" in measures:
-            start = F.first("_x").over(frame)
             out[names["pct_change"]] = (F.col("_x") - start) / F.nullif(start, F.lit(0.0)) * 100
         kept = () if MICROS in rows.columns else (MICROS,)
-        return whole(d.withColumns(out), heavy).drop("_x", "_last_x", "_diff", "_rise", *kept)
+        return d.withColumns(out).drop("_x", "_last_x", "_diff", "_rise", "_up_by", "_diffs", "_rises", "_edge", *kept)
 
     return step
 
@@ -297,15 +338,20 @@ def held_since(df: DataFrame, conditions: dict[str, Column], by: Sequence[str] =
 
 
 def hold_step(order: Sequence[str], conditions: dict[str, Column], by: Sequence[str],
-              max_rows: int = MAX_ROWS) -> Callable[[DataFrame, bool], DataFrame]:
+              max_rows: int = MAX_ROWS, resume: bool = False) -> Callable[[DataFrame, bool], DataFrame]:
+    """Adds for each condition since when it holds; with `resume`, see `indicator_step`."""
     def step(rows: DataFrame, heavy: bool) -> DataFrame:
         d, part = blocks(rows, by, 1, max_rows, heavy)
-        d = d.withColumns({f"_is_{k}": F.coalesce(c, F.lit(False)) for k, c in conditions.items()})
+        truth = {f"_is_{k}": F.coalesce(c, F.lit(False)) for k, c in conditions.items()}
+        if resume:
+            truth = {f"_is_{k}": F.when(F.col(SEED).isNotNull(), F.col(f"{SEED}.{k}").isNotNull()).when(
+                F.col(OLD), F.lit(False)).otherwise(truth[f"_is_{k}"]) for k in conditions}
+        d = d.withColumns(truth)
         w = Window.partitionBy(*part).orderBy(*order)
-        d = d.withColumns({
-            f"_from_{k}": F.when(F.col(f"_is_{k}") & ~F.lag(f"_is_{k}", 1, False).over(w), F.col("timestamp"))
-            for k in conditions
-        })
+        entered = {k: F.when(F.col(f"_is_{k}") & ~F.lag(f"_is_{k}", 1, False).over(w), F.col("timestamp")) for k in conditions}
+        if resume:
+            entered = {k: F.coalesce(F.col(f"{SEED}.{k}"), e) for k, e in entered.items()}
+        d = d.withColumns({f"_from_{k}": e for k, e in entered.items()})
         d = running(d, by, order, heavy, fills={k: f"_from_{k}" for k in conditions})
         d = d.withColumns({k: F.when(F.col(f"_is_{k}"), F.col(k)) for k in conditions})
         return whole(d, heavy).drop(*[f"{p}{k}" for k in conditions for p in ("_is_", "_from_")])

@@ -221,11 +221,21 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], heavy: boo
     }).drop(*names)
 
 
-def time_cells(df: DataFrame, keys: Sequence[str], ts: str, micros: int,
-               heavy: bool) -> tuple[DataFrame, list[str]]:
-    """Cells of one window length for range frames of heavy keys; each row also serves the next cell."""
-    if not heavy:
-        return df, list(keys)
-    home = F.floor(F.unix_micros(ts) / F.lit(micros))
-    df = df.withColumn(BLOCK, F.explode(F.array(home, home + 1))).withColumn(HALO, F.col(BLOCK) != home)
-    return df, [*keys, BLOCK]
+def behind(df: DataFrame, keys: Sequence[str], at: str, before: Column, payload: Sequence[str], name: str,
+           max_rows: int) -> DataFrame:
+    """For each row of heavy keys, `payload` of the first row of the key whose `at` is above `before`.
+
+    `at` is a whole number that no two rows of a key share. Rows and the edges they look for are put into one
+    descending order, numbered and cut into blocks; the last row seen before an edge is the one it looks for,
+    and one state row per block carries it over. No task gets more than about `max_rows` rows of a key, however
+    many of them one range holds.
+    """
+    kept = [F.col(POS).alias("_own")] if POS in df.columns else []
+    own = F.struct(*[c for c in df.columns if c not in (*keys, POS)], *kept)
+    rows = df.select(*keys, (-F.col(at)).alias("_at"), F.lit(1).alias("_kind"), F.struct(*payload).alias("_seen"))
+    edges = df.select(*keys, (-before).alias("_at"), F.lit(0).alias("_kind"), own.alias("_row"))
+    both = numbered(rows.unionByName(edges, allowMissingColumns=True), keys, ["_at", "_kind"], max_rows)
+    cut, _ = blocks(both, keys, 1, max_rows, True)
+    found = whole(running(cut, keys, [POS], True, fills={name: "_seen"}), True)
+    out = found.filter("_kind = 0").select(*keys, "_row.*", name)
+    return out.withColumnRenamed("_own", POS) if kept else out

@@ -41,6 +41,17 @@ RULES = (
 SERIES = ["item_id", "name"]
 
 
+def alert_steps(short: int, long: int, rules: Sequence[Rule], max_rows: int, resume: bool = False) -> list:
+    """The windows, indicators and hold times that the rules look at; window lengths in microseconds."""
+    order = [MICROS]
+    return [
+        window_step(short, ["pct_change", "rate"], SERIES, names={"pct_change": "pct_change_5m", "rate": "rate_5m"}, max_rows=max_rows),
+        window_step(long, ["changes"], SERIES, names={"changes": "changes_1h"}, max_rows=max_rows),
+        indicator_step(order, {"rsi": "rsi_14"}, SERIES, max_rows=max_rows, resume=resume),
+        hold_step(order, {f"_s{i}": F.expr(r.condition) for i, r in enumerate(rules)}, SERIES, max_rows, resume),
+    ]
+
+
 def alerts(points: DataFrame, rules: Sequence[Rule] = RULES, short: str = "5 minutes",
            long: str = "1 hour", max_rows: int = MAX_ROWS) -> DataFrame:
     """Alerts of raw samples: one sample per series and instant, indicators, windows, then rules.
@@ -49,13 +60,7 @@ def alerts(points: DataFrame, rules: Sequence[Rule] = RULES, short: str = "5 min
     """
     order = [MICROS]
     tie = order_of(points)[1:] or ["price"]
-    steps = [
-        window_step(micros_of(points, short), ["pct_change", "rate"], SERIES,
-                    names={"pct_change": "pct_change_5m", "rate": "rate_5m"}),
-        window_step(micros_of(points, long), ["changes"], SERIES, names={"changes": "changes_1h"}),
-        indicator_step(order, {"rsi": "rsi_14"}, SERIES, max_rows=max_rows),
-        hold_step(order, {f"_s{i}": F.expr(r.condition) for i, r in enumerate(rules)}, SERIES, max_rows),
-    ]
+    steps = alert_steps(micros_of(points, short), micros_of(points, long), rules, max_rows)
 
     def plan(rows: DataFrame, heavy: bool) -> DataFrame:
         rows = rows.withColumn(MICROS, F.unix_micros("timestamp"))
@@ -83,11 +88,12 @@ def evaluate_alerts(samples: DataFrame, rules: Sequence[Rule] = RULES,
     return firing(held, rules, since)
 
 
-def firing(held: DataFrame, rules: Sequence[Rule], since: Sequence[str]) -> DataFrame:
+def firing(held: DataFrame, rules: Sequence[Rule], since: Sequence[str], fired_at: str | None = None) -> DataFrame:
     """One row per unbroken stretch that lasted long enough.
 
     `starts_at` is the instant the condition became true, `value` the reading when it had held, and
-    `rate_5m`, where the samples have it, the rate per second of that sample.
+    `rate_5m`, where the samples have it, the rate per second of that sample. `fired_at` names a column for
+    the time of that sample.
     """
     def entry(rule: Rule, start: str):
         lasted = F.col("timestamp") >= F.col(start) + F.expr(f"interval {rule.hold}")
@@ -99,7 +105,8 @@ def firing(held: DataFrame, rules: Sequence[Rule], since: Sequence[str]) -> Data
     beside = [c for c in ("rate_5m",) if c in held.columns]
     rows = held.select(*SERIES, "timestamp", *beside, F.inline(entries))
     return rows.groupBy("alert", "severity", *SERIES, "starts_at").agg(
-        *[F.min_by(c, "timestamp").alias(c) for c in ("value", *beside)])
+        *[F.min_by(c, "timestamp").alias(c) for c in ("value", *beside)],
+        *([F.min("timestamp").alias(fired_at)] if fired_at else []))
 
 
 METRICS = ("product_price", "product_quantity", "price_sma", "price_ema", "price_rsi")

@@ -153,3 +153,36 @@ def test_cutting_goes_on_until_no_cell_is_heavy(spark):
     got = skew.numbered(df, ["k"], ["t", "tie"], 4).orderBy("k", "_pos").collect()
     assert [r["_pos"] for r in got] == [*range(48), *range(50)]
     assert [r.t for r in got[:48]] == sorted(t for k, t, _ in rows if k == 1)
+
+
+def test_hot_window_is_cut(spark, monkeypatch):
+    """10,000 samples of one key inside one window, in pieces of 100 rows."""
+    rng = np.random.default_rng(4)
+    start = pd.Timestamp("2024-03-01")
+    times = np.sort(rng.choice(3_600_000_000, 10_000, replace=False))
+    rows = pd.DataFrame({"item_id": 1, "event_id": range(10_000), "price": np.round(rng.normal(100, 3, 10_000).cumsum() * 0 + rng.choice([99.5, 100.0, 101.25], 10_000), 2),
+                         "timestamp": start + pd.to_timedelta(times, unit="us")})
+    points = spark.createDataFrame(rows)
+    largest = []
+    real = skew.blocks
+
+    def watched(df, keys, before, max_rows, heavy):
+        out, part = real(df, keys, before, max_rows, heavy)
+        if heavy:
+            largest.append(out.groupBy(*part).count().agg({"count": "max"}).first()[0])
+        return out, part
+
+    monkeypatch.setattr(skew, "blocks", watched)
+    monkeypatch.setattr(series, "blocks", watched)
+    measures = ["changes", "rate", "pct_change"]
+    for window in ("40 minutes", "3 seconds"):
+        plain = series.in_window(points, window, measures).toPandas().set_index("event_id").sort_index()
+        hot = series.in_window(points, window, measures, max_rows=100).toPandas().set_index("event_id").sort_index()
+        assert (plain.changes == hot.changes).all()
+        for c in ("rate", "pct_change"):
+            assert np.allclose(plain[c].astype(float), hot[c].astype(float), equal_nan=True)
+        assert list(plain.columns) == list(hot.columns)
+    plain = series.sma_days(points, days=1, alias="m").toPandas().set_index("event_id").m.sort_index()
+    hot = series.sma_days(points, days=1, alias="m", max_rows=100).toPandas().set_index("event_id").m.sort_index()
+    assert np.allclose(plain, hot)
+    assert len(largest) >= 6 and max(largest) <= 101
