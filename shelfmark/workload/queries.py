@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,9 +16,11 @@ from shelfmark.functions.columns import (
 )
 from shelfmark.operators import checks, gaps, merge
 from shelfmark.plans import documents, indicators, reports
+from shelfmark.session import checkpoint_root
 from shelfmark.sinks import load
 from shelfmark.sinks.publish import snapshot_messages
 from shelfmark.sources import generators, pages, readers
+from shelfmark.streaming import resumed
 from shelfmark.streaming.flatten import flatten_stream
 from shelfmark.workload import mapping as m
 
@@ -465,6 +469,41 @@ def evaluate_alerts_wide(spark, sf):
     return rounded(out, "value", "rate_5m")
 
 
+def _in_batches(points: DataFrame) -> list[DataFrame]:
+    """All points as a stream would bring them: half of the span, the rest, and what was late of both."""
+    lo, hi = points.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    if lo is None:
+        return []
+    late = F.hour("timestamp") == 3
+    second = F.unix_micros("timestamp") > (lo + hi) // 2
+    return [points.filter(~late & ~second), points.filter(~late & second), points.filter(late)]
+
+
+def _resumed(spark, sf, rules, short: str, long: str):
+    """The store after all batches, and what each batch returned."""
+    points = m.price_points(spark, sf)
+    store = resumed.open_store(spark, f"{checkpoint_root(spark).rstrip('/')}/resumed-{uuid.uuid4().hex}", points.schema, rules, buckets=4)
+    out = [resumed.advance(store, batch, n, rules, short, long) for n, batch in enumerate(_in_batches(points))]
+    return store, [df.withColumn("_batch", F.lit(n)) for n, df in enumerate(out) if df is not None]
+
+
+@query
+def indicators_resumed(spark, sf):
+    """Indicators of points that came in three batches, the last one late, each from stored state."""
+    _, parts = _resumed(spark, sf, indicators.RULES, "5 minutes", "1 hour")
+    if not parts:
+        return rounded(indicators.price_indicators(m.price_points(spark, sf)), "sma_7", "ema_14", "rsi_14")
+    every = reduce(DataFrame.unionByName, parts)
+    return rounded(series.latest_by(every, ["event_id"], ["_batch"]).drop("_batch"), "sma_7", "ema_14", "rsi_14")
+
+
+@query
+def alerts_resumed(spark, sf):
+    """Alerts as they stand after three batches, the last one late: what it undoes is withdrawn."""
+    store, _ = _resumed(spark, sf, WIDE_RULES, "2 days", "4 days")
+    return rounded(resumed.read_alerts(store).drop("fired_at"), "value", "rate_5m")
+
+
 # --- spines ----------------------------------------------------------------------------------
 
 @query
