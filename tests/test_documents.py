@@ -1,5 +1,6 @@
 """Nested documents, the flat table, messages and hot items."""
 
+import dataclasses
 import datetime as dt
 import json
 from decimal import Decimal as D
@@ -57,6 +58,30 @@ def test_oversized_product_continues_in_parts(catalog):
         (1, "u0000", D(101)), (2, "only", D("12.50")), (3, None, None), (4, None, D(1))}
 
 
+@pytest.mark.parametrize("few", [documents.FEW_ITEMS, 0])
+def test_parts_follow_distinct_children(spark, catalog, monkeypatch, few):
+    """Repeated rows fill no page, children without item number are in no document, both joins agree."""
+    monkeypatch.setattr(documents, "FEW_ITEMS", few)
+    copies = catalog.skus.filter("item_id = 2").withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("_")
+    stray = catalog.skus.filter("item_id = 1").withColumn("item_id", F.lit(None).cast("bigint"))
+    skus = catalog.skus.unionByName(copies).unionByName(stray)
+    got = documents.product_documents(dataclasses.replace(catalog, skus=skus), AT, page=40)
+    want = documents.product_documents(catalog, AT, page=40)
+    assert {r.parts for r in got.collect() if r.data.id == "2"} == {1}
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_children_are_shuffled_once(spark, catalog):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = documents.product_documents(catalog, AT)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Products, attributes, SKUs and images: each meets the others after one exchange.
+    assert text.count("Exchange hashpartitioning") == 4
+
+
 def test_message_text(catalog):
     lines = [json.loads(r.value) for r in documents.document_json(documents.product_documents(catalog, AT)).collect()]
     two = next(m for m in lines if m["data"]["id"] == "2")
