@@ -180,7 +180,7 @@ def distributions(products: DataFrame, skus: DataFrame) -> DataFrame:
     ).orderBy("metric_type", "range_bucket")
 
 
-def daily_brand_revenue(products: DataFrame, skus: DataFrame, attributes: DataFrame, as_of: str,
+def daily_brand_revenue(products: DataFrame, skus: DataFrame, attributes: DataFrame, as_of: str | Column,
                         days: int = 30, integer_growth: bool = False) -> DataFrame:
     """Revenue, discounts and growth by creation day and brand in the trailing `days`.
 
@@ -218,7 +218,7 @@ def daily_brand_revenue(products: DataFrame, skus: DataFrame, attributes: DataFr
     ).orderBy(F.col("sale_date").desc_nulls_first(), F.col("net_revenue").desc_nulls_first())
 
 
-def hourly_brand_trend(facts: DataFrame, as_of: str, days: int = 7,
+def hourly_brand_trend(facts: DataFrame, as_of: str | Column, days: int = 7,
                        members: DataFrame | None = None) -> DataFrame:
     """Hourly brand figures with 24-row moving averages and growth; hours without facts are zero."""
     end = F.lit(as_of).cast("timestamp")

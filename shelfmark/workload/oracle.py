@@ -164,14 +164,15 @@ from sorted_ranges"""
 ORACLE["bucket_prices"] = f"with {SKUS}, {RANGES} select price_range, count(*) as n from ranges group by 1"
 
 
-def _daily(as_of: str, days: int, units_growth: str) -> str:
+def _daily(units_growth: str, shown: str = "true") -> str:
+    """Daily figures of the products that `shown` selects; all of them by default."""
     return f"""
 with {CATALOG}, d as (
     select date_trunc('day', created_time) as sale_date, brand, count(distinct p.item_id) as products_sold,
            sum(quantity) as units, sum(quantity * price) as gross,
            sum(case when special_price > 0 then quantity * (price - special_price) else 0 end) as off
     from products p join skus s on p.item_id = s.item_id join attributes a on p.item_id = a.item_id
-    where created_time >= timestamp '{as_of}' - interval {days} day and created_time <= timestamp '{as_of}'
+    where {shown}
     group by 1, 2), l as (
     select *, lag(gross) over w as prev_gross, lag(units) over w as prev_units
     from d window w as (partition by brand order by sale_date))
@@ -189,9 +190,10 @@ from l order by 1 desc, net_revenue desc"""
 EXACT_UNITS = pct("(units - prev_units)", "prev_units")
 # Quotient cut toward zero before it is scaled.
 CUT_UNITS = ("cast(sign(units - prev_units) * (abs(units - prev_units) // nullif(prev_units, 0)) * 100 as double)")
-ORACLE["daily_brand_revenue"] = _daily("1995-03-31", 30, EXACT_UNITS)
-ORACLE["daily_brand_revenue_all"] = _daily("2002-01-01", 4000, EXACT_UNITS)
-ORACLE["daily_brand_revenue_integer_growth"] = _daily("2002-01-01", 4000, CUT_UNITS)
+ORACLE["daily_brand_revenue"] = _daily(
+    EXACT_UNITS, "created_time >= timestamp '1995-03-31' - interval 30 day and created_time <= timestamp '1995-03-31'")
+ORACLE["daily_brand_revenue_all"] = _daily(EXACT_UNITS, "created_time is not null")
+ORACLE["daily_brand_revenue_integer_growth"] = _daily(CUT_UNITS, "created_time is not null")
 
 HOURLY = """hourly as (
     select event_type as brand, date_trunc('hour', ts) as time_bucket, count(distinct user_id) as products_count,
@@ -203,7 +205,7 @@ HOURLY = """hourly as (
 
 
 def _spine(start: str, end: str, step: str) -> str:
-    return f"unnest(generate_series(timestamp '{start}', timestamp '{end}', interval {step}))"
+    return f"unnest(generate_series({start}, {end}, interval {step}))"
 
 
 def _trend(start: str, end: str) -> str:
@@ -226,8 +228,10 @@ select time_bucket, brand, products as new_products, cast(units as bigint) as un
 from w order by time_bucket desc, brand"""
 
 
-ORACLE["hourly_brand_trend"] = _trend("2024-01-24", "2024-01-31")
-ORACLE["hourly_brand_trend_all"] = _trend("2023-12-31", "2024-01-31")
+ORACLE["hourly_brand_trend"] = _trend("timestamp '2024-01-24'", "timestamp '2024-01-31'")
+ORACLE["hourly_brand_trend_all"] = _trend(
+    "(select max(time_bucket) - to_days(cast(date_sub('day', min(time_bucket), max(time_bucket)) + 1 as int)) from hourly)",
+    "(select max(time_bucket) from hourly)")
 ORACLE["moving_average_24"] = f"""
 with {HOURLY} select brand, time_bucket, total_units, round(avg(total_units) over (
     partition by brand order by time_bucket rows between 23 preceding and current row), 6) as units_ma

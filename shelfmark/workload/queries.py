@@ -86,16 +86,28 @@ def daily_brand_revenue(spark, sf):
                                        as_of="1995-03-31", days=30)
 
 
+def _span(df: DataFrame, column: Column) -> tuple[Column, int]:
+    """Last value of a time column, as a constant of the plan, and whole days that reach back to the first."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return F.lit(high).cast("timestamp"), 0 if low is None else (high - low).days + 1
+
+
+def _all_days(spark: SparkSession, sf: str) -> dict[str, Column | int]:
+    """Span of all products: they are created on their first line's day."""
+    as_of, days = _span(m.table(spark, sf, "lineitem"), F.col("l_shipdate").cast("timestamp"))
+    return {"as_of": as_of, "days": days}
+
+
 @query
 def daily_brand_revenue_all(spark, sf):
     return reports.daily_brand_revenue(m.products(spark, sf), m.skus(spark, sf), m.attributes(spark, sf),
-                                       as_of="2002-01-01", days=4000)
+                                       **_all_days(spark, sf))
 
 
 @query
 def daily_brand_revenue_integer_growth(spark, sf):
     return reports.daily_brand_revenue(m.products(spark, sf), m.skus(spark, sf), m.attributes(spark, sf),
-                                       as_of="2002-01-01", days=4000, integer_growth=True)
+                                       integer_growth=True, **_all_days(spark, sf))
 
 
 @query
@@ -106,8 +118,9 @@ def hourly_brand_trend(spark, sf):
 
 @query
 def hourly_brand_trend_all(spark, sf):
-    facts = m.hourly_facts(spark, sf)
-    return reports.hourly_brand_trend(facts, as_of="2024-01-31", days=31)
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    as_of, days = _span(m.table(spark, sf, "events"), hour)
+    return reports.hourly_brand_trend(m.hourly_facts(spark, sf), as_of, days)
 
 
 def _ends(df: DataFrame, column: Column) -> tuple[Column, Column]:
