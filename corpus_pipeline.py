@@ -26,8 +26,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return near_dedup.drop_near_duplicates(docs)
+    """One document of each group of near duplicates: 80 of 100 word shingles in common."""
+    return near_dedup.drop_near_duplicates(docs, threshold=(80, 100))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

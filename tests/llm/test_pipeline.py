@@ -62,9 +62,10 @@ def test_exact_stage(stages):
 
 
 def test_near_stage(stages):
+    """Documents are linked from a similarity of 0.8 on."""
     before, after = stages["near_dedup"]
     ids = sorted(texts(before))
-    found = brute_near([texts_of[i] for texts_of in [texts(before)] for i in ids])
+    found = brute_near([texts_of[i] for texts_of in [texts(before)] for i in ids], 80)
     assert set(texts(after)) == {ids[k] for k, (_, part) in found.items() if part == k}
 
 
