@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import pct, ratio, wide_sum
+from shelfmark.operators.medians import median_of
 from shelfmark.schemas import ATTRIBUTES, IMAGES, PRODUCTS, SKUS, Catalog, conform
 
 
@@ -124,34 +125,14 @@ def hourly_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ratio(F.sum("gross"), F.sum("units")).alias("avg_price"))
 
 
-def median_of(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
-    """Exact median of each key; the mean of the middle two for an even count.
-
-    Rows become one weighted row per distinct value before they meet, and the middle is found by
-    running weights, so no group is held as a list.
-    """
-    weighted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_w"))
-    group = Window.partitionBy(*keys)
-    upto = F.sum("_w").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    placed = weighted.withColumns({"_upto": upto, "_all": F.sum("_w").over(group)})
-
-    def at(position: Column) -> Column:
-        here = (position <= F.col("_upto")) & (position > F.col("_upto") - F.col("_w"))
-        return F.max(F.when(here, F.col(value)))
-
-    low = at(F.call_function("div", F.col("_all") + 1, F.lit(2)))
-    high = at(F.call_function("div", F.col("_all"), F.lit(2)) + 1)
-    return placed.groupBy(*keys).agg(((low + high) / 2).cast("double").alias(alias))
-
-
-def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_facts(spark: SparkSession, sf_dir: str, first_line: Column) -> DataFrame:
     """Daily brand figures of the line items, orders and events.
 
     Everything that adds up comes from (day, brand, item) rows, whose first and last days come from the
     same rows. Orders and the median need the rows of a brand's day, which the brand join spreads again
     by order and by price. An item's stock is what it sold that day and `p_size` pieces that were left.
     Events belong to the part with the user's number, and their days are moved so that the first event
-    falls on the first line day. Orders in state F are fulfilled, those in state P count as cancelled.
+    falls on `first_line`, the first line day. Orders in state F are fulfilled, those in state P count as cancelled.
     """
     line = sku_lines(spark, sf_dir).select(
         F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("item"), "l_orderkey",
@@ -190,9 +171,8 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("o_orderstatus") == "P").alias("cancelled"))
     medians = median_of(rows.select("day", "brand", "price"), ["day", "brand"], "price", "median_price")
     events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase"))
-    first_line, = line.agg(F.min("day")).first()
     first_event, = table(spark, sf_dir, "events").agg(F.min(F.to_date("ts"))).first()
-    moved = F.date_add(F.to_date("ts"), F.datediff(F.lit(first_line), F.lit(first_event)))
+    moved = F.date_add(F.to_date("ts"), F.datediff(first_line, F.lit(first_event)))
     visits = events.select(moved.alias("day"), "user_id", "event_type").join(
         part.select(F.col("item").alias("user_id"), "brand"), "user_id")
     visits = visits.groupBy("day", "brand", "user_id").agg(

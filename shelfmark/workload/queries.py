@@ -133,7 +133,7 @@ def _ends(df: DataFrame, column: Column) -> tuple[Column, Column]:
 def brand_scorecard(spark, sf):
     start, end = _ends(m.table(spark, sf, "lineitem"), F.to_date("l_shipdate"))
     members = m.table(spark, sf, "part").select(F.col("p_brand").alias("brand")).distinct()
-    return reports.brand_scorecard(m.daily_facts(spark, sf), start, end, members)
+    return reports.brand_scorecard(m.daily_facts(spark, sf, start), start, end, members)
 
 
 # --- tables and documents --------------------------------------------------------------------
