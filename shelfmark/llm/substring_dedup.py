@@ -1,20 +1,26 @@
 """Repeated passages by relative Lempel-Ziv parsing.
 
-Every document is parsed against an index of the whole corpus: windows of `WINDOW` words, each with the
-smallest doc_id it starts in, dealt over many blocks by hash. A document's windows look themselves up in
-the block they belong to; neighbouring windows with one reference form a factor, and since windows that
-straddle two factors are looked up like any other, no repeated window is lost at a factor's end. Words
-under a factor whose reference is an earlier document are removed.
-
-Only windows that can repeat are shipped. Equal windows choose the same anchor, the smallest hash among
-the `GRAM`-word runs inside, so a first pass over anchors alone (about two for nine words) finds those
-that occur in different texts. Documents with one and the same word sequence are parsed once; all but the
-first of them repeat as a whole.
-
-Anchors of very common passages, with more than `HOT_ROWS` documents, are known from a sample beforehand.
-They need no first pass, and windows at them are reduced before they meet and dealt by salt. All other
-groups have so few rows that one task takes them, or (where the sample is too small to see HOT_ROWS) a few
-thousandths of the documents at most.
+A window is 13 consecutive words. Equal windows choose the same anchor, the smallest hash among the
+`GRAM`-word runs inside, so a first pass over anchors alone (about two for nine words) finds those that
+occur in different texts; only fragments of the texts around these go on. A fragment is a run of
+neighbouring windows with one anchor. Fragments are dealt over reference blocks by anchor, so that all
+places where a window occurs are in one block, and every fragment meets every block that can hold any of it.
+
+A block is indexed by depth: a node stands for all places that go on with the same words, and knows the
+smallest document among them. Each distinct fragment, in the first document that holds it, is parsed
+greedily: the longest run of words that an earlier document of the block holds is a factor, and the next
+factor begins at its end. Factors of 13 words or more are repeats. A window that straddles the end of a
+factor lies in none, so the 12 starts before each end are looked up as well. Later documents repeat the
+fragment as a whole. Blocks compare the words themselves (those beyond `LONG_WORD` bytes by SHA-256).
+
+Equal fragments are made one before they meet in a block, so a passage that very many documents share is
+one row there. An anchor with more than `CUT_ROWS` places has many different fragments: there each window is
+a fragment of its own, dealt by its words. Documents with one and the same word sequence are parsed once;
+all but the first of them repeat as a whole.
+
+Anchors with more than `HOT_ROWS` documents are known from a sample beforehand and need no first pass. All
+other anchors have so few rows that one task takes them, or (where the sample is too small to see
+HOT_ROWS) a few thousandths of the documents at most.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,13 +40,17 @@ from shelfmark.llm.wordhash import bytes_of, shingle_hashes, slices, word_hashes
 
 WINDOW = 13
 GRAM = 6
-#: Rows of one window or anchor that one task takes.
+#: Rows of one anchor that one task takes.
 HOT_ROWS = 250_000
+#: Places of one anchor beyond which its fragments are cut into single windows, and fragments of a block.
+CUT_ROWS, BLOCK_ROWS = 20_000, 20_000
+#: Windows of one fragment at most, and bytes of a word beyond which its digest stands for it.
+LONGEST, LONG_WORD = 64, 64
 #: Documents of the sample that common anchors are taken from, and the fewest of them that show one;
 #: there are at most (anchors of the sample) / LEAST_COMMON common anchors.
 SAMPLE_DOCS, LEAST_COMMON = 5_000, 20
-#: Parts that the windows at a common anchor are dealt into.
-SALTS = 32
+#: Parts that the places of one fragment are dealt into.
+SALTS = 8
 #: Order of rows without doc_id: after all others.
 LAST = (1 << 63) - 1
 
@@ -125,48 +136,148 @@ def _common_anchors(docs: DataFrame) -> np.ndarray:
     return np.unique(found.column("anchor").to_numpy().view(np.uint64))
 
 
-def _windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Windows of (doc, key, text, anchors) whose anchor is listed or common: 128 bits of hash, doc, key, position.
+def fragments(anchors: np.ndarray, wanted: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of each fragment of one text.
 
-    The two halves are of word hashes with seeds of their own, so they are independent.
+    `wanted` marks the windows that can repeat, `alone` those at anchors that are cut into single windows.
     """
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at = np.flatnonzero(wanted)
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (np.diff(at) != 1) | (anchors[at[1:]] != anchors[at[:-1]]) | alone[at[1:]]
+    begin = np.flatnonzero(fresh)
+    place = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+    begin = np.flatnonzero(fresh | (place % LONGEST == 0))
+    return at[begin], np.diff(np.append(begin, len(at)))
+
+
+def _split(raw: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Words joined by one space, and the first and end byte of each."""
+    words = raw.split()
+    if len(raw) > LONG_WORD and max(map(len, words), default=0) > LONG_WORD:
+        # No word holds a tab, so that no word is like a digest.
+        words = [w if len(w) <= LONG_WORD else b"\t" + hashlib.sha256(w).hexdigest().encode() for w in words]
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    end = np.cumsum(size + 1) - 1
+    return b" ".join(words), end - size, end
+
+
+def _numbers(words: bytes) -> tuple[int, int]:
+    """128 bits of a fragment, as two signed numbers."""
+    both = xxhash.xxh3_128_intdigest(words)
+    return (both & ((1 << 64) - 1)) - (1 << 63), (both >> 64) - (1 << 63)
+
+
+def _fragments(docs: DataFrame, common: np.ndarray, places: bool) -> DataFrame:
+    """Fragments of (doc, key, text, anchors, cut): number, words and document, or (`places`) where they are."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
-            out: list[tuple[np.ndarray, ...]] = []
-            others, _, _, edges = word_hashes(batch.column(2), seed=1)
+            doc, key, deal, first, count, text = [], [], [], [], [], []
             for row, (words, raw, _, _) in enumerate(_rows(batch.column(2))):
-                key = batch.column(1)[row].as_py()
-                if len(words) < WINDOW or _keys(raw)[0] != key:
+                own = batch.column(1)[row].as_py()
+                if len(words) < WINDOW or _keys(raw)[0] != own:
                     continue
-                listed = batch.column(3)[row]
-                listed = listed.values.to_numpy(zero_copy_only=False).view(np.uint64) if listed.is_valid else common[:0]
+                listed, cut = (
+                    x.values.to_numpy(zero_copy_only=False).view(np.uint64) if x.is_valid else common[:0]
+                    for x in (batch.column(3)[row], batch.column(4)[row]))
                 anchors = window_anchors(words)
                 often = np.isin(anchors, common)
-                at = np.flatnonzero(often | np.isin(anchors, listed))
-                one = shingle_hashes(words, WINDOW)[at]
-                two = shingle_hashes(others[edges[row]:edges[row + 1]], WINDOW)[at]
-                out.append((one.view(np.int64), two.view(np.int64), np.full(len(at), batch.column(0)[row].as_py()), np.full(len(at), key), at, often[at]))
-            if out:
-                h, g, doc, key, pos, often = (np.concatenate(x) for x in zip(*out))
+                alone = often | np.isin(anchors, cut)
+                begin, n = fragments(anchors, often | np.isin(anchors, listed), alone)
+                joined, a, e = _split(raw)
+                text += [joined[i:j] for i, j in zip(a[begin].tolist(), e[begin + n + WINDOW - 2].tolist())]
+                # By anchor, or by its words where it is cut.
+                deal.append(np.where(alone[begin], shingle_hashes(words, WINDOW)[begin], anchors[begin]).view(np.int64))
+                doc.append(np.full(len(begin), batch.column(0)[row].as_py(), np.int64))
+                key.append(np.full(len(begin), own, np.int64))
+                first.append(begin.astype(np.int32))
+                count.append((n + WINDOW - 1).astype(np.int32))
+            if not text:
+                continue
+            doc, key, deal, first, count = (np.concatenate(x) for x in (doc, key, deal, first, count))
+            if places:
+                hashes = np.array([_numbers(t) for t in text], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (hashes[:, 0].copy(), hashes[:, 1].copy(), first, count, doc, key)],
+                    ["h", "g", "pos", "n", "doc", "key"])
+            else:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(g), pa.array(pos.astype(np.int32)), pa.array(doc.astype(np.int64)),
-                     pa.array(key.astype(np.int64)), pa.array(often)], ["h", "g", "pos", "doc", "key", "often"])
+                    [pa.array(deal), pa.array(text, pa.binary()), pa.array(doc)], ["deal", "words", "doc"])
 
-    # What stays the same from window to window comes last, where shuffle files compress it away.
-    return docs.mapInArrow(look, "h bigint, g bigint, pos int, doc bigint, key bigint, often boolean")
+    # What stays the same from place to place comes last, where shuffle files compress it away.
+    return docs.mapInArrow(find, "h bigint, g bigint, pos int, n int, doc bigint, key bigint" if places else
+                           "deal bigint, words binary, doc bigint")
 
 
-def factors(positions: np.ndarray, references: np.ndarray) -> list[tuple[int, int, int]]:
-    """Maximal runs of neighbouring windows with one reference: (first word, end word, reference)."""
-    order = np.argsort(positions, kind="stable")
-    positions, references = positions[order], references[order]
-    cut = np.flatnonzero((np.diff(positions) != 1) | (np.diff(references) != 0)) + 1
-    return [(int(run[0]), int(run[-1]) + WINDOW, int(ref[0]))
-            for run, ref in zip(np.split(positions, cut), np.split(references, cut)) if len(run)]
+def longest_earlier(ids: np.ndarray, left: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of a block: words of the longest run that a smaller document holds too, and that document.
+
+    `ids` are the words, `left` the words from each place to the end of its fragment, `docs` its document.
+    """
+    longest, reference = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+    at, node, depth = np.arange(len(ids)), ids.astype(np.int64), 1
+    base = int(ids.max(initial=0)) + 1
+    while len(at):
+        names, node = np.unique(node, return_inverse=True)
+        own = docs[at]
+        low, high = np.full(len(names), LAST), np.full(len(names), -LAST - 1)
+        np.minimum.at(low, node, own)
+        np.maximum.at(high, node, own)
+        low, high = low[node], high[node]
+        seen = low < own
+        longest[at[seen]], reference[at[seen]] = depth, low[seen]
+        # Nodes of one document hold nothing for others.
+        deeper = (low < high) & (left[at] > depth)
+        at, node = at[deeper], node[deeper] * base
+        node += ids[at + depth]
+        depth += 1
+    return longest, reference
+
+
+def greedy_factors(begin: np.ndarray, end: np.ndarray, longest: np.ndarray, reference: np.ndarray
+                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Long factors of fragments [begin, end) and long runs over factor ends: fragment, first and end place, reference."""
+    out = []
+
+    def take(fragment: np.ndarray, at: np.ndarray) -> None:
+        long = longest[at] >= WINDOW
+        out.append((fragment[long], at[long], at[long] + longest[at[long]], reference[at[long]]))
+
+    live, at = np.arange(len(begin)), begin
+    while len(live):
+        take(live, at)
+        stop = at + np.maximum(longest[at], 1)
+        for back in range(1, WINDOW):
+            before = stop - back
+            over = (before > at) & (before + WINDOW <= end[live])
+            take(live[over], before[over])
+        on = stop < end[live]
+        live, at = live[on], stop[on]
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
+
+
+def _parse(block: pa.Table) -> pa.Table:
+    """Repeats inside each fragment of a block, as first and end words; fragments without any, in one document, are left out."""
+    block = block.combine_chunks()
+    words, docs = block.column("words").combine_chunks(), block.column("first").to_numpy()
+    lists = pc.split_pattern(words, " ")
+    edges = lists.offsets.to_numpy().astype(np.int64)
+    begin, end = edges[:-1] - edges[0], edges[1:] - edges[0]
+    ids = lists.flatten().dictionary_encode().indices.to_numpy()
+    fragment, first, last, _ = greedy_factors(begin, end, *longest_earlier(
+        ids, np.repeat(end, end - begin) - np.arange(len(ids)), np.repeat(docs, end - begin)))
+    order = np.argsort(fragment, kind="stable")
+    fragment, first, last = fragment[order], first[order] - begin[fragment[order]], last[order] - begin[fragment[order]]
+    keep = np.flatnonzero((np.bincount(fragment, minlength=len(docs)) > 0) | (block.column("last").to_numpy() > docs))
+    at = np.searchsorted(fragment, np.append(keep, len(docs))).astype(np.int32)
+    hashes = np.array([_numbers(words[i].as_py()) for i in keep], np.int64).reshape(-1, 2)
+    return pa.table({
+        "h": hashes[:, 0].copy(), "g": hashes[:, 1].copy(), "first": docs[keep],
+        "begin": pa.ListArray.from_arrays(pa.array(at), pa.array(first.astype(np.int32))),
+        "end": pa.ListArray.from_arrays(pa.array(at), pa.array(last.astype(np.int32)))})
 
 
 def _kept(docs: DataFrame) -> DataFrame:
-    """What is left of (doc, key, text, positions, references)."""
+    """What is left of (doc, key, text, first words, end words)."""
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
             ids, keys, removed, hashes = [], [], [], []
@@ -174,10 +285,9 @@ def _kept(docs: DataFrame) -> DataFrame:
                 key = batch.column(1)[row].as_py()
                 if _keys(raw)[0] != key:
                     continue
-                at, refs = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (3, 4))
-                gone = np.zeros(len(words), bool)
-                for begin, end, _ in factors(at, refs):
-                    gone[begin:end] = True
+                begin, end = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (3, 4))
+                cover = np.bincount(begin, minlength=len(words) + 1) - np.bincount(end, minlength=len(words) + 1)
+                gone = np.cumsum(cover[:-1]) > 0
                 stay = np.flatnonzero(~gone)
                 ids.append(batch.column(0)[row].as_py())
                 keys.append(key)
@@ -209,26 +319,31 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.min(order).alias("doc"), F.max("touched").alias("touched"))
 
     texts_at = Window.partitionBy("anchor")
-    shared = _anchors(docs, common).withColumns({"_lo": F.min("key").over(texts_at), "_hi": F.max("key").over(texts_at)})
-    wanted = shared.filter("_lo != _hi").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
-    # The first document of each text looks its windows up; its copies repeat as a whole.
+    shared = _anchors(docs, common).withColumns({
+        "_lo": F.min("key").over(texts_at), "_hi": F.max("key").over(texts_at), "_n": F.count("*").over(texts_at)})
+    wanted = shared.filter("_lo != _hi").groupBy("key").agg(
+        F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("_n") > CUT_ROWS, F.col("anchor"))).alias("cut"))
+    # The first document of each text is parsed; its copies repeat as a whole.
     wanted = checkpointed(classes.join(wanted, "key", "left").filter(F.col("anchors").isNotNull() | F.col("touched")))
-    texts = docs.select(order.alias("doc"), "text").join(wanted, "doc").select("doc", "key", "text", "anchors")
-    windows = _windows(texts, common)
-
-    seldom = windows.filter(~F.col("often")).withColumn("ref", F.min("doc").over(Window.partitionBy("h", "g")))
-    hits = seldom.filter("ref < doc").select("doc", "key", "pos", "ref")
-    if len(common):
-        often = windows.filter("often")
-        index = often.groupBy("h", "g").agg(F.min("doc").alias("ref"), F.max("doc").alias("_last")).filter("ref != _last")
-        index = index.select("h", "g", "ref", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-        salted = often.withColumn("_salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
-        hits = hits.unionByName(salted.join(index.repartition("h", "g", "_salt"), ["h", "g", "_salt"]).filter(
-            "ref < doc").select("doc", "key", "pos", "ref"))
-    # Not checkpointed: in one job the texts shuffled for the windows serve the next join as well.
-    hits = hits.groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "ref")).alias("_hits")).select(
-        "doc", "key", F.col("_hits.pos").alias("pos"), F.col("_hits.ref").alias("ref"))
-    parsed = docs.select(order.alias("doc"), "text").join(hits, "doc").select("doc", "key", "text", "pos", "ref")
+    texts = docs.select(order.alias("doc"), "text").join(wanted, "doc").select("doc", "key", "text", "anchors", "cut")
+
+    size = wanted.agg(F.sum(F.coalesce(F.size("anchors"), F.lit(0)))).first()[0] or 0
+    block = F.pmod(F.xxhash64("deal"), F.lit(max(1, -(-size // BLOCK_ROWS))))
+    distinct = _fragments(texts, common, places=False).groupBy("deal", "words").agg(
+        F.min("doc").alias("first"), F.max("doc").alias("last"))
+    parsed = distinct.select(block.alias("block"), "words", "first", "last").groupBy("block").applyInArrow(
+        _parse, "h bigint, g bigint, first bigint, begin array<int>, end array<int>")
+    parsed = parsed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    places = _fragments(texts, common, places=True).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    later = F.col("doc") > F.col("first")
+    hits = places.join(parsed, ["h", "g", "salt"]).filter(later | (F.size("begin") > 0)).select(
+        "doc", "key",
+        F.when(later, F.array("pos")).otherwise(F.transform("begin", lambda x: x + F.col("pos"))).alias("begin"),
+        F.when(later, F.array(F.col("pos") + F.col("n"))).otherwise(F.transform("end", lambda x: x + F.col("pos"))).alias("end"))
+    # Not checkpointed: in one job the texts shuffled for the fragments serve the next join as well.
+    hits = hits.groupBy("doc", "key").agg(F.collect_list(F.struct("begin", "end")).alias("_hits")).select(
+        "doc", "key", F.flatten("_hits.begin").alias("begin"), F.flatten("_hits.end").alias("end"))
+    parsed = docs.select(order.alias("doc"), "text").join(hits, "doc").select("doc", "key", "text", "begin", "end")
     stripped = _kept(parsed).distinct()
 
     first = classes.select(F.col("key").alias("_k"), F.col("key2").alias("_k2"), F.col("doc").alias("_first"))

@@ -130,9 +130,80 @@ def test_remove_repeats(spark, monkeypatch, hot):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == brute_repeats(texts)
 
 
-def test_factors_end_where_the_reference_changes():
-    got = substring_dedup.factors(np.array([4, 3, 9, 5, 10]), np.array([1, 1, 2, 7, 2]))
-    assert got == [(3, 17, 1), (5, 18, 7), (9, 23, 2)]
+def plain_parse(lists, docs):
+    """Greedy factors and runs over factor ends, against every word list of an earlier document."""
+    def longest(i, p):
+        best = (0, 0)
+        for j, other in enumerate(lists):
+            if docs[j] < docs[i]:
+                for q in range(len(other)):
+                    n = 0
+                    while p + n < len(lists[i]) and q + n < len(other) and lists[i][p + n] == other[q + n]:
+                        n += 1
+                    best = max(best, (n, -docs[j]))
+        return best
+
+    factors, covered = [], []
+    for i, words in enumerate(lists):
+        p, gone = 0, set()
+        while p < len(words):
+            n, doc = longest(i, p)
+            stop = p + max(n, 1)
+            for q in [p, *range(max(p + 1, stop - 12), stop)]:
+                m, doc = longest(i, q)
+                if m >= 13:
+                    factors.append((i, q, q + m, -doc))
+                    gone |= set(range(q, q + m))
+            p = stop
+        covered.append(gone)
+    return sorted(factors), covered
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_factors_of_a_block_equal_a_plain_greedy_parse(seed):
+    rng = random.Random(seed)
+    shared = [[rng.randrange(9) for _ in range(rng.randrange(14, 40))] for _ in range(5)]
+    lists, docs = [], []
+    for _ in range(24):
+        words = []
+        for _ in range(3):
+            one = rng.choice(shared)
+            words += one[rng.randrange(5):len(one) - rng.randrange(5)] if rng.random() < 0.7 else [rng.randrange(9)]
+        lists.append(words)
+        docs.append(rng.randrange(12))
+    end = np.cumsum([len(w) for w in lists])
+    begin = end - [len(w) for w in lists]
+    ids, owner = np.concatenate(lists), np.repeat(docs, end - begin)
+    left = np.repeat(end, end - begin) - np.arange(len(ids))
+    f, a, e, ref = substring_dedup.greedy_factors(begin, end, *substring_dedup.longest_earlier(ids, left, owner))
+    expected, covered = plain_parse(lists, docs)
+    assert sorted(zip(f.tolist(), (a - begin[f]).tolist(), (e - begin[f]).tolist(), ref.tolist())) == expected and expected
+    # Nothing that repeats is lost at the ends of factors.
+    for i, words in enumerate(lists):
+        windows = {tuple(w[k:k + 13]) for w, d in zip(lists, docs) if d < docs[i] for k in range(len(w) - 12)}
+        assert covered[i] == {p for k in range(len(words) - 12) if tuple(words[k:k + 13]) in windows for p in range(k, k + 13)}
+
+
+def test_fragments_hold_every_wanted_window_once():
+    anchors = np.array([5, 5, 5, 7, 7, 5, 9, 9] + [4] * 150, np.uint64)
+    wanted, alone = anchors != 7, anchors == 9
+    begin, n = substring_dedup.fragments(anchors, wanted, alone)
+    assert begin.tolist() == [0, 5, 6, 7, 8, 72, 136] and n.tolist() == [3, 1, 1, 1, 64, 64, 22]
+    assert [len(x) for x in substring_dedup.fragments(anchors, anchors == 3, alone)] == [0, 0]
+
+
+def test_long_words_are_compared_by_digest():
+    long = b"x" * 5000
+    joined, first, last = substring_dedup._split(b" a\t" + long + b"\nb")
+    assert joined[first[0]:last[0]] == b"a" and joined[first[2]:last[2]] == b"b" and last[1] - first[1] == 65
+    assert substring_dedup._split(b"a b")[0] == b"a b" and substring_dedup._split(b" \n")[0] == b""
+
+
+@pytest.mark.parametrize("cut, block", [(2, 5), (20_000, 7), (1, 20_000)])
+def test_repeats_do_not_depend_on_blocks(spark, monkeypatch, cut, block):
+    monkeypatch.setattr(substring_dedup, "CUT_ROWS", cut)
+    monkeypatch.setattr(substring_dedup, "BLOCK_ROWS", block)
+    test_remove_repeats(spark, monkeypatch, 250_000)
 
 
 @pytest.mark.parametrize("keep", ["max", "min"])
