@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import checkpointed
-from shelfmark.llm.wordhash import bytes_of, shingle_hashes, slices, word_hashes
+from shelfmark.llm.wordhash import BASE, bytes_of, mix, shingle_hashes, slices, word_hashes
 
 WINDOW = 13
 GRAM = 6
@@ -49,8 +49,8 @@ LONGEST, LONG_WORD = 64, 64
 #: Documents of the sample that common anchors are taken from, and the fewest of them that show one;
 #: there are at most (anchors of the sample) / LEAST_COMMON common anchors.
 SAMPLE_DOCS, LEAST_COMMON = 5_000, 20
-#: Parts that the places of one fragment are dealt into.
-SALTS = 8
+#: Parts that the places of one window at a cut anchor are dealt into.
+SALTS = 32
 #: Order of rows without doc_id: after all others.
 LAST = (1 << 63) - 1
 
@@ -75,15 +75,15 @@ def _rows(column: pa.Array) -> Iterator[tuple[np.ndarray, bytes, np.ndarray, np.
         yield words[b:e], raw[at[row]:at[row + 1]].tobytes(), first[b:e] - at[row], last[b:e] - at[row]
 
 
-def _keys(raw: bytes) -> tuple[int, int]:
-    """128 bits of a word sequence, as two signed numbers."""
-    both = xxhash.xxh3_128_intdigest(b" ".join(raw.split()))
+def _key(words: bytes) -> tuple[int, int]:
+    """128 bits of words joined by one space, as two signed numbers."""
+    both = xxhash.xxh3_128_intdigest(words)
     return (both & ((1 << 64) - 1)) - (1 << 63), (both >> 64) - (1 << 63)
 
 
-def _longs(arrays: list[np.ndarray]) -> pa.ListArray:
-    values = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)], dtype=np.int32)), pa.array(values.view(np.int64)))
+def _keys(raw: bytes) -> tuple[int, int]:
+    """128 bits of the word sequence of a text."""
+    return _key(b" ".join(raw.split()))
 
 
 def _measured(docs: DataFrame, common: np.ndarray) -> DataFrame:
@@ -150,62 +150,76 @@ def fragments(anchors: np.ndarray, wanted: np.ndarray, alone: np.ndarray) -> tup
     return at[begin], np.diff(np.append(begin, len(at)))
 
 
-def _split(raw: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+def _split(words: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """Words joined by one space, and the first and end byte of each."""
-    words = raw.split()
-    if len(raw) > LONG_WORD and max(map(len, words), default=0) > LONG_WORD:
-        # No word holds a tab, so that no word is like a digest.
-        words = [w if len(w) <= LONG_WORD else b"\t" + hashlib.sha256(w).hexdigest().encode() for w in words]
     size = np.fromiter(map(len, words), np.int64, len(words))
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        # No word holds a tab, so that no word is like a digest.
+        words[i] = b"\t" + hashlib.sha256(words[i]).hexdigest().encode()
+        size[i] = len(words[i])
     end = np.cumsum(size + 1) - 1
     return b" ".join(words), end - size, end
 
 
-def _numbers(words: bytes) -> tuple[int, int]:
-    """128 bits of a fragment, as two signed numbers."""
-    both = xxhash.xxh3_128_intdigest(words)
-    return (both & ((1 << 64) - 1)) - (1 << 63), (both >> 64) - (1 << 63)
+def _numbers(fragments: list[bytes]) -> np.ndarray:
+    """128 bits of each fragment, as two rows of signed numbers."""
+    both = b"".join(map(xxhash.xxh3_128_digest, fragments))
+    return np.ascontiguousarray(np.frombuffer(both, "<i8").reshape(-1, 2).T)
+
+
+def _listed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and anchors of a column of anchor lists; null lists are empty."""
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), size), column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _in_row(rows: np.ndarray, anchors: np.ndarray, column: pa.Array) -> np.ndarray:
+    """Whether the list of its row holds an anchor."""
+    of, listed = _listed(column)
+    salt = np.uint64(BASE)
+    return np.isin(mix(anchors + rows.astype(np.uint64) * salt), mix(listed + of.astype(np.uint64) * salt))
 
 
 def _fragments(docs: DataFrame, common: np.ndarray, places: bool) -> DataFrame:
     """Fragments of (doc, key, text, anchors, cut): number, words and document, or (`places`) where they are."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
-            doc, key, deal, first, count, text = [], [], [], [], [], []
-            for row, (words, raw, _, _) in enumerate(_rows(batch.column(2))):
-                own = batch.column(1)[row].as_py()
-                if len(words) < WINDOW or _keys(raw)[0] != own:
-                    continue
-                listed, cut = (
-                    x.values.to_numpy(zero_copy_only=False).view(np.uint64) if x.is_valid else common[:0]
-                    for x in (batch.column(3)[row], batch.column(4)[row]))
-                anchors = window_anchors(words)
-                often = np.isin(anchors, common)
-                alone = often | np.isin(anchors, cut)
-                begin, n = fragments(anchors, often | np.isin(anchors, listed), alone)
-                joined, a, e = _split(raw)
-                text += [joined[i:j] for i, j in zip(a[begin].tolist(), e[begin + n + WINDOW - 2].tolist())]
-                # By anchor, or by its words where it is cut.
-                deal.append(np.where(alone[begin], shingle_hashes(words, WINDOW)[begin], anchors[begin]).view(np.int64))
-                doc.append(np.full(len(begin), batch.column(0)[row].as_py(), np.int64))
-                key.append(np.full(len(begin), own, np.int64))
-                first.append(begin.astype(np.int32))
-                count.append((n + WINDOW - 1).astype(np.int32))
-            if not text:
+            raw, at = bytes_of(batch.column(2))
+            lists = [raw[i:j].tobytes().split() for i, j in zip(at[:-1], at[1:])]
+            own = batch.column(1).to_pylist()
+            fits = np.array([len(w) >= WINDOW and _key(b" ".join(w))[0] == k for w, k in zip(lists, own)])
+            words, _, _, edges = word_hashes(batch.column(2))
+            anchors = window_anchors(words)
+            row = np.repeat(np.arange(len(lists)), np.diff(edges))[:len(anchors)]
+            inside = fits[row] & (np.arange(len(anchors)) + WINDOW <= edges[row + 1])
+            # Neighbours with one anchor are looked up once.
+            head = np.ones(len(anchors), bool)
+            head[1:] = (anchors[1:] != anchors[:-1]) | (row[1:] != row[:-1])
+            run, lengths = np.flatnonzero(head), np.diff(np.append(np.flatnonzero(head), len(anchors)))
+            often = np.isin(anchors[run], common)
+            wanted = np.repeat(often | _in_row(row[run], anchors[run], batch.column(3)), lengths) & inside
+            alone = np.repeat(often | _in_row(row[run], anchors[run], batch.column(4)), lengths)
+            begin, n = fragments(anchors, wanted, alone)
+            if not len(begin):
                 continue
-            doc, key, deal, first, count = (np.concatenate(x) for x in (doc, key, deal, first, count))
+            joined, a, e = _split([w for one in lists for w in one])
+            text = [joined[i:j] for i, j in zip(a[begin].tolist(), e[begin + n + WINDOW - 2].tolist())]
+            doc, cut = batch.column(0).take(pa.array(row[begin])), pa.array(alone[begin])
             if places:
-                hashes = np.array([_numbers(t) for t in text], np.int64)
+                h, g = _numbers(text)
+                first, count = (begin - edges[row[begin]]).astype(np.int32), (n + WINDOW - 1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (hashes[:, 0].copy(), hashes[:, 1].copy(), first, count, doc, key)],
-                    ["h", "g", "pos", "n", "doc", "key"])
+                    [pa.array(h), pa.array(g), cut, pa.array(first), pa.array(count), doc,
+                     batch.column(1).take(pa.array(row[begin]))], ["h", "g", "cut", "pos", "n", "doc", "key"])
             else:
+                # By anchor, or by its words where it is cut.
+                deal = np.where(alone[begin], shingle_hashes(words, WINDOW)[begin], anchors[begin])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(deal), pa.array(text, pa.binary()), pa.array(doc)], ["deal", "words", "doc"])
+                    [pa.array(deal.view(np.int64)), cut, pa.array(text, pa.binary()), doc], ["deal", "cut", "words", "doc"])
 
     # What stays the same from place to place comes last, where shuffle files compress it away.
-    return docs.mapInArrow(find, "h bigint, g bigint, pos int, n int, doc bigint, key bigint" if places else
-                           "deal bigint, words binary, doc bigint")
+    return docs.mapInArrow(find, "h bigint, g bigint, cut boolean, pos int, n int, doc bigint, key bigint" if places else
+                           "deal bigint, cut boolean, words binary, doc bigint")
 
 
 def longest_earlier(ids: np.ndarray, left: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -269,9 +283,9 @@ def _parse(block: pa.Table) -> pa.Table:
     fragment, first, last = fragment[order], first[order] - begin[fragment[order]], last[order] - begin[fragment[order]]
     keep = np.flatnonzero((np.bincount(fragment, minlength=len(docs)) > 0) | (block.column("last").to_numpy() > docs))
     at = np.searchsorted(fragment, np.append(keep, len(docs))).astype(np.int32)
-    hashes = np.array([_numbers(words[i].as_py()) for i in keep], np.int64).reshape(-1, 2)
+    h, g = _numbers(words.take(pa.array(keep)).to_pylist())
     return pa.table({
-        "h": hashes[:, 0].copy(), "g": hashes[:, 1].copy(), "first": docs[keep],
+        "h": h, "g": g, "cut": block.column("cut").take(pa.array(keep)), "first": docs[keep],
         "begin": pa.ListArray.from_arrays(pa.array(at), pa.array(first.astype(np.int32))),
         "end": pa.ListArray.from_arrays(pa.array(at), pa.array(last.astype(np.int32)))})
 
@@ -328,13 +342,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select(order.alias("doc"), "text").join(wanted, "doc").select("doc", "key", "text", "anchors", "cut")
 
     size = wanted.agg(F.sum(F.coalesce(F.size("anchors"), F.lit(0)))).first()[0] or 0
-    block = F.pmod(F.xxhash64("deal"), F.lit(max(1, -(-size // BLOCK_ROWS))))
-    distinct = _fragments(texts, common, places=False).groupBy("deal", "words").agg(
+    block = F.pmod(F.xxhash64("deal"), F.lit(max(1, -(-size // BLOCK_ROWS)))).alias("block")
+    distinct = _fragments(texts, common, places=False).groupBy(block, "cut", "words").agg(
         F.min("doc").alias("first"), F.max("doc").alias("last"))
-    parsed = distinct.select(block.alias("block"), "words", "first", "last").groupBy("block").applyInArrow(
-        _parse, "h bigint, g bigint, first bigint, begin array<int>, end array<int>")
-    parsed = parsed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    places = _fragments(texts, common, places=True).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    parsed = distinct.groupBy("block").applyInArrow(
+        _parse, "h bigint, g bigint, cut boolean, first bigint, begin array<int>, end array<int>")
+    # Only fragments of cut anchors can have many places.
+    parsed = parsed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(F.col("cut"), SALTS - 1).otherwise(0)))).drop("cut")
+    places = _fragments(texts, common, places=True).withColumn(
+        "salt", F.when(F.col("cut"), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(0).cast("int")).drop("cut")
     later = F.col("doc") > F.col("first")
     hits = places.join(parsed, ["h", "g", "salt"]).filter(later | (F.size("begin") > 0)).select(
         "doc", "key",
