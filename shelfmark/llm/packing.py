@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +32,7 @@ from shelfmark.llm.wordhash import slices
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_ID = (0).to_bytes(4, "little")
-#: Words whose ids a Python worker remembers; beyond that it starts anew.
+#: Words, and parts of words, whose ids a Python worker remembers, and as many from before.
 REMEMBERED = 200_000
 #: Search effort: nodes of the branch and bound, probes for the fillings of one node, branches of a node.
 NODES, PROBES, BRANCHES = 6_000, 400, 3
@@ -41,6 +42,24 @@ RANK_ROWS = 4_096
 Filling = tuple[int, ...]
 
 
+class Memory(dict):
+    """Results of a function by its argument, each made when it is first looked up."""
+
+    def __init__(self, function: Callable[[str], bytes]) -> None:
+        self.function, self.before = function, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        self[key] = out = self.function(key) if found is None else found
+        return out
+
+    def tidy(self) -> None:
+        """When there are many, keep those from now on that are looked up again before there are many once more."""
+        if len(self) > REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
@@ -58,8 +77,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.known = Memory(self.word)
+        self.parts = Memory(self.part)
         # Byte-level vocabularies write printable bytes as themselves and the others from 256 on.
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = iter(range(256, 512))
@@ -72,30 +91,25 @@ class Encoder:
 
     def part(self, part: str) -> bytes:
         """Ids of letters only or marks only."""
-        ids = self.parts.get(part)
-        if ids is None:
-            signs = part if part.isascii() else "".join(map(self.signs.__getitem__, part.encode()))
-            ids = np.asarray([x.id for x in self.tokenizer.model.tokenize(signs)], "<u4").tobytes()
-            self.parts[part] = ids
-        return ids
+        signs = part if part.isascii() else "".join(map(self.signs.__getitem__, part.encode()))
+        ids = [x.id for x in self.tokenizer.model.tokenize(signs)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.parts[word.lower()]
         plain = self.PLAIN.fullmatch(word)
-        return self.part(plain[1].lower()) + self.part(plain[2]) if plain else self.whole(word)
+        if not plain:
+            return self.whole(word)
+        ids = self.parts[plain[1].lower()]
+        return ids + self.parts[plain[2]] if plain[2] else ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for memory in (self.known, self.parts):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        self.parts[""] = b""
+            memory.tidy()
+        ids_of = self.known.__getitem__
         for text in texts:
-            if not self.by_word:
-                yield self.whole(text)
-                continue
-            words = text.replace("\n", " ").split(" ")
-            for w in set(words).difference(self.known):
-                self.known[w] = self.word(w)
-            yield b"".join(map(self.known.__getitem__, words))
+            yield b"".join(map(ids_of, text.replace("\n", " ").split(" "))) if self.by_word else self.whole(text)
 
 
 _encoders: dict[str, Encoder] = {}
