@@ -1,7 +1,7 @@
 """Benchmark passages in documents, by latent semantic retrieval.
 
-Document frequencies are counted over all passages of the corpus. A distributed randomised SVD of TF-IDF
-passages (a sample of bounded size, chosen by hash) gives the latent space; every window of every document
+Document frequencies are counted over all passages of the corpus, and a distributed randomised SVD of the
+TF-IDF of all passages of its distinct texts gives the latent space; every window of every document
 is projected into it, window sums being differences of running sums, and compared by cosine with the
 benchmark passages, which are a given, broadcast set of queries. Windows come in several lengths, each
 benchmark passage meets those next to its own length. Candidates are then confirmed on their words: the
@@ -23,15 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfmark.llm.common import checkpointed, clean_text
-from shelfmark.llm.wordhash import MARKS, shingle_hashes, slices, word_hashes
+from shelfmark.llm.wordhash import MARKS, bytes_of, shingle_hashes, slices, word_hashes
 
 #: Terms are hashed to so many columns; size of the latent space and of the random sketch beyond it.
 TERMS, RANK, EXTRA, POWER = 1 << 15, 64, 16, 1
 #: Words of a passage that document frequencies and the SVD are taken over.
 PASSAGE = 32
-#: Passages that the SVD is fitted on, and tasks that they are dealt over: each sends TERMS x (RANK + EXTRA)
-#: numbers, so there are few.
-FIT_PASSAGES, FIT_TASKS = 60_000, 8
+#: Fewest tasks that the passages are dealt over for the fit, and passages for which there is one more: each
+#: sends TERMS x (RANK + EXTRA) numbers, so there are few.
+FIT_TASKS, FIT_PASSAGES = 8, 1_000_000
+#: Bytes of terms that a task takes at a time, and rows that it adds up side by side.
+FIT_BYTES, SIDE = 4 << 20, 2_048
 #: Words that share one running sum, and window length with stride, in such blocks.
 BLOCK = 4
 SCALES = ((4, 1), (6, 1), (10, 2), (16, 4))
@@ -54,87 +56,133 @@ def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, at
 
 
-def _passages(at: np.ndarray) -> np.ndarray:
-    """First words of the passages of all rows."""
-    starts = [np.arange(b, e, PASSAGE) for b, e in zip(at[:-1], at[1:]) if b < e]
-    return np.concatenate(starts) if starts else np.zeros(0, np.int64)
+def term_rows(docs: DataFrame) -> DataFrame:
+    """The texts `_t` as their terms in order, 16 bits each, every text once with how often it occurs: _w, _n.
+
+    Read, hashed and grouped once for all that is counted and fitted; rows that have this form are given back.
+    """
+    if docs.columns == ["_w", "_n"]:
+        return docs
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 0):
+            hashes, at = _words(batch.column(0))
+            data = pa.py_buffer(terms(hashes).astype("<u2"))
+            rows = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(2 * at.astype(np.int64)), data])
+            yield pa.RecordBatch.from_arrays([rows.cast(pa.binary())], ["_w"])
+
+    rows = docs.select("_t").mapInArrow(hashed, "_w binary").groupBy("_w").agg(F.count("*").alias("_n"))
+    # In order, so that a repeated run adds up alike.
+    return checkpointed(rows.sortWithinPartitions("_w"))
+
+
+def _passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of each passage of all rows, in order of terms and filled up with TERMS, and passages of each row."""
+    raw, at = bytes_of(column)
+    flat, lengths = np.frombuffer(raw.tobytes(), "<u2"), np.diff(at) // 2
+    count = -(-lengths // PASSAGE)
+    filled = np.full(int(count.sum()) * PASSAGE, TERMS, np.uint16)
+    filled[np.arange(len(flat)) + np.repeat((np.cumsum(count) - count) * PASSAGE - at[:-1] // 2, lengths)] = flat
+    out = filled.reshape(-1, PASSAGE)
+    out.sort(axis=1)
+    return out, count
+
+
+def _fresh(passages: np.ndarray) -> np.ndarray:
+    """First places of the terms of each passage."""
+    out = np.ones(passages.shape, bool)
+    out[:, 1:] = passages[:, 1:] != passages[:, :-1]
+    return out
 
 
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Passages that hold each term, over the whole corpus, and the number of passages."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(TERMS + 1, np.int64)
-        for batch in slices(batches, 0):
-            hashes, at = _words(batch.column(0))
-            starts = _passages(at)
-            if len(starts):
-                number = np.repeat(np.arange(len(starts)), np.diff([*starts, len(hashes)]))
-                # A stable sort by term leaves the passages of a term in order: each change is a new one.
-                term = terms(hashes).astype(np.uint16)
-                order = np.argsort(term, kind="stable")
-                term, number = term[order], number[order]
-                fresh = np.ones(len(term), bool)
-                fresh[1:] = (term[1:] != term[:-1]) | (number[1:] != number[:-1])
-                total[:TERMS] += np.bincount(term[fresh], minlength=TERMS)
-                total[TERMS] += len(starts)
+        for batch in slices(batches, 0, FIT_BYTES):
+            passages, of_row = _passages(batch.column(0))
+            if not len(passages):
+                continue
+            times = np.repeat(batch.column(1).to_numpy(), of_row)
+            fresh = _fresh(passages)
+            found = np.bincount(passages[fresh], np.repeat(times, fresh.sum(1)), TERMS + 1).astype(np.int64)
+            total[:TERMS] += found[:TERMS]
+            total[TERMS] += times.sum()
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["term", "n"])
 
-    rows = docs.select("_t").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = term_rows(docs).mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     table = rows.toArrow()
     found = np.zeros(TERMS + 1, np.int64)
     found[table.column("term").to_numpy()] = table.column("n").to_numpy()
     return found[:TERMS], int(found[TERMS])
 
 
-def _weighted(column: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Passage number, term and weight of every word, passages scaled to unit length."""
-    hashes, at = _words(column)
-    starts = _passages(at)
-    term = terms(hashes)
-    number = np.repeat(np.arange(len(starts)), np.diff([*starts, len(hashes)]))
-    pairs, back = np.unique(number * TERMS + term, return_inverse=True)
-    times = np.bincount(back)
-    square = np.bincount(pairs // TERMS, (times * idf[pairs % TERMS]) ** 2, minlength=len(starts))
-    weight = times * idf[pairs % TERMS] / np.sqrt(np.maximum(square[pairs // TERMS], 1e-12))
-    return pairs // TERMS, pairs % TERMS, weight.astype(np.float32)
-
-
-def _sum_by_row(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
-    out = np.zeros((count, values.shape[1]), np.float32)
-    if len(rows):
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        out[rows[order][first]] = np.add.reduceat(values[order], first)
-    return out
+def _sums(values: np.ndarray, own: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the rows `values[own]` over consecutive groups of the given sizes, none of them empty.
+
+    Groups are cut into parts of at most PASSAGE rows, which are added up side by side, longest first.
+    """
+    parts = -(-sizes // PASSAGE)
+    first = np.cumsum(parts) - parts
+    nth = np.arange(int(parts.sum())) - np.repeat(first, parts)
+    begin = np.repeat(np.cumsum(sizes) - sizes, parts) + PASSAGE * nth
+    length = np.minimum(np.repeat(sizes, parts) - PASSAGE * nth, PASSAGE)
+    order = np.argsort(-length, kind="stable")
+    out = np.empty((len(begin), values.shape[1]), np.float32)
+    one = np.empty((SIDE, values.shape[1]), np.float32)
+    for i in range(0, len(order), SIDE):
+        rows = order[i:i + SIDE]
+        at, longer = begin[rows], -length[rows]
+        total = values[own[at]]
+        for k in range(1, -int(longer[0])):
+            n = int(np.searchsorted(longer, -k))
+            total[:n] += np.take(values, own[at[:n] + k], axis=0, out=one[:n], mode="clip")
+        out[rows] = total
+    return out if len(out) == len(sizes) else np.add.reduceat(out, first, axis=0)
+
+
+def _gram(passages: np.ndarray, idf: np.ndarray, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms that the passages hold, and the rows of S'(A Q) for them: A the passages' TF-IDF scaled to unit
+    length, S their counts so scaled, `weighted` the rows of Q times idf."""
+    fresh = _fresh(passages)
+    places = np.flatnonzero(fresh)
+    times = np.diff(places, append=passages.size)
+    square = np.add.reduceat((times * idf[passages[fresh]]) ** 2, np.searchsorted(places, np.arange(0, passages.size, PASSAGE)))
+    held = passages < TERMS
+    term, sizes = passages[held], held.sum(1)
+    product = _sums(weighted, term, sizes) / np.maximum(square, 1e-12).astype(np.float32)[:, None]
+    order = np.argsort(term, kind="stable")
+    number, term = np.repeat(np.arange(len(passages)), sizes)[order], term[order]
+    begin = np.flatnonzero(np.diff(term, prepend=-1))
+    return term[begin], _sums(product, number, np.diff(begin, append=len(term)))
 
 
 def latent_terms(docs: DataFrame, frequencies: np.ndarray, passages: int, seed: int = 7) -> np.ndarray:
     """Latent vector of every term, idf included, centred on the mean word; the row TERMS, of no word, is zero.
 
-    Randomised range finder with power iteration: tasks return A'(A Q) in row blocks, the driver
-    orthonormalises TERMS x (RANK + EXTRA) numbers, whatever the size of the corpus.
+    Randomised range finder with power iteration over all passages: tasks return A'(A Q) in row blocks, the
+    driver orthonormalises TERMS x (RANK + EXTRA) numbers, whatever the size of the corpus. Each text counts
+    once here, however often it is repeated.
     """
     spark = docs.sparkSession
     idf = np.log((passages + 1) / (frequencies + 1)) * (frequencies > 0)
     width = RANK + EXTRA
-    share = min(1.0, FIT_PASSAGES / max(passages, 1))
-    grid = 1 << 30
-    # Each text once, however often it is repeated; read once for all products, and dealt the same way in each.
-    chosen = checkpointed(docs.filter(F.pmod(F.xxhash64("_t"), F.lit(grid)) < int(grid * share)).select("_t").distinct())
-    chosen = chosen.repartition(FIT_TASKS)
+    rows = term_rows(docs).coalesce(max(FIT_TASKS, -(-passages // FIT_PASSAGES)))
     rows_a_block = 1024
 
     def multiply(q: np.ndarray) -> np.ndarray:
-        sent = spark.sparkContext.broadcast(q.astype(np.float32))
+        sent = spark.sparkContext.broadcast(((q * idf[:, None]).astype(np.float32), np.append(idf, 0.0)))
 
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weighted, weights = sent.value
             total = np.zeros((TERMS, width), np.float32)
-            for batch in slices(batches, 0, 1 << 18):
-                number, term, weight = _weighted(batch.column(0), idf)
-                if len(number):
-                    product = _sum_by_row(number, sent.value[term] * weight[:, None], int(number.max()) + 1)
-                    total += _sum_by_row(term, product[number] * weight[:, None], TERMS)
+            for batch in slices(batches, 0, FIT_BYTES):
+                held, _ = _passages(batch.column(0))
+                # The passages of a long text are taken in turns.
+                for i in range(0, len(held), FIT_BYTES // (2 * PASSAGE)):
+                    term, product = _gram(held[i:i + FIT_BYTES // (2 * PASSAGE)], weights, weighted)
+                    total[term] += product
             blocks = [total[i:i + rows_a_block].tobytes() for i in range(0, TERMS, rows_a_block)]
             own = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
@@ -148,12 +196,12 @@ def latent_terms(docs: DataFrame, frequencies: np.ndarray, passages: int, seed:
             return pa.table({"block": table.column("block").slice(0, 1), "task": table.column("task").slice(0, 1), "data": data})
 
         schema = "block int, task int, data binary"
-        table = chosen.mapInArrow(part, schema).groupBy("block").applyInArrow(add, schema).toArrow()
+        table = rows.mapInArrow(part, schema).groupBy("block").applyInArrow(add, schema).toArrow()
         out = np.zeros((TERMS, width))
         for block, data in zip(table.column("block").to_pylist(), table.column("data").to_pylist()):
             out[block * rows_a_block:(block + 1) * rows_a_block] = np.frombuffer(data, np.float32).reshape(-1, width)
         sent.unpersist()
-        return out
+        return out * idf[:, None]
 
     q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((TERMS, width)))
     for _ in range(POWER):
@@ -376,8 +424,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COS
 
 def _searcher(texts: DataFrame, benchmark: DataFrame, cosine: float):
     """The search as a function of batches: found rows, or the batches without them."""
-    frequencies, passages = document_frequencies(texts)
-    latent = latent_terms(texts, frequencies, passages)
+    rows = term_rows(texts)
+    latent = latent_terms(rows, *document_frequencies(rows))
     queries = benchmark_queries(benchmark, latent)
     groups = []
     for scale in range(len(SCALES)):
