@@ -52,6 +52,15 @@ def alert_steps(short: int, long: int, rules: Sequence[Rule], max_rows: int, res
     ]
 
 
+def one_per_instant(rows: DataFrame, tie: Sequence[str], max_rows: int, heavy: bool) -> DataFrame:
+    """The last sample of each series and instant (`MICROS`), within the shuffle by series; heavy keys are numbered."""
+    if heavy:
+        return numbered(latest_by(rows, [*SERIES, MICROS], tie), SERIES, [MICROS], max_rows)
+    later = F.lead(MICROS).over(Window.partitionBy(*SERIES).orderBy(MICROS, *tie))
+    return rows.withColumn("_later", later).filter(
+        F.col("_later").isNull() | (F.col("_later") != F.col(MICROS))).drop("_later")
+
+
 def alerts(points: DataFrame, rules: Sequence[Rule] = RULES, short: str = "5 minutes",
            long: str = "1 hour", max_rows: int = MAX_ROWS) -> DataFrame:
     """Alerts of raw samples: one sample per series and instant, indicators, windows, then rules.
@@ -64,12 +73,7 @@ def alerts(points: DataFrame, rules: Sequence[Rule] = RULES, short: str = "5 min
 
     def plan(rows: DataFrame, heavy: bool) -> DataFrame:
         rows = rows.withColumn(MICROS, F.unix_micros("timestamp"))
-        if heavy:
-            rows = numbered(latest_by(rows, [*SERIES, MICROS], tie), SERIES, order, max_rows)
-        else:
-            later = F.lead(MICROS).over(Window.partitionBy(*SERIES).orderBy(MICROS, *tie))
-            rows = rows.withColumn("_later", later).filter(
-                F.col("_later").isNull() | (F.col("_later") != F.col(MICROS))).drop("_later")
+        rows = one_per_instant(rows, tie, max_rows, heavy)
         for step in steps:
             rows = step(rows, heavy)
         return rows.drop(MICROS)

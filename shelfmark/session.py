@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -48,3 +52,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_root(df.sparkSession))
     return df.checkpoint()
+
+
+def together(spark: SparkSession, *parts: Callable) -> list:
+    """Results of parts that do not need each other; the jobs of one use the cores that those of another leave idle.
+
+    All have ended when it returns, or raises what the first one that failed did.
+    """
+    with ThreadPoolExecutor(max(1, len(parts))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(part)) for part in parts]
+    return [part.result() for part in running]

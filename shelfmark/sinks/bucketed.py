@@ -12,11 +12,14 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.session import together
+
 FAN = 8
 BUCKET = "_bucket"
 
@@ -85,7 +88,7 @@ class BucketedTables:
         return self.spark.read.schema(layout.schema).parquet(*[f"{self.path}/{p}" for p in paths])
 
     def commit(self, changes: Sequence[Change], label: int | None = None) -> None:
-        """Write all changes, then switch to them at once.
+        """Write all changes, side by side, then switch to them at once.
 
         Another commit in the meantime makes this one fail, as does whatever breaks before the manifest
         is there; both leave the tables as they were.
@@ -93,9 +96,9 @@ class BucketedTables:
         old, version = self.manifest, max([self.manifest.version, *self._versions()]) + 1
         now = Manifest(version, label if label is not None else old.label, {n: {"buckets": x.buckets, "keys": list(x.keys)} for n, x in self.layouts.items()},
                        {name: dict(found) for name, found in old.folders.items()})
-        for change in changes:
+        folders = together(self.spark, *[partial(self._write, c.table, c.rows, version) for c in changes])
+        for change, written in zip(changes, folders):
             own = now.folders.setdefault(change.table, {})
-            written = self._write(change.table, change.rows, version)
             if change.replaced is None:
                 for k, path in written.items():
                     own[k] = [*own.get(k, []), [path, 0]]

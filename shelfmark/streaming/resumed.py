@@ -22,15 +22,17 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfmark.functions.series import (
     CARRIED, MICROS, OFFSET, OLD, SEED, first_by, indicator_step, latest_by, micros_of, order_of,
 )
-from shelfmark.functions.skew import MAX_ROWS, numbered, routed
-from shelfmark.plans.indicators import RULES, SERIES, Rule, alert_steps, firing, gauges, metric_samples
+from shelfmark.functions.skew import MAX_ROWS, POS, attach, routed
+from shelfmark.plans.indicators import RULES, SERIES, Rule, alert_steps, firing, gauges, metric_samples, one_per_instant
 from shelfmark.schemas import PRICE_POINTS
-from shelfmark.session import checkpointed
+from shelfmark.session import checkpointed, together
 from shelfmark.sinks.bucketed import BucketedTables, Change, Layout
 from shelfmark.sources.readers import recent
 
 #: Order of old samples that are equal in time and tie-break.
 ALIKE = "_alike"
+#: Marks of the last row of a series, and of the last samples that the next batch looks back on.
+NEWEST, TAIL = "_newest", "_tail"
 #: Snapshots kept of a series: how far back a late point finds one, before it replays the whole series.
 SNAPSHOTS = 8
 #: Samples that moving averages and differences look back on.
@@ -90,73 +92,98 @@ class _Kind:
     def __init__(self, kind: str, store: BucketedTables, points: DataFrame, touched: list[int], back: int) -> None:
         self.kind, self.store, self.by, self.back, self.touched = kind, store, BY[kind], back, touched
         self.columns = points.columns
-        tie = order_of(points)[1:] or ["price"]
-        self.order = ["timestamp", *tie]
+        self.tie = order_of(points)[1:] or ["price"]
+        self.order = ["timestamp", *self.tie]
         first = points.groupBy(*self.by).agg(F.min("timestamp").alias("_first"))
         self.state = store.read(f"state_{kind}", touched)
-        mine = _on(self.state, first, self.by, "inner")
-        self.valid = mine.filter(F.col("at") < F.col("_first")).drop("_first")
-        self.base = checkpointed(latest_by(self.valid, self.by, ["at"]))
-        newest = mine.groupBy(*self.by).agg(F.max("at").alias("_at"), F.first("_first").alias("_first"))
-        self.late = checkpointed(newest.filter(F.col("_at") >= F.col("_first")).select(*self.by))
+        snapshot = F.struct(*[c for c in self.state.columns if c not in self.by])
+        known = _on(first, self.state.select(*self.by, snapshot.alias("_old")), self.by, "left")
+        at = F.col("_old.at")
+        # One row per series of the batch: its first point, the newest snapshot before it, whether a newer one exists.
+        self.series = checkpointed(known.groupBy(*self.by, "_first").agg(
+            F.max_by("_old", F.when(at < F.col("_first"), at)).alias("_base"),
+            F.coalesce(F.max(at) >= F.col("_first"), F.lit(False)).alias("_late")))
+        self.base = self.series.filter(F.col("_base").isNotNull()).select(*self.by, "_base.*")
+        self.late = self.series.filter("_late").select(*self.by, F.col("_base.at").alias("at"))
+        self.is_late = not self.late.isEmpty()
 
     def rows(self, points: DataFrame) -> DataFrame:
-        """What the batch works on: the last samples before, marked OLD, and the samples from there on."""
-        last = self.store.read(f"last_{self.kind}", self.touched)
-        series = points.select(*self.by).distinct()
-        context, fresh = _semi(_semi(last, series, self.by), self.late, self.by, "left_anti"), points
-        if not self.late.isEmpty():
-            history = _semi(self.store.read("points", self.store.touched("points", self.late)), self.late, self.by)
-            history = _on(history, self.base.select(*self.by, "at"), self.by, "left")
+        """What the batch works on: the last samples before, marked OLD, and the samples from there on.
+
+        The last old row of a series has its snapshot, and the number of the series' first row here.
+        """
+        context, fresh = _semi(self.store.read(f"last_{self.kind}", self.touched), self.series.filter("NOT _late"), self.by), points
+        if self.is_late:
+            history = checkpointed(_on(self.store.read("points", self.store.touched("points", self.late)), self.late, self.by, "inner"))
             fresh = fresh.unionByName(history.filter(F.col("at").isNull() | (F.col("timestamp") > F.col("at"))).select(*self.columns))
-            before = history.filter(F.col("timestamp") <= F.col("at"))
-            if self.kind == "alerts":
-                before = latest_by(before, [*self.by, "timestamp"], self.order[1:])
-            context = context.unionByName(self._last(before, F.col("at")).select(*self.columns))
+            context = context.unionByName(self._last(history.filter(F.col("timestamp") <= F.col("at"))).select(*self.columns))
         # Old samples that are alike get an order, so that one of them is the last.
         context = checkpointed(context.withColumns({OLD: F.lit(True), ALIKE: F.monotonically_increasing_id()}))
-        return context.unionByName(fresh.withColumns({OLD: F.lit(False), ALIKE: F.lit(0).cast("bigint")}))
-
-    def _last(self, rows: DataFrame, at: Column) -> DataFrame:
-        """The last samples of each series up to `at`: as many as averages need, and those a window reaches."""
-        rank = F.row_number().over(Window.partitionBy(*self.by).orderBy(*[F.col(c).desc() for c in self.order]))
+        return checkpointed(self._seeded(context)).unionByName(
+            fresh.withColumns({OLD: F.lit(False), ALIKE: F.lit(0).cast("bigint")}), allowMissingColumns=True)
+
+    def _last(self, rows: DataFrame) -> DataFrame:
+        """The last samples of each series up to its `at`: as many as averages need, and those a window reaches."""
+        series = Window.partitionBy(*self.by)
+        if self.kind == "indicators":
+            rank = F.row_number().over(series.orderBy(*[F.col(c).desc() for c in self.order]))
+            return rows.withColumn("_rank", rank).filter(F.col("_rank") <= BACK[self.kind])
+        rank = F.dense_rank().over(series.orderBy(F.col("timestamp").desc()))
         some = rows.withColumn("_rank", rank).filter(F.col("_rank") <= BACK[self.kind]).drop("_rank")
-        if not self.back:
-            return some
-        span = F.unix_micros(at) - F.unix_micros("timestamp") <= self.back
-        return some.filter(~span).unionByName(rows.filter(span))
+        span = F.unix_micros("at") - F.unix_micros("timestamp") <= self.back
+        return latest_by(some.filter(~span).unionByName(rows.filter(span)), [*self.by, "timestamp"], self.tie)
 
-    def seeded(self, rows: DataFrame) -> DataFrame:
-        """Rows with the snapshot at the last old row, and the number of the first row of each series."""
+    def _seeded(self, context: DataFrame) -> DataFrame:
         place = F.struct(*self.order, ALIKE)
-        old = rows.filter(OLD).groupBy(*self.by).agg(F.max(place).alias("_last"), F.count("*").alias("_n"))
+        old = context.groupBy(*self.by).agg(F.max(place).alias("_last"), F.count("*").alias("_n"))
         base = _on(self.base, old, self.by, "left")
         values = [c for c in base.columns if c not in (*self.by, "place", "at", "_last", "_n")]
         base = base.select(*self.by, "_last", (F.col("place") - F.col("_n") + 1).alias(OFFSET), F.struct(*values).alias("_sums"))
-        seed = F.when(F.col(OLD) & (place == F.col("_last")), F.col("_sums"))
-        return _on(rows, base, self.by, "left").withColumn(SEED, seed).drop("_last", "_sums")
+        seed = F.when(place == F.col("_last"), F.col("_sums"))
+        return _on(context, base, self.by, "left").withColumn(SEED, seed).drop("_last", "_sums")
+
+    def marked(self, rows: DataFrame, order: Sequence[str], heavy: bool) -> DataFrame:
+        """Rows with the number of their series' first row, and marks at what the next batch starts from.
 
-    def changes(self, out: DataFrame, raw: DataFrame, values: dict[str, Column]) -> list[Change]:
+        The marks are NEWEST, at the last row of a series, and TAIL, at its last samples (see `_last`). For light
+        keys the windows that come after it use the same sort; heavy keys have been numbered.
+        """
+        of_all = {OFFSET: F.max(OFFSET), "_n": F.count("*"), "_end": F.max("timestamp")}
+        if heavy:
+            whole_series = rows.groupBy(*self.by).agg(*[f.alias(c) for c, f in of_all.items()])
+            rows = attach(rows.drop(OFFSET), whole_series, self.by, list(of_all))
+            after = F.col("_n") - 1 - F.col(POS)
+        else:
+            ordered = Window.partitionBy(*self.by).orderBy(*order)
+            every = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            rows = rows.withColumns({"_rank": F.row_number().over(ordered), **{c: f.over(every) for c, f in of_all.items()}})
+            after = F.col("_n") - F.col("_rank")
+        tail = after < BACK[self.kind]
+        if self.kind == "alerts":
+            tail = tail | (F.unix_micros("_end") - F.unix_micros("timestamp") <= self.back)
+        return rows.withColumns({TAIL: tail, NEWEST: after == 0}).drop("_n", "_end", "_rank")
+
+    def changes(self, out: DataFrame, values: dict[str, Column]) -> list[Change]:
         """State and last samples of the touched buckets after the batch."""
-        newest = latest_by(out, self.by, [*self.order, ALIKE]).select(
+        newest = out.filter(NEWEST).select(
             *self.by, F.col(f"{CARRIED}.place").alias("place"), F.col("timestamp").alias("at"), *[v.alias(k) for k, v in values.items()])
-        newest = checkpointed(newest)
-        kept = self.valid.unionByName(newest.select(*self.valid.columns))
+        # Snapshots that the batch goes back behind are dropped.
+        valid = _on(self.state, self.series.select(*self.by, "_first"), self.by, "left").filter(
+            F.col("_first").isNull() | (F.col("at") < F.col("_first")))
+        kept = valid.select(*self.state.columns).unionByName(newest.select(*self.state.columns))
         rank = F.row_number().over(Window.partitionBy(*self.by).orderBy(F.col("at").desc()))
         kept = kept.withColumn("_rank", rank).filter(F.col("_rank") <= SNAPSHOTS).drop("_rank")
-        other = _semi(self.state, newest.select(*self.by), self.by, "left_anti")
-        last = self.store.read(f"last_{self.kind}", self.touched)
-        last = _semi(last, newest.select(*self.by), self.by, "left_anti")
-        tail = self._last(_on(raw, newest.select(*self.by, "at"), self.by, "inner"), F.col("at"))
-        return [Change(f"state_{self.kind}", other.unionByName(kept), self.touched),
-                Change(f"last_{self.kind}", last.unionByName(tail.select(*self.columns)), self.touched)]
+        last = _semi(self.store.read(f"last_{self.kind}", self.touched), self.series, self.by, "left_anti")
+        return [Change(f"state_{self.kind}", kept, self.touched),
+                Change(f"last_{self.kind}", last.unionByName(out.filter(TAIL).select(*self.columns)), self.touched)]
 
 
 def advance(store: BucketedTables, points: DataFrame, batch_id: int, rules: Sequence[Rule] = RULES, short: str = "5 minutes",
             long: str = "1 hour", max_rows: int = MAX_ROWS) -> DataFrame | None:
     """Take a batch of points in; returns its samples with indicators, those replayed for late points included.
 
-    None for a batch that is already in, or has no points. All tables change in one commit.
+    None for a batch that is already in, or has no points. All tables change in one commit. Points go through
+    one shuffle by series for each kind of result; the two kinds are worked out side by side.
     """
     store.refresh()
     if store.manifest.label is not None and batch_id <= store.manifest.label:
@@ -165,41 +192,46 @@ def advance(store: BucketedTables, points: DataFrame, batch_id: int, rules: Sequ
     touched = store.touched("points", points)
     if not touched:
         return None
+    (fresh, changes), more = together(
+        store.spark, lambda: _indicators(store, points, touched, max_rows),
+        lambda: _alerts(store, points, touched, batch_id, rules, short, long, max_rows))
+    store.commit([*changes, *more, Change("points", points)], batch_id)
+    return fresh
+
 
-    # Indicators of all samples, by item.
+def _indicators(store: BucketedTables, points: DataFrame, touched: list[int], max_rows: int) -> tuple[DataFrame, list[Change]]:
+    """Indicators of all samples, by item, and what they change."""
     kind = _Kind("indicators", store, points, touched, 0)
     order = [*kind.order, ALIKE]
     step = indicator_step(order, NAMES, kind.by, max_rows=max_rows, resume=True)
-    rows = checkpointed(kind.seeded(kind.rows(points)))
-    out = checkpointed(routed(rows, kind.by, order, max_rows, step))
+
+    def plan(given: DataFrame, heavy: bool) -> DataFrame:
+        return step(kind.marked(given, order, heavy), heavy)
+
+    out = checkpointed(routed(kind.rows(points), kind.by, order, max_rows, plan).drop(SEED, OFFSET))
     values = {"ema": F.col("ema_14"), "up": F.col(f"{CARRIED}.up"), "down": F.col(f"{CARRIED}.down"), "rsi": F.col("rsi_14"), "changes": F.col("price_changes")}
-    changes = kind.changes(out, rows, values)
-    fresh = out.filter(~F.col(OLD)).select(*points.columns, *NAMES.values())
+    return out.filter(~F.col(OLD)).select(*points.columns, *NAMES.values()), kind.changes(out, values)
 
-    # Alerts of one sample per series and instant.
+
+def _alerts(store: BucketedTables, points: DataFrame, touched: list[int], batch_id: int, rules: Sequence[Rule], short: str, long: str,
+            max_rows: int) -> list[Change]:
+    """What the alerts of one sample per series and instant change."""
     reach = micros_of(points, long)
-    other = _Kind("alerts", store, points, touched, max(reach, micros_of(points, short)))
-    one = latest_by(other.rows(points), [*SERIES, "timestamp"], other.order[1:])
-    rows = checkpointed(other.seeded(one))
+    kind = _Kind("alerts", store, points, touched, max(reach, micros_of(points, short)))
     steps = alert_steps(micros_of(points, short), reach, rules, max_rows, resume=True)
 
     def plan(given: DataFrame, heavy: bool) -> DataFrame:
-        given = given.withColumn(MICROS, F.unix_micros("timestamp"))
-        if heavy:
-            given = numbered(given, SERIES, [MICROS], max_rows)
+        given = one_per_instant(given.withColumn(MICROS, F.unix_micros("timestamp")), kind.tie, max_rows, heavy)
+        given = kind.marked(given, [MICROS], heavy)
         for each in steps:
             given = each(given, heavy)
         return given.drop(MICROS)
 
-    held = checkpointed(routed(rows, SERIES, [MICROS], max_rows, plan, number=False))
+    held = checkpointed(routed(kind.rows(points), SERIES, [MICROS], max_rows, plan, number=False).drop(SEED, OFFSET))
     since = [f"_s{i}" for i in range(len(rules))]
-    changes += other.changes(held, rows, {"up": F.col(f"{CARRIED}.up"), "down": F.col(f"{CARRIED}.down"), "rsi": F.col("rsi_14"),
-                                          **{s: F.col(s) for s in since}})
+    changes = kind.changes(held, {"up": F.col(f"{CARRIED}.up"), "down": F.col(f"{CARRIED}.down"), "rsi": F.col("rsi_14"), **{s: F.col(s) for s in since}})
     found = firing(held.filter(~F.col(OLD)), rules, since, "fired_at")
-    changes.append(Change("alerts", _corrected(store, other, found, rules, batch_id)))
-    changes.append(Change("points", points))
-    store.commit(changes, batch_id)
-    return fresh
+    return [*changes, Change("alerts", _corrected(store, kind, found, rules, batch_id))]
 
 
 def _corrected(store: BucketedTables, kind: _Kind, found: DataFrame, rules: Sequence[Rule], batch_id: int) -> DataFrame:
@@ -211,7 +243,7 @@ def _corrected(store: BucketedTables, kind: _Kind, found: DataFrame, rules: Sequ
     before = kind.base.select(*SERIES, F.inline(known)).filter(F.col("starts_at").isNotNull())
     found = checkpointed(_semi(found, before, ALERT_KEY, "left_anti").withColumns({"raised": F.lit(True), "batch_id": F.lit(batch_id).cast("bigint")}))
     found = found.select(*[f.name for f in ALERTS.fields])
-    if kind.late.isEmpty():
+    if not kind.is_late:
         return found
     raised = _semi(_standing(store.read("alerts", store.touched("alerts", kind.late))), kind.late, SERIES)
     raised = _on(raised, kind.base.select(*SERIES, "at"), SERIES, "left").filter(F.col("at").isNull() | (F.col("fired_at") > F.col("at"))).drop("at")

@@ -1,6 +1,7 @@
 """Bucketed tables under one manifest: what a commit touches, and what a broken one leaves."""
 
 import os
+import threading
 
 import pytest
 from pyspark.sql import types as T
@@ -79,3 +80,11 @@ def test_folders_stay_few(spark, tmp_path, monkeypatch):
         assert len(os.listdir(tmp_path / "manifest")) <= 2 * 2 + 1  # with checksums
         assert len(os.listdir(tmp_path / "a")) <= 2 * 8
     assert len(content(tables, "a")) == 60
+
+
+def test_tables_of_a_commit_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    tables = BucketedTables(spark, str(tmp_path), layouts())
+    real, both = BucketedTables._write, threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(BucketedTables, "_write", lambda self, *args: both.wait() < 2 and real(self, *args))
+    tables.commit([Change("a", rows(spark, [(1, "x")])), Change("b", rows(spark, [(2, "y")]))])
+    assert content(tables, "a") == [(1, "x")] and content(tables, "b") == [(2, "y")]

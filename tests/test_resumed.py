@@ -107,3 +107,25 @@ def test_stream(spark, tmp_path):
     assert gauges["product_price"] == 119.0 and gauges["price_sma"] == pytest.approx(116.0) and gauges["price_rsi"] == 100.0
     store = resumed.open_store(spark, str(tmp_path / "store"), buckets=2)
     assert [r.starts_at for r in resumed.read_alerts(store).filter("alert = 'LowInventory'").collect()] == [dt.datetime(2024, 3, 1, 10)]
+
+
+def test_points_are_kept_once_per_kind(spark, tmp_path, monkeypatch):
+    """Of frames as long as the batch, only the points and the two results are checkpointed, and those of late series once more."""
+    rows = [(1 + i % 2, "n", 100.0 + i % 7, 5, START + dt.timedelta(seconds=60 * i + (i % 40 == 0))) for i in range(200)]
+    early, late = [r for i, r in enumerate(rows) if i % 9], [r for i, r in enumerate(rows) if i % 9 == 0]
+    store = resumed.open_store(spark, str(tmp_path), buckets=2)
+    sizes, real = [], resumed.checkpointed
+
+    def counted(df):
+        kept = real(df)
+        sizes.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(resumed, "checkpointed", counted)
+    for n, batch in enumerate((early, late)):
+        sizes.clear()
+        resumed.advance(store, spark.createDataFrame(batch, PRICE_POINTS), n)
+        assert sum(size >= 170 for size in sizes) == (3 if n == 0 else 4)
+    found = sorted(key(r[:6]) for r in resumed.read_alerts(store).select("alert", *indicators.SERIES, "starts_at", "value").collect())
+    want = indicators.alerts(spark.createDataFrame(rows, PRICE_POINTS)).select("alert", *indicators.SERIES, "starts_at", "value")
+    assert found == sorted(key(r) for r in want.collect()) and found
